@@ -1,0 +1 @@
+"""Empty on purpose: every layer is a batch replacement, so there is no stream to define."""
