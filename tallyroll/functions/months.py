@@ -1,15 +1,12 @@
-"""Calendar-month expressions."""
+"""Calendar months, as SQL expressions over a date expression."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def month_start(day: str) -> str:
+    return f"trunc({day}, 'MM')"
 
-def month_start(day: Column) -> Column:
-    return F.trunc(day, "MM")
 
-
-def last_complete_month(latest: Column) -> Column:
+def last_complete_month(latest: str) -> str:
     """First day of the latest month that the dates cover to its last calendar day."""
-    return month_start(F.when(F.last_day(latest) == latest, latest).otherwise(F.add_months(latest, -1)))
+    return month_start(f"CASE WHEN last_day({latest}) = {latest} THEN {latest} ELSE add_months({latest}, -1) END")

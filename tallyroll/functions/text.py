@@ -1,4 +1,4 @@
-"""Typed values from source text, as column expressions.
+"""Typed values from source text, as SQL expressions over a column or expression ``text``.
 
 None of these raise: text that breaks the rule gives NULL, and the caller decides whether
 that is an error. They are kept small on purpose. The expressions of one projection become
@@ -7,9 +7,6 @@ one generated Java method, and a method the JIT refuses to compile runs several
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The characters that count as white space, texts that stand for "no date",
 # the source date pattern and the range a source date may fall in.
 WHITE_SPACE = (
@@ -26,60 +23,67 @@ EXACT = "decimal(38,18)"
 MONEY = "decimal(20,6)"
 
 
-def stripped(text: Column) -> Column:
+def stripped(text: str) -> str:
     """Text without white space at either end, whatever kind of white space it is."""
-    return F.trim(text, F.lit(WHITE_SPACE))
+    return f"trim(BOTH '{WHITE_SPACE}' FROM {text})"
 
 
-def is_blank(text: Column) -> Column:
+def is_blank(text: str) -> str:
     """True for NULL, empty and white-space-only text."""
-    return F.coalesce(stripped(text) == "", F.lit(True))
+    return f"coalesce({stripped(text)} = '', true)"
 
 
-def whole_number(text: Column) -> Column:
+def whole_number(text: str) -> str:
     """INT from text such as ``01``, `` 2 ``, ``+5``, ``2.0`` or ``1e2``; else NULL.
 
     The exact decimal costs twenty times the plain cast, so only text the cast refuses pays.
     """
-    exact = text.try_cast(EXACT)
-    return F.coalesce(text.try_cast("int"), F.when(exact % 1 == 0, exact.try_cast("int")))
+    exact = f"try_cast({text} AS {EXACT})"
+    return f"coalesce(try_cast({text} AS int), CASE WHEN {exact} % 1 = 0 THEN try_cast({exact} AS int) END)"
+
+
+def positive_integer(text: str) -> str:
+    """Whether text is a whole number above zero that fits 64 bits."""
+    exact = f"try_cast({text} AS {EXACT})"
+    slowly = f"{exact} > 0 AND {exact} % 1 = 0 AND try_cast({exact} AS bigint) IS NOT NULL"
+    return f"coalesce(try_cast({text} AS bigint) > 0, {slowly}, false)"
 
 
-def money(text: Column) -> Column:
+def money(text: str) -> str:
     """Exact decimal from price text such as `` $1,200.25 ``; else NULL."""
-    bare = F.replace(F.replace(text, F.lit("$"), F.lit("")), F.lit(","), F.lit(""))
-    return stripped(bare).try_cast(MONEY)
+    bare = f"replace(replace({text}, '$', ''), ',', '')"
+    return f"try_cast({stripped(bare)} AS {MONEY})"
 
 
-def source_date(text: Column) -> Column:
+def source_date(text: str) -> str:
     """DATE from month/day/four-digit-year text, zero padding optional; else NULL.
 
     The formatter alone would also take longer months and days, such as 001/5/2024.
     """
-    first_slash = F.instr(text, "/")
-    shaped = first_slash.between(2, 3) & (F.length(text) - first_slash <= 7)
-    return F.when(shaped, F.try_to_date(text, SOURCE_DATE))
+    shaped = f"instr({text}, '/') BETWEEN 2 AND 3 AND length({text}) - instr({text}, '/') <= 7"
+    return f"CASE WHEN {shaped} THEN try_to_date({text}, '{SOURCE_DATE}') END"
 
 
-def zero_padded_day(text: Column) -> Column:
+def zero_padded_day(text: str) -> str:
     """Date text with a space-padded day, as in ``1/ 5/2024``, padded by a zero instead."""
-    return F.replace(text, F.lit("/ "), F.lit("/0"))
+    return f"replace({text}, '/ ', '/0')"
 
 
-def in_date_range(day: Column) -> Column:
-    return day.between(F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date"))
+def in_date_range(day: str) -> str:
+    return f"{day} BETWEEN DATE'{FIRST_DATE}' AND DATE'{LAST_DATE}'"
 
 
-def no_date(text: Column) -> Column:
+def no_date(text: str) -> str:
     """True where text stands for an absent date rather than a wrong one."""
-    return text.isNull() | text.isin(*NO_DATE)
+    listed = ", ".join(f"'{word}'" for word in NO_DATE)
+    return f"({text} IS NULL OR {text} IN ({listed}))"
 
 
-def required(value: Column, message: str) -> Column:
+def required(value: str, message: str) -> str:
     """The value, or a failed job where it is NULL."""
-    return F.coalesce(value, F.raise_error(F.lit(message)))
+    return f"coalesce({value}, raise_error('{message}'))"
 
 
-def only_if(condition: Column, value: Column, message: str) -> Column:
+def only_if(condition: str, value: str, message: str) -> str:
     """The value, NULL included, where the condition holds; a failed job where it does not."""
-    return F.when(condition, value).otherwise(F.raise_error(F.lit(message)))
+    return f"CASE WHEN {condition} THEN {value} ELSE raise_error('{message}') END"

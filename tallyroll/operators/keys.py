@@ -6,7 +6,7 @@ into one row per task, so a key that holds a third of the table never lands in o
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.functions.text import required
@@ -14,10 +14,9 @@ from tallyroll.functions.text import required
 
 def rows_and_excess(df: DataFrame, keys: list[str], rows: str, excess: str) -> DataFrame:
     """One row: all rows, and the rows beyond the first of their key (NULL keys group)."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias(rows),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias(excess),
+    per_key = df.groupBy(*keys).agg(F.expr("count(1) AS n"))
+    return per_key.selectExpr(
+        f"cast(coalesce(sum(n), 0) AS bigint) AS {rows}", f"cast(coalesce(sum(n - 1), 0) AS bigint) AS {excess}"
     )
 
 
@@ -29,12 +28,20 @@ def lookup(dim: DataFrame, key: str, matched: str, duplicate_message: str) -> Da
     key reuses the grouping's partitioning.
     """
     others = [name for name in dim.columns if name != key]
-    grouped = dim.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.first(name).alias(name) for name in others]
+    unique = required("CASE WHEN count(1) = 1 THEN true END", duplicate_message)
+    return dim.groupBy(key).agg(
+        *[F.expr(f"first({name}) AS {name}") for name in others], F.expr(f"{unique} AS {matched}")
     )
-    return grouped.select(
-        key, *others, required(F.when(F.col("_rows") == 1, F.lit(True)), duplicate_message).alias(matched)
+
+
+def lines_per_key(lines: DataFrame, dim: DataFrame, key: str, **flags: str) -> DataFrame:
+    """``lines`` counted per key beside how often the key is in ``dim`` (NULL: never) and any
+    further aggregates of its dimension rows."""
+    counted = lines.groupBy(key).agg(F.expr("count(1) AS lines"))
+    known = dim.groupBy(key).agg(
+        F.expr("count(1) AS copies"), *[F.expr(f"{flag} AS {name}") for name, flag in flags.items()]
     )
+    return counted.join(known, key, "left")
 
 
 def match_counts(lines: DataFrame, dim: DataFrame, key: str, rows: str, unmatched: str) -> DataFrame:
@@ -43,14 +50,7 @@ def match_counts(lines: DataFrame, dim: DataFrame, key: str, rows: str, unmatche
     Both sides are counted per key first, so the join carries one row per distinct key and
     a repeated dimension key still multiplies the total as the plain join would.
     """
-    left = lines.groupBy(key).agg(F.count(F.lit(1)).alias("lines"))
-    right = dim.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
-    joined = left.join(right, key, "left")
-    return joined.agg(
-        _total(F.col("lines") * F.coalesce("copies", F.lit(1))).alias(rows),
-        _total(F.when(F.col("copies").isNull(), F.col("lines"))).alias(unmatched),
+    return lines_per_key(lines, dim, key).selectExpr(
+        f"cast(coalesce(sum(lines * coalesce(copies, 1)), 0) AS bigint) AS {rows}",
+        f"cast(coalesce(sum(CASE WHEN copies IS NULL THEN lines END), 0) AS bigint) AS {unmatched}",
     )
-
-
-def _total(value: Column) -> Column:
-    return F.coalesce(F.sum(value), F.lit(0)).cast("bigint")

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from datetime import date
 
+from pyspark.sql import DataFrame
 
-def zero_filled(monthly: DataFrame, segment: list[str], month: str, value: str, first: Column, last: Column) -> DataFrame:
+
+def zero_filled(monthly: DataFrame, segment: list[str], month: str, value: str, first: date, last: date) -> DataFrame:
     """A row for every month from ``first`` to ``last`` in every segment, absent ones as 0.
 
     Each segment expands its own months, so there is no month-by-segment product to join.
     """
-    months = F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias(month)
-    grid = monthly.select(*segment).distinct().select(*segment, months)
+    months = f"explode(sequence(DATE'{first}', DATE'{last}', interval 1 month)) AS {month}"
+    grid = monthly.select(*segment).distinct().selectExpr(*segment, months)
     filled = grid.join(monthly.select(*segment, month, value), [*segment, month], "left")
-    return filled.select(month, *segment, F.coalesce(value, F.lit(0.0)).alias(value))
+    return filled.selectExpr(month, *segment, f"coalesce({value}, 0D) AS {value}")
 
 
 def lagged(panel: DataFrame, segment: list[str], month: str, value: str) -> DataFrame:
@@ -23,12 +24,12 @@ def lagged(panel: DataFrame, segment: list[str], month: str, value: str) -> Data
 
     The panel has no gaps, so rows back are months back; a segment is a few hundred rows.
     """
-    history = Window.partitionBy(*segment).orderBy(month)
-    before = [F.lag(value, months).over(history) for months in (1, 2, 3)]
-    return panel.select(
+    history = f"OVER (PARTITION BY {', '.join(segment)} ORDER BY {month})"
+    before = {months: f"lag({value}, {months}) {history}" for months in (1, 2, 3, 12)}
+    return panel.selectExpr(
         "*",
-        before[0].alias("lag_1"),
-        F.lag(value, 12).over(history).alias("lag_12"),
-        ((before[0] + before[1] + before[2]) / 3).alias("previous_3_month_average"),
-        F.month(month).cast("string").alias("month_number"),
+        f"{before[1]} AS lag_1",
+        f"{before[12]} AS lag_12",
+        f"({before[1]} + {before[2]} + {before[3]}) / 3 AS previous_3_month_average",
+        f"cast(month({month}) AS string) AS month_number",
     )

@@ -11,7 +11,7 @@ from tallyroll.sources.layer_store import LayerStore
 
 
 def with_lineage(frame: DataFrame, file_name: str) -> DataFrame:
-    return frame.select("*", F.current_timestamp().alias("loaded_at"), F.lit(file_name).alias("source_file"))
+    return frame.selectExpr("*", "current_timestamp() AS loaded_at", f"'{file_name}' AS source_file")
 
 
 def load_bronze(store: LayerStore, sources: dict[str, DataFrame]) -> dict[str, int]:

@@ -55,16 +55,17 @@ class History:
 
 def latest_order(lines: DataFrame) -> DataFrame:
     """One row: the last complete month, and the partial month left out after it, if any."""
-    newest = lines.agg(F.max("order_date").alias("latest_order_date"))
-    return newest.select("latest_order_date", *_month_bounds(F.col("latest_order_date")))
+    return lines.selectExpr("max(order_date) AS latest_order_date").selectExpr(
+        "latest_order_date", *_month_bounds("latest_order_date")
+    )
 
 
-def _month_bounds(latest: Column) -> list[Column]:
+def _month_bounds(latest: str) -> list[str]:
     complete, current = last_complete_month(latest), month_start(latest)
     return [
-        complete.alias("last_complete_month"),
-        F.when(current > complete, current).alias("excluded_partial_month"),
-        F.add_months(complete, 1).alias("next_month"),
+        f"{complete} AS last_complete_month",
+        f"CASE WHEN {current} > {complete} THEN {current} END AS excluded_partial_month",
+        f"add_months({complete}, 1) AS next_month",
     ]
 
 
@@ -72,23 +73,28 @@ def monthly_history(lines: DataFrame) -> History:
     """Sum the lines by month and segment, and leave out a partial last month."""
     shared_folder(lines.sparkSession)
     by_month = (
-        lines.groupBy(month_start(F.col("order_date")).alias(MONTH), *SEGMENT)
-        .agg(F.sum(TARGET).cast("double").alias(TARGET), F.max("order_date").alias("latest"))
+        lines.groupBy(F.expr(f"{month_start('order_date')} AS {MONTH}"), *SEGMENT)
+        .agg(F.expr(f"cast(sum({TARGET}) AS double) AS {TARGET}"), F.expr("max(order_date) AS latest"))
         .checkpoint()
     )
-    bounds = by_month.agg(F.max("latest").alias("latest")).select("latest", *_month_bounds(F.col("latest"))).first()
+    bounds = (
+        by_month.selectExpr("max(latest) AS latest", f"min({MONTH}) AS first_month")
+        .selectExpr("latest", "first_month", *_month_bounds("latest"))
+        .first()
+    )
     if bounds.latest is None:
         raise StageError("Silver sales is empty. Run silver first.")
-    monthly = by_month.where(F.col(MONTH) <= F.lit(bounds.last_complete_month)).select(MONTH, *SEGMENT, TARGET)
-    first_month = monthly.agg(F.min(MONTH)).first()[0]
-    if first_month is None:
+    if bounds.first_month > bounds.last_complete_month:
         raise StageError("No complete months in Silver sales to forecast.")
-    return History(monthly, first_month, bounds.last_complete_month, bounds.excluded_partial_month, bounds.next_month)
+    monthly = by_month.where(f"{MONTH} <= DATE'{bounds.last_complete_month}'").select(MONTH, *SEGMENT, TARGET)
+    return History(
+        monthly, bounds.first_month, bounds.last_complete_month, bounds.excluded_partial_month, bounds.next_month
+    )
 
 
 def complete_panel(history: History) -> DataFrame:
     """Every complete month of every segment; a month without sales counts as zero."""
-    return zero_filled(history.monthly, SEGMENT, MONTH, TARGET, F.lit(history.first_month), F.lit(history.last_month))
+    return zero_filled(history.monthly, SEGMENT, MONTH, TARGET, history.first_month, history.last_month)
 
 
 def with_features(panel: DataFrame) -> DataFrame:
@@ -102,20 +108,20 @@ def usable(features: DataFrame) -> DataFrame:
 
 def next_month_features(panel: DataFrame, next_month: date) -> DataFrame:
     """One row per segment for the month after the panel, its target unknown."""
-    future = panel.select(*SEGMENT).distinct().select(
-        F.lit(next_month).alias(MONTH), *SEGMENT, F.lit(None).cast("double").alias(TARGET)
+    future = panel.select(*SEGMENT).distinct().selectExpr(
+        f"DATE'{next_month}' AS {MONTH}", *SEGMENT, f"cast(NULL AS double) AS {TARGET}"
     )
-    return with_features(panel.unionByName(future)).where(F.col(MONTH) == F.lit(next_month))
+    return with_features(panel.unionByName(future)).where(f"{MONTH} = DATE'{next_month}'")
 
 
-def holdout_start(history: History) -> Column:
-    """First of the last twelve months; the panel has no gaps."""
-    return F.add_months(F.lit(history.last_month), 1 - HOLDOUT_MONTHS)
+def holdout_start(history: History) -> str:
+    """First of the last twelve months, as SQL; the panel has no gaps."""
+    return f"add_months(DATE'{history.last_month}', {1 - HOLDOUT_MONTHS})"
 
 
 def split(rows: DataFrame, history: History) -> tuple[DataFrame, DataFrame]:
     start = holdout_start(history)
-    return rows.where(F.col(MONTH) < start), rows.where(F.col(MONTH) >= start)
+    return rows.where(f"{MONTH} < {start}"), rows.where(f"{MONTH} >= {start}")
 
 
 def with_naive(features: DataFrame) -> DataFrame:
@@ -124,10 +130,10 @@ def with_naive(features: DataFrame) -> DataFrame:
 
 def error_metrics(predicted: DataFrame, column: str) -> DataFrame:
     """One row: mean absolute error, and the absolute error as a percentage of actual sales."""
-    error, actual = F.abs(F.col(TARGET) - F.col(column)), F.sum(TARGET)
-    return predicted.agg(
-        F.round(F.avg(error), 2).alias("mae_usd"),
-        F.when(actual != 0, F.round(100 * F.sum(error) / actual, 2)).alias("wape_percent"),
+    error = f"abs({TARGET} - {column})"
+    return predicted.selectExpr(
+        f"round(avg({error}), 2) AS mae_usd",
+        f"round(try_divide(100 * sum({error}), sum({TARGET})), 2) AS wape_percent",
     )
 
 
@@ -219,16 +225,15 @@ def _summary(lines: DataFrame, history: History, naive: Row, ridge: Row, winner:
     def errors(row: Row) -> Column:
         return F.struct(*[F.lit(row[name]).cast("double").alias(name) for name in ("mae_usd", "wape_percent")])
 
-    def day(value: Column | date | None) -> Column:
-        column = value if isinstance(value, Column) else F.lit(value).cast("date")
-        return F.date_format(column, "yyyy-MM-dd")
+    def day(value: date | None) -> Column:
+        return F.date_format(F.lit(value).cast("date"), "yyyy-MM-dd")
 
     return lines.sparkSession.range(1).select(
         F.lit(TARGET_TEXT).alias("target"),
         F.lit(f"silver.{SILVER_TABLE}").alias("source"),
         day(history.last_month).alias("last_complete_month"),
         day(history.excluded_month).alias("excluded_partial_month"),
-        day(holdout_start(history)).alias("holdout_start"),
+        F.date_format(F.expr(holdout_start(history)), "yyyy-MM-dd").alias("holdout_start"),
         day(history.last_month).alias("holdout_end"),
         F.lit(METHOD_TEXT).alias("holdout_method"),
         errors(naive).alias("baseline"),

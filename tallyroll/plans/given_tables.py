@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroll.contracts import GOLD_TABLE, GOLD_TYPES, PRODUCTS, SILVER_TABLE, SOURCES, SourceContract
@@ -50,55 +50,47 @@ def all_layers(spark: SparkSession, directory: str) -> Layers:
 def damaged_bronze(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     """The Bronze text with rule-breaking values in rows picked by their own content."""
     bronze = order_tables.bronze_shaped(spark, directory)
-    line, store_digit = F.col("line_item"), F.right("store_key", F.lit(1))
-    quantity = F.when(line == "7", "-1").when(line == "6", "1.5").when(line == "5", "2.0").otherwise(F.col("quantity"))
-    order_date = (
-        F.when((line == "1") & (store_digit == "1"), "")
-        .when((line == "2") & (store_digit == "2"), "invalid")
-        .when((line == "3") & (store_digit == "3"), "2024-01-31")
-        .otherwise(F.col("order_date"))
-    )
-    delivery_date = F.when((line == "4") & (store_digit == "4"), "13/45/2024").otherwise(F.col("delivery_date"))
-    product_key = (
-        F.when((line == "1") & (store_digit == "5"), F.concat(F.lit("X"), "product_key"))
-        .when((line == "2") & (store_digit == "6"), F.concat(F.lit("-9"), "product_key"))
-        .otherwise(F.col("product_key"))
-    )
-    size = F.col("subcategory_key")
-    products = bronze["products"].withColumns(
-        {
-            "category": F.when(size == "10", "  ").otherwise(F.col("category")),
-            "unit_cost_usd": F.when(size == "11", "n/a").otherwise(F.col("unit_cost_usd")),
-            "unit_price_usd": F.when(size == "12", "").otherwise(F.col("unit_price_usd")),
-        }
-    )
-    stores = bronze["stores"]
+    sales = {
+        "quantity": "CASE line_item WHEN '7' THEN '-1' WHEN '6' THEN '1.5' WHEN '5' THEN '2.0' ELSE quantity END",
+        "order_date": """CASE WHEN line_item = '1' AND right(store_key, 1) = '1' THEN ''
+                              WHEN line_item = '2' AND right(store_key, 1) = '2' THEN 'invalid'
+                              WHEN line_item = '3' AND right(store_key, 1) = '3' THEN '2024-01-31'
+                              ELSE order_date END""",
+        "delivery_date": """CASE WHEN line_item = '4' AND right(store_key, 1) = '4' THEN '13/45/2024'
+                                 ELSE delivery_date END""",
+        "product_key": """CASE WHEN line_item = '1' AND right(store_key, 1) = '5' THEN 'X' || product_key
+                               WHEN line_item = '2' AND right(store_key, 1) = '6' THEN '-9' || product_key
+                               ELSE product_key END""",
+    }
+    products = {
+        "category": "if(subcategory_key = '10', '  ', category)",
+        "unit_cost_usd": "if(subcategory_key = '11', 'n/a', unit_cost_usd)",
+        "unit_price_usd": "if(subcategory_key = '12', '', unit_price_usd)",
+    }
+    marked, stores = _replaced(bronze["products"], products), bronze["stores"]
     return {
-        "sales": bronze["sales"].withColumns(
-            {
-                "quantity": quantity,
-                "order_date": order_date,
-                "delivery_date": delivery_date,
-                "product_key": product_key,
-            }
-        ),
-        "products": products.unionByName(products.where(size == "13")),
-        "stores": stores.where(~store_digit.isin("7")).unionByName(stores.where(store_digit == "8")),
+        "sales": _replaced(bronze["sales"], sales),
+        "products": marked.unionByName(marked.where("subcategory_key = '13'")),
+        "stores": stores.where("right(store_key, 1) <> '7'").unionByName(stores.where("right(store_key, 1) = '8'")),
     }
 
 
 def damaged_lines(spark: SparkSession, directory: str) -> DataFrame:
     """Silver lines with missing months, categories and channels."""
-    line = F.col("line_item")
-    return silver_lines(spark, directory).withColumns(
+    return _replaced(
+        silver_lines(spark, directory),
         {
-            "order_date": F.when(line != 1, F.col("order_date")),
-            "product_category": F.when(line == 2, " \t").when(line != 3, F.col("product_category")),
-            "sales_channel": F.when(line == 4, "").otherwise(F.col("sales_channel")),
-        }
+            "order_date": "CASE WHEN line_item <> 1 THEN order_date END",
+            "product_category": "CASE WHEN line_item = 2 THEN ' \\t' WHEN line_item <> 3 THEN product_category END",
+            "sales_channel": "if(line_item = 4, '', sales_channel)",
+        },
     )
 
 
+def _replaced(frame: DataFrame, values: dict[str, str]) -> DataFrame:
+    return frame.selectExpr(*[f"{values.get(name, name)} AS {name}" for name in frame.columns])
+
+
 def write_source(frame: DataFrame, directory: str, contract: SourceContract) -> None:
     """Bronze-shaped text as a delivered file with the contracted header."""
     delivered = frame.select(*[F.col(name).alias(header) for header, name in contract.columns.items()])
@@ -157,95 +149,93 @@ def preflight_summary(spark: SparkSession, directory: str) -> DataFrame:
 # Silver
 
 
-def _renderings(frame: DataFrame, texts: dict[str, Column]) -> DataFrame:
+def _renderings(frame: DataFrame, texts: dict[str, str]) -> DataFrame:
     """Every row once per way of writing it: (rendering, text)."""
-    pairs = F.array(*[F.struct(F.lit(name).alias("rendering"), text.alias("text")) for name, text in texts.items()])
-    return frame.select(F.inline(pairs))
+    pairs = ", ".join(f"struct('{name}' AS rendering, {text} AS text)" for name, text in texts.items())
+    return frame.selectExpr(f"inline(array({pairs}))")
 
 
 def int_parse(spark: SparkSession, directory: str) -> DataFrame:
-    part, line = F.col("l_partkey").cast("string"), F.col("l_linenumber").cast("string")
     texts = {
-        "plain": part,
-        "padded": F.concat(F.lit("  "), part, F.lit(" ")),
-        "signed": F.concat(F.lit("+"), part),
-        "zeros": F.concat(F.lit("00"), part),
-        "whole_decimal": F.concat(line, F.lit(".0")),
-        "exponent": F.concat(line, F.lit("e2")),
-        "fraction": F.col("l_extendedprice").cast("decimal(12,2)").cast("string"),
-        "word": F.col("l_returnflag"),
-        "blank": F.lit(""),
-        "too_large": F.concat(line, F.lit("000000000")),
+        "plain": "cast(l_partkey AS string)",
+        "padded": "'  ' || l_partkey || ' '",
+        "signed": "'+' || l_partkey",
+        "zeros": "'00' || l_partkey",
+        "whole_decimal": "l_linenumber || '.0'",
+        "exponent": "l_linenumber || 'e2'",
+        "fraction": "cast(cast(l_extendedprice AS decimal(12,2)) AS string)",
+        "word": "l_returnflag",
+        "blank": "''",
+        "too_large": "l_linenumber || '000000000'",
     }
-    parsed = _renderings(spark.read.parquet(f"{directory}/lineitem.parquet"), texts).select(
-        "rendering", whole_number(F.col("text")).alias("value")
+    parsed = _renderings(order_tables.table(spark, directory, "lineitem"), texts).selectExpr(
+        "rendering", f"{whole_number('text')} AS value"
     )
     return parsed.groupBy("rendering").agg(
-        F.count(F.lit(1)).alias("texts"),
-        F.count("value").alias("accepted"),
-        F.sum("value").alias("total"),
-        F.min("value").alias("smallest"),
-        F.max("value").alias("largest"),
+        F.expr("count(1) AS texts"),
+        F.expr("count(value) AS accepted"),
+        F.expr("sum(value) AS total"),
+        F.expr("min(value) AS smallest"),
+        F.expr("max(value) AS largest"),
     )
 
 
 def money_parse(spark: SparkSession, directory: str) -> DataFrame:
-    price = F.col("p_retailprice").cast("decimal(12,2)")
-    grouped = F.format_number(price, 2)
+    price = "cast(p_retailprice AS decimal(12,2))"
+    grouped = f"format_number({price}, 2)"
     texts = {
-        "currency": F.concat(F.lit("$"), grouped),
-        "padded": F.concat(F.lit(" $"), grouped, F.lit("\t ")),
-        "bare": price.cast("string"),
-        "negative": F.concat(F.lit("-$"), grouped),
-        "long": F.concat(price.cast("string"), F.lit("125")),
-        "named": F.concat(F.lit("USD "), grouped),
-        "word": F.col("p_name"),
-        "blank": F.lit(" "),
+        "currency": f"'$' || {grouped}",
+        "padded": f"' $' || {grouped} || chr(9) || ' '",
+        "bare": f"cast({price} AS string)",
+        "negative": f"'-$' || {grouped}",
+        "long": f"{price} || '125'",
+        "named": f"'USD ' || {grouped}",
+        "word": "p_name",
+        "blank": "' '",
     }
-    parsed = _renderings(spark.read.parquet(f"{directory}/part.parquet"), texts).select(
-        "rendering", money(F.col("text")).alias("value")
+    parsed = _renderings(order_tables.table(spark, directory, "part"), texts).selectExpr(
+        "rendering", f"{money('text')} AS value"
     )
     return parsed.groupBy("rendering").agg(
-        F.count(F.lit(1)).alias("texts"),
-        F.count("value").alias("accepted"),
-        F.sum("value").cast("decimal(30,6)").alias("total"),
-        F.min("value").alias("smallest"),
-        F.max("value").alias("largest"),
+        F.expr("count(1) AS texts"),
+        F.expr("count(value) AS accepted"),
+        F.expr("cast(sum(value) AS decimal(30,6)) AS total"),
+        F.expr("min(value) AS smallest"),
+        F.expr("max(value) AS largest"),
     )
 
 
 def date_parse(spark: SparkSession, directory: str) -> DataFrame:
-    def written(pattern: str) -> Column:
-        return F.date_format("o_orderdate", pattern)
+    def written(pattern: str) -> str:
+        return f"date_format(o_orderdate, '{pattern}')"
 
     texts = {
         "plain": written("M/d/yyyy"),
         "zero_padded": written("MM/dd/yyyy"),
-        "trailing_space": F.concat(written("M/d/yyyy"), F.lit(" ")),
-        "three_digits": written("'0'MM/d/yyyy"),
+        "trailing_space": f"{written('M/d/yyyy')} || ' '",
+        "three_digits": f"'0' || {written('MM/dd/yyyy')}",
         "day_first": written("d/M/yyyy"),
         "iso": written("yyyy-MM-dd"),
         "short_year": written("M/d/yy"),
-        "month_13": written("'13'/d/yyyy"),
-        "word": F.col("o_orderpriority"),
-        "blank": F.lit("  "),
+        "month_13": f"'13/' || {written('d/yyyy')}",
+        "word": "o_orderpriority",
+        "blank": "'  '",
     }
-    text = F.col("text")
-    parsed = _renderings(spark.read.parquet(f"{directory}/orders.parquet"), texts).select(
+    parsed = _renderings(order_tables.table(spark, directory, "orders"), texts).selectExpr(
         "rendering",
-        source_date(zero_padded_day(text)).alias("required"),
-        source_date(zero_padded_day(stripped(text))).alias("optional"),
-        no_date(stripped(text)).alias("absent"),
+        f"{source_date(zero_padded_day('text'))} AS required",
+        f"{source_date(zero_padded_day(stripped('text')))} AS optional",
+        f"{no_date(stripped('text'))} AS absent",
     )
-    required, optional = (F.when(in_date_range(F.col(name)), F.col(name)) for name in ("required", "optional"))
+    required, optional = (f"CASE WHEN {in_date_range(name)} THEN {name} END" for name in ("required", "optional"))
     return parsed.groupBy("rendering").agg(
-        F.count(F.lit(1)).alias("texts"),
-        F.count(required).alias("order_dates"),
-        F.min(required).alias("first_order_date"),
-        F.max(required).alias("last_order_date"),
-        F.count(optional).alias("delivery_dates"),
-        F.count_if("absent").alias("no_delivery_date"),
-        F.sum(F.datediff(optional, F.lit("1970-01-01").cast("date"))).alias("delivery_days"),
+        F.expr("count(1) AS texts"),
+        F.expr(f"count({required}) AS order_dates"),
+        F.expr(f"min({required}) AS first_order_date"),
+        F.expr(f"max({required}) AS last_order_date"),
+        F.expr(f"count({optional}) AS delivery_dates"),
+        F.expr("count_if(absent) AS no_delivery_date"),
+        F.expr(f"sum(datediff({optional}, DATE'1970-01-01')) AS delivery_days"),
     )
 
 
@@ -321,8 +311,8 @@ def price_text_vs_typed(spark: SparkSession, directory: str) -> DataFrame:
     """A product's price as delivered beside the value its Silver lines carry."""
     text = inspect.price_text(order_tables.products(spark, directory))
     typed = inspect.price_typed(silver_lines(spark, directory))
-    return text.select(F.lit("text").alias("form"), F.col("unit_price_usd").alias("price")).unionByName(
-        typed.select(F.lit("typed").alias("form"), F.col("unit_price_usd").cast("string").alias("price"))
+    return text.selectExpr("'text' AS form", "unit_price_usd AS price").unionByName(
+        typed.selectExpr("'typed' AS form", "cast(unit_price_usd AS string) AS price")
     )
 
 
@@ -346,14 +336,13 @@ def panel_features(spark: SparkSession, directory: str) -> DataFrame:
 def temporal_split(spark: SparkSession, directory: str) -> DataFrame:
     history, panel = _panel(spark, directory)
     train, test = fc.split(fc.usable(fc.with_features(panel)), history)
-    return train.select(F.lit("train").alias("part"), "*").unionByName(test.select(F.lit("holdout").alias("part"), "*")).groupBy(
-        "part"
-    ).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_distinct("sales_month").alias("months"),
-        F.min("sales_month").alias("first_month"),
-        F.max("sales_month").alias("last_month"),
-        F.sum(F.col("gross_sales_usd").cast("decimal(20,2)")).cast("decimal(30,2)").alias("gross_sales_usd"),
+    parts = train.selectExpr("'train' AS part", "*").unionByName(test.selectExpr("'holdout' AS part", "*"))
+    return parts.groupBy("part").agg(
+        F.expr("count(1) AS rows"),
+        F.expr("count(DISTINCT sales_month) AS months"),
+        F.expr("min(sales_month) AS first_month"),
+        F.expr("max(sales_month) AS last_month"),
+        F.expr("cast(sum(cast(gross_sales_usd AS decimal(20,2))) AS decimal(30,2)) AS gross_sales_usd"),
     )
 
 

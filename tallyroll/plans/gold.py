@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.contracts import GOLD_KEYS, GOLD_TABLE, GOLD_TYPES, SILVER_TABLE
@@ -13,74 +13,61 @@ from tallyroll.functions.text import is_blank, only_if
 from tallyroll.operators.scalars import as_rows, side_by_side
 from tallyroll.sources.layer_store import LayerStore
 
-# Rules in the order they are reported.
+# Rules and what they report, in the order they are reported.
 RULES = {
     "order_date": "order_date is required for every Silver sales line",
     "product_category": "product_category is required for every Silver sales line",
     "sales_channel": "sales_channel is required for every Silver sales line",
 }
+# When a group breaks a rule: a bad line always lands in a group with a bad key.
+BROKEN = {
+    "order_date": "sales_month IS NULL",
+    "product_category": is_blank("product_category"),
+    "sales_channel": is_blank("sales_channel"),
+}
 
 
 def _grouped(lines: DataFrame) -> DataFrame:
-    return lines.groupBy(month_start(F.col("order_date")).alias("sales_month"), "product_category", "sales_channel").agg(
-        F.count(F.lit(1)).alias("line_item_count"),
-        F.sum("quantity").alias("units_sold"),
-        F.sum("gross_sales_usd").alias("gross_sales_usd"),
-        F.sum("estimated_gross_profit_usd").alias("estimated_gross_profit_usd"),
+    return lines.groupBy(F.expr(f"{month_start('order_date')} AS sales_month"), "product_category", "sales_channel").agg(
+        F.expr("count(1) AS line_item_count"),
+        F.expr("sum(quantity) AS units_sold"),
+        F.expr("sum(gross_sales_usd) AS gross_sales_usd"),
+        F.expr("sum(estimated_gross_profit_usd) AS estimated_gross_profit_usd"),
     )
 
 
-def _broken() -> dict[str, Column]:
-    """Conditions on a group: a bad line always lands in a group with a bad key."""
-    return {
-        "order_date": F.col("sales_month").isNull(),
-        "product_category": is_blank(F.col("product_category")),
-        "sales_channel": is_blank(F.col("sales_channel")),
-    }
-
-
 def monthly_summary(lines: DataFrame) -> DataFrame:
     """The Gold rows; the rules are enforced on the few groups instead of every line."""
-    broken = _broken()
-    checked = _grouped(lines).withColumns(
-        {
-            key: only_if(~broken[rule], F.col(key), RULES[rule])
-            for key, rule in zip(GOLD_KEYS, RULES)
-        }
+    keys = {key: only_if(f"NOT ({BROKEN[rule]})", key, RULES[rule]) for key, rule in zip(GOLD_KEYS, RULES)}
+    return _grouped(lines).selectExpr(
+        *[f"cast({keys.get(name, name)} AS {kind}) AS {name}" for name, kind in GOLD_TYPES.items()]
     )
-    return checked.select(*[F.col(name).cast(kind).alias(name) for name, kind in GOLD_TYPES.items()])
 
 
 def gold_violations(lines: DataFrame) -> DataFrame:
     """Silver lines per broken rule, in reporting order: (position, rule, violations)."""
-    counters = [
-        F.coalesce(F.sum(F.when(condition, F.col("line_item_count"))), F.lit(0)).alias(rule)
-        for rule, condition in _broken().items()
-    ]
-    return as_rows(_grouped(lines).agg(*counters), "rule", "violations")
+    counters = _grouped(lines).selectExpr(
+        *[f"coalesce(sum(CASE WHEN {broken} THEN line_item_count END), 0) AS {rule}" for rule, broken in BROKEN.items()]
+    )
+    return as_rows(counters, list(RULES), "rule", "violations")
 
 
 def reconciliation(lines: DataFrame, summary: DataFrame) -> DataFrame:
     """One row of Silver totals, Gold totals and whether all four agree (NULL never does)."""
-    silver = lines.agg(
-        F.count(F.lit(1)).alias("silver_line_items"),
-        F.sum("quantity").alias("silver_units"),
-        F.sum("gross_sales_usd").alias("silver_sales"),
-        F.sum("estimated_gross_profit_usd").alias("silver_profit"),
-    )
-    gold = summary.agg(
-        F.sum("line_item_count").alias("gold_line_items"),
-        F.sum("units_sold").alias("gold_units"),
-        F.sum("gross_sales_usd").alias("gold_sales"),
-        F.sum("estimated_gross_profit_usd").alias("gold_profit"),
+    silver = lines.selectExpr(
+        "count(1) AS silver_line_items",
+        "sum(quantity) AS silver_units",
+        "sum(gross_sales_usd) AS silver_sales",
+        "sum(estimated_gross_profit_usd) AS silver_profit",
     )
-    agree = (
-        (F.col("silver_line_items") == F.col("gold_line_items"))
-        & (F.col("silver_units") == F.col("gold_units"))
-        & (F.col("silver_sales") == F.col("gold_sales"))
-        & (F.col("silver_profit") == F.col("gold_profit"))
+    gold = summary.selectExpr(
+        "sum(line_item_count) AS gold_line_items",
+        "sum(units_sold) AS gold_units",
+        "sum(gross_sales_usd) AS gold_sales",
+        "sum(estimated_gross_profit_usd) AS gold_profit",
     )
-    return side_by_side([silver, gold]).withColumn("reconciled", F.coalesce(agree, F.lit(False)))
+    agree = " AND ".join(f"silver_{total} = gold_{total}" for total in ("line_items", "units", "sales", "profit"))
+    return side_by_side([silver, gold]).selectExpr("*", f"coalesce({agree}, false) AS reconciled")
 
 
 def build_gold(store: LayerStore) -> int:

@@ -43,12 +43,12 @@ def price_typed(lines: DataFrame, product_key: int = 1, rows: int = 10) -> DataF
 
 def channel_totals(summary: DataFrame) -> DataFrame:
     sums = ("units_sold", "gross_sales_usd", "estimated_gross_profit_usd")
-    return summary.groupBy("sales_channel").agg(*[F.sum(name).alias(name) for name in sums]).orderBy("sales_channel")
+    return summary.groupBy("sales_channel").agg(*[F.expr(f"sum({name}) AS {name}") for name in sums]).orderBy("sales_channel")
 
 
 def layer_row_counts(sales: DataFrame, lines: DataFrame, summary: DataFrame) -> DataFrame:
     labelled = {"Bronze sales": sales, "Silver sales": lines, "Gold summary": summary}
     return reduce(
         DataFrame.unionByName,
-        [frame.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(label).alias("layer"), "rows") for label, frame in labelled.items()],
+        [frame.selectExpr(f"'{label}' AS layer", "count(1) AS rows") for label, frame in labelled.items()],
     )

@@ -12,11 +12,11 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tallyroll.contracts import CHECK_RESULT_SCHEMA, GOLD_KEYS, GOLD_TABLE, IN_STORE, ONLINE, SILVER_TABLE
-from tallyroll.functions.text import EXACT
+from tallyroll.functions.text import positive_integer
 from tallyroll.operators.keys import match_counts, rows_and_excess
 from tallyroll.operators.scalars import side_by_side
 from tallyroll.sources.files import Files
@@ -36,62 +36,53 @@ class Layers:
 
 @dataclass(frozen=True)
 class Check:
-    """A named rule: ``failed`` of ``total`` rows break it, in terms of the counts it needs."""
+    """A named rule: ``failed`` of ``total`` rows break it, as SQL over the counts it needs."""
 
     name: str
     layer: str
     severity: str
     description: str
     counts: tuple[str, ...]
-    failed: Callable[[], Column]
-    total: Callable[[], Column]
-
-
-def _positive_integer(text: Column) -> Column:
-    exact = text.try_cast(EXACT)
-    slowly = (exact > 0) & (exact % 1 == 0) & exact.try_cast("bigint").isNotNull()
-    return F.coalesce(text.try_cast("bigint") > 0, slowly, F.lit(False))
+    failed: str
+    total: str
 
 
 def _sales_counts(layers: Layers) -> DataFrame:
-    return layers.sales.agg(
-        F.count(F.lit(1)).alias("sales_rows"),
-        F.count_if(~_positive_integer(F.col("quantity"))).alias("bad_quantities"),
+    return layers.sales.selectExpr(
+        "count(1) AS sales_rows", f"count_if(NOT {positive_integer('quantity')}) AS bad_quantities"
     )
 
 
 def _silver_counts(layers: Layers) -> DataFrame:
-    channel, delivered = F.col("sales_channel"), F.col("delivery_date")
     money = ("unit_cost_usd", "unit_price_usd", "gross_sales_usd", "estimated_gross_profit_usd")
-    incomplete = F.lit(False)
-    for name in money:
-        incomplete = incomplete | F.col(name).isNull()
-    return layers.silver.agg(
-        F.count(F.lit(1)).alias("silver_rows"),
-        F.count_if(delivered < F.col("order_date")).alias("early_deliveries"),
-        F.count_if(channel == ONLINE).alias("online_rows"),
-        F.count_if((channel == ONLINE) & delivered.isNull()).alias("online_undelivered"),
-        F.count_if(incomplete).alias("incomplete_measures"),
-        F.count_if(channel.isNull() | ~channel.isin(ONLINE, IN_STORE)).alias("unknown_channels"),
-        F.sum("quantity").alias("silver_units"),
-        F.sum("gross_sales_usd").alias("silver_sales"),
-        F.sum("estimated_gross_profit_usd").alias("silver_profit"),
+    incomplete = " OR ".join(f"{name} IS NULL" for name in money)
+    online = f"sales_channel = '{ONLINE}'"
+    return layers.silver.selectExpr(
+        "count(1) AS silver_rows",
+        "count_if(delivery_date < order_date) AS early_deliveries",
+        f"count_if({online}) AS online_rows",
+        f"count_if({online} AND delivery_date IS NULL) AS online_undelivered",
+        f"count_if({incomplete}) AS incomplete_measures",
+        f"count_if(sales_channel IS NULL OR sales_channel NOT IN ('{ONLINE}', '{IN_STORE}')) AS unknown_channels",
+        "sum(quantity) AS silver_units",
+        "sum(gross_sales_usd) AS silver_sales",
+        "sum(estimated_gross_profit_usd) AS silver_profit",
     )
 
 
 def _gold_counts(layers: Layers) -> DataFrame:
     per_key = layers.gold.groupBy(*GOLD_KEYS).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("units_sold").alias("units"),
-        F.sum("gross_sales_usd").alias("sales"),
-        F.sum("estimated_gross_profit_usd").alias("profit"),
+        F.expr("count(1) AS n"),
+        F.expr("sum(units_sold) AS units"),
+        F.expr("sum(gross_sales_usd) AS sales"),
+        F.expr("sum(estimated_gross_profit_usd) AS profit"),
     )
-    return per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("gold_rows"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("gold_excess"),
-        F.sum("units").alias("gold_units"),
-        F.sum("sales").alias("gold_sales"),
-        F.sum("profit").alias("gold_profit"),
+    return per_key.selectExpr(
+        "coalesce(sum(n), 0) AS gold_rows",
+        "coalesce(sum(n - 1), 0) AS gold_excess",
+        "sum(units) AS gold_units",
+        "sum(sales) AS gold_sales",
+        "sum(profit) AS gold_profit",
     )
 
 
@@ -108,71 +99,57 @@ COUNTS: dict[str, Callable[[Layers], DataFrame]] = {
     "gold": _gold_counts,
 }
 
-
-def _empty_tables() -> Column:
-    rows = ("sales_rows", "product_rows", "store_rows", "silver_rows", "gold_rows")
-    return sum(((F.col(name) == 0).cast("int") for name in rows), F.lit(0))
-
-
-def _totals_differ() -> Column:
-    agree = (
-        (F.col("silver_units") == F.col("gold_units"))
-        & (F.col("silver_sales") == F.col("gold_sales"))
-        & (F.col("silver_profit") == F.col("gold_profit"))
-    )
-    return F.when(agree, 0).otherwise(1)
-
-
-def _c(name: str) -> Callable[[], Column]:
-    return lambda: F.col(name)
-
+_EMPTY_TABLES = " + ".join(
+    f"cast({rows} = 0 AS int)" for rows in ("sales_rows", "product_rows", "store_rows", "silver_rows", "gold_rows")
+)
+_TOTALS_DIFFER = """CASE WHEN silver_units = gold_units AND silver_sales = gold_sales
+                              AND silver_profit = gold_profit THEN 0 ELSE 1 END"""
 
 # Names, layers, severities and descriptions of the recorded checks.
 CHECKS = (
     Check("required_tables_not_empty", "all", "critical",
           "The five core pipeline tables contain at least one row.",
-          ("sales", "products", "stores", "silver", "gold"), _empty_tables, lambda: F.lit(5)),
+          ("sales", "products", "stores", "silver", "gold"), _EMPTY_TABLES, "5"),
     Check("sales_grain_unique", "bronze", "critical",
           "Each order number and line item identifies one sales row.",
-          ("sales_grain",), _c("grain_excess"), _c("grain_rows")),
+          ("sales_grain",), "grain_excess", "grain_rows"),
     Check("product_key_unique", "bronze", "critical",
           "Each product key identifies one product row.",
-          ("products",), _c("product_excess"), _c("product_rows")),
+          ("products",), "product_excess", "product_rows"),
     Check("store_key_unique", "bronze", "critical",
           "Each store key identifies one store row.",
-          ("stores",), _c("store_excess"), _c("store_rows")),
+          ("stores",), "store_excess", "store_rows"),
     Check("sales_product_keys_match", "bronze", "critical",
           "Every sales product key matches the product dimension.",
-          ("product_matches",), _c("product_unmatched"), _c("product_match_rows")),
+          ("product_matches",), "product_unmatched", "product_match_rows"),
     Check("sales_store_keys_match", "bronze", "critical",
           "Every sales store key matches the store dimension.",
-          ("store_matches",), _c("store_unmatched"), _c("store_match_rows")),
+          ("store_matches",), "store_unmatched", "store_match_rows"),
     Check("quantity_positive_integer", "bronze", "high",
           "Sales quantity is a positive integer.",
-          ("sales",), _c("bad_quantities"), _c("sales_rows")),
+          ("sales",), "bad_quantities", "sales_rows"),
     Check("delivery_not_before_order", "silver", "high",
           "A populated delivery date is on or after the order date.",
-          ("silver",), _c("early_deliveries"), _c("silver_rows")),
+          ("silver",), "early_deliveries", "silver_rows"),
     Check("online_orders_have_delivery_date", "silver", "high",
           "Online orders have a delivery date.",
-          ("silver",), _c("online_undelivered"), _c("online_rows")),
+          ("silver",), "online_undelivered", "online_rows"),
     Check("silver_row_count_matches_bronze", "silver", "critical",
           "The Silver join neither loses nor multiplies sales rows.",
           ("sales", "silver"),
-          lambda: F.abs(F.col("silver_rows") - F.col("sales_rows")),
-          lambda: F.greatest("silver_rows", "sales_rows")),
+          "abs(silver_rows - sales_rows)", "greatest(silver_rows, sales_rows)"),
     Check("silver_measures_complete", "silver", "high",
           "Silver price, cost, sales, and estimated-profit measures are populated.",
-          ("silver",), _c("incomplete_measures"), _c("silver_rows")),
+          ("silver",), "incomplete_measures", "silver_rows"),
     Check("sales_channel_allowed_values", "silver", "high",
           "Sales channel is either Online or In Store.",
-          ("silver",), _c("unknown_channels"), _c("silver_rows")),
+          ("silver",), "unknown_channels", "silver_rows"),
     Check("gold_grain_unique", "gold", "critical",
           "Each month, product category, and channel appears once in Gold.",
-          ("gold",), _c("gold_excess"), _c("gold_rows")),
+          ("gold",), "gold_excess", "gold_rows"),
     Check("gold_totals_match_silver", "gold", "critical",
           "Gold units, sales, and estimated profit reconcile to Silver.",
-          ("silver", "gold"), _totals_differ, lambda: F.lit(1)),
+          ("silver", "gold"), _TOTALS_DIFFER, "1"),
 )
 
 
@@ -180,28 +157,20 @@ def check_results(layers: Layers, checks: tuple[Check, ...] = CHECKS) -> DataFra
     """One row per check, in the given order, without run columns."""
     needed = [name for name in COUNTS if any(name in check.counts for check in checks)]
     counts = side_by_side([COUNTS[name](layers) for name in needed])
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(check.name).alias("check_name"),
-                F.lit(check.layer).alias("layer"),
-                F.lit(check.severity).alias("severity"),
-                check.failed().cast("bigint").alias("failed_rows"),
-                check.total().cast("bigint").alias("total_rows"),
-                F.lit(check.description).alias("description"),
-            )
-            for check in checks
-        ]
+    rows = ", ".join(
+        f"""struct('{check.name}' AS check_name, '{check.layer}' AS layer, '{check.severity}' AS severity,
+                   cast({check.failed} AS bigint) AS failed_rows, cast({check.total} AS bigint) AS total_rows,
+                   '{check.description}' AS description)"""
+        for check in checks
     )
-    failed, total = F.col("failed_rows"), F.col("total_rows")
-    return counts.select(F.inline(rows)).select(
+    return counts.selectExpr(f"inline(array({rows}))").selectExpr(
         "check_name",
         "layer",
         "severity",
-        F.when(failed == 0, "PASS").otherwise("FAIL").alias("status"),
+        "CASE WHEN failed_rows = 0 THEN 'PASS' ELSE 'FAIL' END AS status",
         "failed_rows",
         "total_rows",
-        F.when(total == 0, F.lit(0.0)).otherwise(failed.cast("double") / F.nullif(total, F.lit(0)).cast("double")).alias("failure_rate"),
+        "coalesce(try_divide(cast(failed_rows AS double), cast(total_rows AS double)), 0D) AS failure_rate",
         "description",
     )
 

@@ -9,7 +9,7 @@ violations counted, to report the rule that comes first.
 from __future__ import annotations
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.contracts import IN_STORE, ONLINE, ONLINE_STORE_KEY, SILVER_TABLE, SILVER_TYPES
@@ -26,88 +26,85 @@ from tallyroll.functions.text import (
     whole_number,
     zero_padded_day,
 )
-from tallyroll.operators.keys import lookup, rows_and_excess
+from tallyroll.operators.keys import lines_per_key, lookup, rows_and_excess
 from tallyroll.operators.scalars import as_rows, side_by_side
 from tallyroll.sources.layer_store import LayerStore
 
 WHOLE_NUMBERS = ("order_number", "line_item", "customer_key", "store_key", "product_key", "quantity")
 
 NOT_WHOLE = "{} must contain whole numbers"
-NOT_POSITIVE = "quantity must be greater than zero"
-BAD_DATE = "A sales date could not be read"
-NO_ORDER_DATE = "order_date is required for every sales line"
 BAD_MONEY = "{} contains an invalid price or cost"
 REPEATED_KEY = "Product/store joins failed: duplicate dimension keys"
 NO_MATCH = "Product/store joins failed: a sales key has no match"
-NO_CATEGORY = "product_category is required for every sales line"
 
-# Rules in the order they are reported.
+# Rules and what they report, in the order they are reported.
 RULES = {
     **{f"sales_{name}": NOT_WHOLE.format(name) for name in WHOLE_NUMBERS},
     "products_product_key": NOT_WHOLE.format("product_key"),
     "stores_store_key": NOT_WHOLE.format("store_key"),
-    "quantity_not_positive": NOT_POSITIVE,
-    "sales_dates": BAD_DATE,
-    "order_date_missing": NO_ORDER_DATE,
+    "quantity_not_positive": "quantity must be greater than zero",
+    "sales_dates": "A sales date could not be read",
+    "order_date_missing": "order_date is required for every sales line",
     "unit_cost_usd": BAD_MONEY.format("unit_cost_usd"),
     "unit_price_usd": BAD_MONEY.format("unit_price_usd"),
     "product_key_repeats": REPEATED_KEY,
     "store_key_repeats": REPEATED_KEY,
     "product_key_unmatched": NO_MATCH,
     "store_key_unmatched": NO_MATCH,
-    "category_blank": NO_CATEGORY,
+    "category_blank": "product_category is required for every sales line",
 }
 
 
 def typed_sales(sales: DataFrame) -> DataFrame:
     """Sales text as typed columns, NULL where it breaks a rule, plus two date flags."""
-    texts = sales.select(
+    texts = sales.selectExpr(
         *WHOLE_NUMBERS,
         "currency_code",
-        zero_padded_day(F.col("order_date")).alias("order_text"),
-        zero_padded_day(stripped(F.col("delivery_date"))).alias("delivery_text"),
+        f"{zero_padded_day('order_date')} AS order_text",
+        f"{zero_padded_day(stripped('delivery_date'))} AS delivery_text",
     )
-    parsed = texts.select(
-        *[whole_number(F.col(name)).alias(name) for name in WHOLE_NUMBERS],
+    parsed = texts.selectExpr(
+        *[f"{whole_number(name)} AS {name}" for name in WHOLE_NUMBERS],
         "currency_code",
-        source_date(F.col("order_text")).alias("order_day"),
-        no_date(F.col("order_text")).alias("order_date_absent"),
-        source_date(F.col("delivery_text")).alias("delivery_day"),
-        no_date(F.col("delivery_text")).alias("delivery_date_absent"),
+        f"{source_date('order_text')} AS order_day",
+        f"{no_date('order_text')} AS order_date_absent",
+        f"{source_date('delivery_text')} AS delivery_day",
+        f"{no_date('delivery_text')} AS delivery_date_absent",
     )
-    return parsed.select(
+    return parsed.selectExpr(
         *WHOLE_NUMBERS,
         "currency_code",
-        F.when(in_date_range(F.col("order_day")), F.col("order_day")).alias("order_date"),
-        F.when(in_date_range(F.col("delivery_day")), F.col("delivery_day")).alias("delivery_date"),
+        f"CASE WHEN {in_date_range('order_day')} THEN order_day END AS order_date",
+        f"CASE WHEN {in_date_range('delivery_day')} THEN delivery_day END AS delivery_date",
         "order_date_absent",
-        (F.col("delivery_date_absent") | F.coalesce(in_date_range(F.col("delivery_day")), F.lit(False))).alias("delivery_date_ok"),
+        f"delivery_date_absent OR coalesce({in_date_range('delivery_day')}, false) AS delivery_date_ok",
     )
 
 
 def typed_products(products: DataFrame) -> DataFrame:
-    return products.select(
-        whole_number(F.col("product_key")).alias("product_key"),
+    return products.selectExpr(
+        f"{whole_number('product_key')} AS product_key",
         "product_name",
         "brand",
-        F.col("subcategory").alias("product_subcategory"),
-        F.col("category").alias("product_category"),
-        (~is_blank(F.col("category"))).alias("has_category"),
-        money(F.col("unit_cost_usd")).alias("unit_cost_usd"),
-        money(F.col("unit_price_usd")).alias("unit_price_usd"),
+        "subcategory AS product_subcategory",
+        "category AS product_category",
+        f"NOT {is_blank('category')} AS has_category",
+        f"{money('unit_cost_usd')} AS unit_cost_usd",
+        f"{money('unit_price_usd')} AS unit_price_usd",
     )
 
 
 def typed_stores(stores: DataFrame) -> DataFrame:
-    return stores.select(
-        whole_number(F.col("store_key")).alias("store_key"),
-        F.col("country").alias("store_country"),
-        F.col("state").alias("store_state"),
+    return stores.selectExpr(
+        f"{whole_number('store_key')} AS store_key", "country AS store_country", "state AS store_state"
     )
 
 
-def sales_channel(store_key: Column) -> Column:
-    return F.when(store_key == ONLINE_STORE_KEY, ONLINE).otherwise(IN_STORE)
+def _enforced(frame: DataFrame, rules: dict[str, str]) -> DataFrame:
+    """The frame with a failed job where one of the named columns is NULL."""
+    return frame.selectExpr(
+        *[f"{required(name, RULES[rules[name]])} AS {name}" if name in rules else name for name in frame.columns]
+    )
 
 
 def enriched_sales(sales: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
@@ -117,78 +114,70 @@ def enriched_sales(sales: DataFrame, products: DataFrame, stores: DataFrame) ->
     small, AQE does once its real size is known, and otherwise the shuffle join remains, where
     AQE splits the partition of a hot product or of the online store.
     """
-    product = _must(typed_products(products), {
-        "product_key": RULES["products_product_key"],
-        "unit_cost_usd": RULES["unit_cost_usd"],
-        "unit_price_usd": RULES["unit_price_usd"],
-    })
-    store = _must(typed_stores(stores), {"store_key": RULES["stores_store_key"]})
-    line = _must(typed_sales(sales), {name: RULES[f"sales_{name}"] for name in WHOLE_NUMBERS})
+    line = _enforced(typed_sales(sales), {name: f"sales_{name}" for name in WHOLE_NUMBERS})
+    product = _enforced(
+        typed_products(products),
+        {
+            "product_key": "products_product_key",
+            "unit_cost_usd": "unit_cost_usd",
+            "unit_price_usd": "unit_price_usd",
+        },
+    )
+    store = _enforced(typed_stores(stores), {"store_key": "stores_store_key"})
     lines = line.join(lookup(product, "product_key", "product_found", REPEATED_KEY), "product_key", "left").join(
         lookup(store, "store_key", "store_found", REPEATED_KEY), "store_key", "left"
     )
-
-    def of_product(name: str) -> Column:
-        return only_if(F.col("product_found"), F.col(name), NO_MATCH)
-
-    def of_store(name: str) -> Column:
-        return only_if(F.col("store_found"), F.col(name), NO_MATCH)
-
-    checked = lines.select(
-        "order_number",
-        "line_item",
-        required(F.col("order_date"), BAD_DATE).alias("order_date"),
-        only_if(F.col("delivery_date_ok"), F.col("delivery_date"), BAD_DATE).alias("delivery_date"),
-        "customer_key",
-        "store_key",
-        "product_key",
-        only_if(F.col("quantity") > 0, F.col("quantity"), NOT_POSITIVE).alias("quantity"),
-        "currency_code",
-        of_product("product_name").alias("product_name"),
-        of_product("brand").alias("brand"),
-        of_product("product_subcategory").alias("product_subcategory"),
-        only_if(F.col("has_category"), F.col("product_category"), NO_CATEGORY).alias("product_category"),
-        of_product("unit_cost_usd").alias("unit_cost_usd"),
-        of_product("unit_price_usd").alias("unit_price_usd"),
-        of_store("store_country").alias("store_country"),
-        of_store("store_state").alias("store_state"),
-        sales_channel(F.col("store_key")).alias("sales_channel"),
+    values = {
+        "order_date": required("order_date", RULES["sales_dates"]),
+        "delivery_date": only_if("delivery_date_ok", "delivery_date", RULES["sales_dates"]),
+        "quantity": only_if("quantity > 0", "quantity", RULES["quantity_not_positive"]),
+        "product_category": only_if("has_category", "product_category", RULES["category_blank"]),
+        **{
+            name: only_if("product_found", name, NO_MATCH)
+            for name in ("product_name", "brand", "product_subcategory", "unit_cost_usd", "unit_price_usd")
+        },
+        **{name: only_if("store_found", name, NO_MATCH) for name in ("store_country", "store_state")},
+        "sales_channel": f"CASE WHEN store_key = {ONLINE_STORE_KEY} THEN '{ONLINE}' ELSE '{IN_STORE}' END",
+    }
+    measures = {
+        # On the unrounded price, then rounded once by the cast.
+        "gross_sales_usd": "quantity * unit_price_usd",
+        "estimated_gross_profit_usd": "quantity * (unit_price_usd - unit_cost_usd)",
+    }
+    checked = lines.selectExpr(*[f"{values.get(name, name)} AS {name}" for name in SILVER_TYPES if name not in measures])
+    return checked.selectExpr(
+        *[f"cast({measures.get(name, name)} AS {kind}) AS {name}" for name, kind in SILVER_TYPES.items()]
     )
-    # Measured on the unrounded price, then rounded once by the cast.
-    measured = checked.select(
-        "*",
-        (F.col("quantity") * F.col("unit_price_usd")).alias("gross_sales_usd"),
-        (F.col("quantity") * (F.col("unit_price_usd") - F.col("unit_cost_usd"))).alias("estimated_gross_profit_usd"),
-    )
-    return measured.select(*[F.col(name).cast(kind).alias(name) for name, kind in SILVER_TYPES.items()])
 
 
 def silver_violations(sales: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
     """Rows per broken rule, in reporting order: (position, rule, violations)."""
     line, product, store = typed_sales(sales), typed_products(products), typed_stores(stores)
-    date_unreadable = (F.col("order_date").isNull() & ~F.col("order_date_absent")) | ~F.col("delivery_date_ok")
+    unreadable = "(order_date IS NULL AND NOT order_date_absent) OR NOT delivery_date_ok"
     frames = [
-        line.agg(
-            *[_nulls(name).alias(f"sales_{name}") for name in WHOLE_NUMBERS],
-            F.count_if(F.col("quantity") <= 0).alias("quantity_not_positive"),
-            F.count_if(date_unreadable).alias("sales_dates"),
-            F.count_if("order_date_absent").alias("order_date_missing"),
+        line.selectExpr(
+            *[f"count_if({name} IS NULL) AS sales_{name}" for name in WHOLE_NUMBERS],
+            "count_if(quantity <= 0) AS quantity_not_positive",
+            f"count_if({unreadable}) AS sales_dates",
+            "count_if(order_date_absent) AS order_date_missing",
         ),
-        product.agg(
-            _nulls("product_key").alias("products_product_key"),
-            _nulls("unit_cost_usd").alias("unit_cost_usd"),
-            _nulls("unit_price_usd").alias("unit_price_usd"),
+        product.selectExpr(
+            "count_if(product_key IS NULL) AS products_product_key",
+            "count_if(unit_cost_usd IS NULL) AS unit_cost_usd",
+            "count_if(unit_price_usd IS NULL) AS unit_price_usd",
         ),
-        store.agg(_nulls("store_key").alias("stores_store_key")),
+        store.selectExpr("count_if(store_key IS NULL) AS stores_store_key"),
         rows_and_excess(product, ["product_key"], "product_rows", "product_key_repeats"),
         rows_and_excess(store, ["store_key"], "store_rows", "store_key_repeats"),
-        _per_key(line, product, "product_key", has_category=F.bool_and("has_category")).agg(
-            _lines_where(F.col("in_dim").isNull()).alias("product_key_unmatched"),
-            _lines_where(~F.col("has_category")).alias("category_blank"),
+        lines_per_key(line, product, "product_key", has_category="bool_and(has_category)").selectExpr(
+            "sum(CASE WHEN copies IS NULL THEN lines ELSE 0 END) AS product_key_unmatched",
+            "sum(CASE WHEN NOT has_category THEN lines ELSE 0 END) AS category_blank",
+        ),
+        lines_per_key(line, store, "store_key").selectExpr(
+            "sum(CASE WHEN copies IS NULL THEN lines ELSE 0 END) AS store_key_unmatched"
         ),
-        _per_key(line, store, "store_key").agg(_lines_where(F.col("in_dim").isNull()).alias("store_key_unmatched")),
     ]
-    return as_rows(side_by_side(frames).select(*RULES), "rule", "violations")
+    return as_rows(side_by_side(frames), list(RULES), "rule", "violations")
 
 
 def build_silver(store: LayerStore) -> int:
@@ -196,8 +185,9 @@ def build_silver(store: LayerStore) -> int:
     tables = ("sales", "products", "stores")
     store.require([("bronze", table) for table in tables], "bronze")
     sales, products, stores = (store.table("bronze", table) for table in tables)
+    enriched = enriched_sales(sales, products, stores).withColumn("loaded_at", F.current_timestamp())
     try:
-        version = store.stage("silver", SILVER_TABLE, enriched_sales(sales, products, stores).withColumn("loaded_at", F.current_timestamp()))
+        version = store.stage("silver", SILVER_TABLE, enriched)
     except PySparkException as error:
         broken = silver_violations(sales, products, stores).where("violations > 0").orderBy("position").first()
         if broken is None:
@@ -209,22 +199,3 @@ def build_silver(store: LayerStore) -> int:
         raise StageError("Silver row count does not match Bronze sales")
     store.publish("silver", {SILVER_TABLE: version})
     return rows
-
-
-def _must(frame: DataFrame, messages: dict[str, str]) -> DataFrame:
-    return frame.withColumns({name: required(F.col(name), message) for name, message in messages.items()})
-
-
-def _nulls(name: str) -> Column:
-    return F.count_if(F.col(name).isNull())
-
-
-def _per_key(lines: DataFrame, dim: DataFrame, key: str, **flags: Column) -> DataFrame:
-    """Lines per key beside what the dimension says of that key; hot keys are folded first."""
-    counted = lines.groupBy(key).agg(F.count(F.lit(1)).alias("lines"))
-    known = dim.groupBy(key).agg(F.lit(True).alias("in_dim"), *[flag.alias(name) for name, flag in flags.items()])
-    return counted.join(known, key, "left")
-
-
-def _lines_where(condition: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.col("lines"))), F.lit(0))

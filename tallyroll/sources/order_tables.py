@@ -2,71 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tallyroll.functions.text import SOURCE_DATE
 
+_schemas: dict[tuple[str, str], T.StructType] = {}
 
-def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
 
-
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
-
-
-def _date_text(name: str) -> Column:
-    return F.date_format(name, SOURCE_DATE)
+def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    """A given table; its schema is read from the files once per application."""
+    path = f"{directory.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def sales(spark: SparkSession, directory: str) -> DataFrame:
-    lines = _table(spark, directory, "lineitem")
     # Dates become text per order, before the join repeats them per line.
-    orders = _table(spark, directory, "orders").select(
-        "o_orderkey", _text("o_custkey").alias("customer_key"), _date_text("o_orderdate").alias("order_date")
+    orders = table(spark, directory, "orders").selectExpr(
+        "o_orderkey AS l_orderkey",
+        "cast(o_custkey AS string) AS customer_key",
+        f"date_format(o_orderdate, '{SOURCE_DATE}') AS order_date",
     )
-    undelivered = (F.col("l_suppkey") != 0) & (F.col("l_returnflag") == "N")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        _text("l_orderkey").alias("order_number"),
-        _text("l_linenumber").alias("line_item"),
+    return table(spark, directory, "lineitem").join(orders, "l_orderkey").selectExpr(
+        "cast(l_orderkey AS string) AS order_number",
+        "cast(l_linenumber AS string) AS line_item",
         "order_date",
-        F.when(undelivered, "").otherwise(_date_text("l_shipdate")).alias("delivery_date"),
+        f"""CASE WHEN l_suppkey <> 0 AND l_returnflag = 'N' THEN ''
+                 ELSE date_format(l_shipdate, '{SOURCE_DATE}') END AS delivery_date""",
         "customer_key",
-        _text("l_suppkey").alias("store_key"),
-        _text("l_partkey").alias("product_key"),
-        F.col("l_quantity").cast("bigint").cast("string").alias("quantity"),
-        F.lit("USD").alias("currency_code"),
+        "cast(l_suppkey AS string) AS store_key",
+        "cast(l_partkey AS string) AS product_key",
+        "cast(cast(l_quantity AS bigint) AS string) AS quantity",
+        "'USD' AS currency_code",
     )
 
 
 def products(spark: SparkSession, directory: str) -> DataFrame:
-    price = F.col("p_retailprice").cast("decimal(12,2)")
-    cost = price * F.lit("0.6").cast("decimal(2,1)")
-    return _table(spark, directory, "part").select(
-        _text("p_partkey").alias("product_key"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_brand").alias("brand"),
-        F.split_part("p_name", F.lit(" "), F.lit(1)).alias("color"),
-        F.concat(F.lit("$"), F.format_number(cost, 2)).alias("unit_cost_usd"),
-        F.concat(F.lit("$"), F.format_number(price, 2)).alias("unit_price_usd"),
-        _text("p_size").alias("subcategory_key"),
-        F.concat(F.lit("size "), _text("p_size")).alias("subcategory"),
-        F.col("p_type").alias("category_key"),
-        F.col("p_type").alias("category"),
+    price = "cast(p_retailprice AS decimal(12,2))"
+    return table(spark, directory, "part").selectExpr(
+        "cast(p_partkey AS string) AS product_key",
+        "p_name AS product_name",
+        "p_brand AS brand",
+        "split_part(p_name, ' ', 1) AS color",
+        f"'$' || format_number({price} * 0.6, 2) AS unit_cost_usd",
+        f"'$' || format_number({price}, 2) AS unit_price_usd",
+        "cast(p_size AS string) AS subcategory_key",
+        "'size ' || p_size AS subcategory",
+        "p_type AS category_key",
+        "p_type AS category",
     )
 
 
 def stores(spark: SparkSession, directory: str) -> DataFrame:
-    suppliers = _table(spark, directory, "supplier")
-    nations = _table(spark, directory, "nation")
-    online = F.col("s_suppkey") == 0
-    return suppliers.join(nations, suppliers.s_nationkey == nations.n_nationkey).select(
-        _text("s_suppkey").alias("store_key"),
-        F.when(online, "Online").otherwise(F.col("n_name")).alias("country"),
-        F.when(online, "Online").otherwise(F.col("s_name")).alias("state"),
-        F.lit("").alias("square_meters"),
-        F.lit("1/1/2008").alias("open_date"),
+    nations = table(spark, directory, "nation").selectExpr("n_nationkey AS s_nationkey", "n_name")
+    return table(spark, directory, "supplier").join(nations, "s_nationkey").selectExpr(
+        "cast(s_suppkey AS string) AS store_key",
+        "CASE WHEN s_suppkey = 0 THEN 'Online' ELSE n_name END AS country",
+        "CASE WHEN s_suppkey = 0 THEN 'Online' ELSE s_name END AS state",
+        "'' AS square_meters",
+        "'1/1/2008' AS open_date",
     )
 
 
