@@ -1,4 +1,10 @@
-"""Errors a pipeline stage reports to its caller."""
+"""Errors a pipeline stage reports to its caller, and those a failed Spark job raises."""
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
+# Some causes of a failed job, such as an unreadable file, reach Python unconverted.
+JOB_ERRORS = (PySparkException, Py4JJavaError)
 
 
 class StageError(ValueError):

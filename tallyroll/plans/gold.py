@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.contracts import GOLD_KEYS, GOLD_TABLE, GOLD_TYPES, SILVER_TABLE
-from tallyroll.errors import StageError
+from tallyroll.errors import JOB_ERRORS, StageError
 from tallyroll.functions.months import month_start
 from tallyroll.functions.text import is_blank, only_if
 from tallyroll.operators.scalars import as_rows, side_by_side
@@ -76,7 +75,7 @@ def build_gold(store: LayerStore) -> int:
     lines = store.table("silver", SILVER_TABLE)
     try:
         version = store.stage("gold", GOLD_TABLE, monthly_summary(lines))
-    except PySparkException as error:
+    except JOB_ERRORS as error:
         broken = gold_violations(lines).where("violations > 0").orderBy("position").first()
         if broken is None:
             raise

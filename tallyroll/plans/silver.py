@@ -8,12 +8,11 @@ violations counted, to report the rule that comes first.
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.contracts import IN_STORE, ONLINE, ONLINE_STORE_KEY, SILVER_TABLE, SILVER_TYPES
-from tallyroll.errors import StageError
+from tallyroll.errors import JOB_ERRORS, StageError
 from tallyroll.functions.text import (
     in_date_range,
     is_blank,
@@ -188,7 +187,7 @@ def build_silver(store: LayerStore) -> int:
     enriched = enriched_sales(sales, products, stores).withColumn("loaded_at", F.current_timestamp())
     try:
         version = store.stage("silver", SILVER_TABLE, enriched)
-    except PySparkException as error:
+    except JOB_ERRORS as error:
         broken = silver_violations(sales, products, stores).where("violations > 0").orderBy("position").first()
         if broken is None:
             raise

@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,7 @@ from tallyroll.sources.files import Files
 
 MALFORMED = "_malformed"
 BEYOND_HEADER = "_beyond_header"
+TOO_LONG = "could not read {}: a row has more fields than the header"
 
 
 @dataclass(frozen=True)
@@ -80,13 +81,27 @@ def read_sources(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     return {contract.table: read_source(spark, directory, contract) for contract in SOURCES}
 
 
-def count_rows(spark: SparkSession, directory: str, contract: SourceContract, text: SourceText) -> int:
-    """Data rows of a source; fails as ``read_source`` does on a row that is too long."""
-    parsed = _parsed(spark, source_path(directory, contract), contract, text)
-    return parsed.agg(F.count(parsed.columns[0])).first()[0]
+def count_rows(spark: SparkSession, directory: str, contract: SourceContract, text: SourceText) -> tuple[int, int]:
+    """Data rows of a source, and how many of them have more fields than the header."""
+    raw, too_long = _raw(spark, source_path(directory, contract), contract, text)
+    # With any column pruned from the scan, Spark no longer compares field counts.
+    every_column = F.coalesce(*[F.col(f"`{name}`") for name in text.header])
+    counts = raw.agg(F.count(F.lit(1)), F.count_if(too_long), F.count(every_column)).first()
+    return counts[0], counts[1]
 
 
 def _parsed(spark: SparkSession, path: str, contract: SourceContract, text: SourceText) -> DataFrame:
+    """The rows under their headers; one with more fields than the header fails the job."""
+    raw, too_long = _raw(spark, path, contract, text)
+    failure = F.raise_error(F.lit(TOO_LONG.format(contract.file_name)))
+    first, *rest = text.header
+    return raw.select(
+        F.when(too_long, failure).otherwise(_text(first)).alias(first), *[_text(name).alias(name) for name in rest]
+    )
+
+
+def _raw(spark: SparkSession, path: str, contract: SourceContract, text: SourceText) -> tuple[DataFrame, Column]:
+    """The rows as Spark parses them, and the condition that a row is too long."""
     folded = [name.casefold() for name in text.header]
     if len(set(folded)) < len(folded):
         raise SourceError(f"could not read {contract.file_name}: a column name repeats in the header")
@@ -105,15 +120,8 @@ def _parsed(spark: SparkSession, path: str, contract: SourceContract, text: Sour
     # count is off, so only those few are parsed again, with one more field to catch it.
     wider = ", ".join(f"`{name}` string" for name in [*text.header, BEYOND_HEADER])
     again = F.from_csv(F.col(MALFORMED), wider, {"escape": '"'})
-    too_long = F.col(MALFORMED).isNotNull() & again[BEYOND_HEADER].isNotNull()
-    failure = F.raise_error(F.lit(f"could not read {contract.file_name}: a row has more fields than the header"))
-    first, *rest = text.header
-    return raw.select(
-        F.when(too_long, failure).otherwise(_text(first)).alias(first),
-        *[_text(name).alias(name) for name in rest],
-    )
+    return raw, F.col(MALFORMED).isNotNull() & again[BEYOND_HEADER].isNotNull()
 
 
-def _text(name: str):
+def _text(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`"), F.lit(""))
-

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyroll.contracts import SOURCES, SourceContract
-from tallyroll.errors import SourceError
-from tallyroll.sources.delimited import count_rows, inspect_text
+from tallyroll.errors import JOB_ERRORS, SourceError
+from tallyroll.sources.delimited import TOO_LONG, count_rows, inspect_text
 
 SUMMARY_SCHEMA = "file_name string, row_count bigint, column_count int"
 
@@ -24,9 +23,11 @@ def _check(spark: SparkSession, directory: str, contract: SourceContract) -> tup
     if text.header != contract.headers:
         raise SourceError(f"{contract.file_name} has an unexpected header ({_difference(text.header, contract.headers)})")
     try:
-        rows = count_rows(spark, directory, contract, text)
-    except PySparkException as error:
+        rows, too_long = count_rows(spark, directory, contract, text)
+    except JOB_ERRORS as error:
         raise SourceError(f"could not read {contract.file_name}: {error}") from error
+    if too_long:
+        raise SourceError(TOO_LONG.format(contract.file_name))
     if rows == 0:
         raise SourceError(f"{contract.file_name} contains no data rows")
     return contract.file_name, rows, len(text.header)
