@@ -1,7 +1,7 @@
 """Key-level operators: duplicates, lookups and anti-match counts.
 
-They all aggregate by key before any join. The map-side partial aggregate folds a hot key
-into one row per task, so a key that holds a third of the table never lands in one task.
+Counts aggregate by key before any join. The map-side partial aggregate folds a hot key into
+one row per task, so a key that holds a third of the table never lands in one task.
 """
 
 from __future__ import annotations
@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroll.functions.text import required
-
 
 def rows_and_excess(df: DataFrame, keys: list[str], rows: str, excess: str) -> DataFrame:
     """One row: all rows, and the rows beyond the first of their key (NULL keys group)."""
@@ -21,17 +19,14 @@ def rows_and_excess(df: DataFrame, keys: list[str], rows: str, excess: str) -> D
 
 
 def lookup(dim: DataFrame, key: str, matched: str, duplicate_message: str) -> DataFrame:
-    """``dim`` with at most one row per key, failing the job if a key repeats.
+    """``dim`` with a flag for the rows a left join finds, failing the job if a key repeats.
 
-    The grouping tells Catalyst that the key is unique: a left join to it cannot multiply
-    lines, and is dropped altogether when no column of it is used. A shuffle join on the
-    key reuses the grouping's partitioning.
+    The check is a subquery beside the join, not a grouping below it. So the two inputs of a
+    shuffle join are plain exchanges, which AQE needs in order to split a hot key.
     """
-    others = [name for name in dim.columns if name != key]
-    unique = required("CASE WHEN count(1) = 1 THEN true END", duplicate_message)
-    return dim.groupBy(key).agg(
-        *[F.expr(f"first({name}) AS {name}") for name in others], F.expr(f"{unique} AS {matched}")
-    )
+    most = dim.groupBy(key).agg(F.expr("count(1) AS copies")).selectExpr("coalesce(max(copies), 0)")
+    unique = F.when(most.scalar() <= 1, F.lit(True)).otherwise(F.raise_error(F.lit(duplicate_message)))
+    return dim.select("*", unique.alias(matched))
 
 
 def lines_per_key(lines: DataFrame, dim: DataFrame, key: str, **flags: str) -> DataFrame:

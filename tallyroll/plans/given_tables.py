@@ -20,7 +20,7 @@ from tallyroll.plans.bronze import load_bronze, with_lineage
 from tallyroll.plans.export import export_gold
 from tallyroll.plans.gold import build_gold, gold_violations, monthly_summary, reconciliation
 from tallyroll.plans.quality import CHECKS, Layers
-from tallyroll.plans.silver import build_silver, enriched_sales, silver_violations
+from tallyroll.plans.silver import build_silver, enriched_sales, priced_sales, silver_violations
 from tallyroll.session import scratch_path
 from tallyroll.sources import order_tables
 from tallyroll.sources.delimited import read_source
@@ -37,14 +37,20 @@ def silver_lines(spark: SparkSession, directory: str) -> DataFrame:
     return enriched_sales(**order_tables.bronze_shaped(spark, directory))
 
 
+def priced_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """Silver lines without the store columns, which Gold and the forecast do not use."""
+    return priced_sales(order_tables.sales(spark, directory), order_tables.products(spark, directory))
+
+
 def gold_rows(spark: SparkSession, directory: str) -> DataFrame:
-    return monthly_summary(silver_lines(spark, directory))
+    return monthly_summary(priced_lines(spark, directory))
 
 
 def all_layers(spark: SparkSession, directory: str) -> Layers:
     bronze = order_tables.bronze_shaped(spark, directory)
     lines = enriched_sales(**bronze)
-    return Layers(**bronze, silver=lines, gold=monthly_summary(lines))
+    gold = monthly_summary(priced_sales(bronze["sales"], bronze["products"]))
+    return Layers(**bronze, silver=lines, gold=gold)
 
 
 def damaged_bronze(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
@@ -78,7 +84,7 @@ def damaged_bronze(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
 def damaged_lines(spark: SparkSession, directory: str) -> DataFrame:
     """Silver lines with missing months, categories and channels."""
     return _replaced(
-        silver_lines(spark, directory),
+        priced_lines(spark, directory),
         {
             "order_date": "CASE WHEN line_item <> 1 THEN order_date END",
             "product_category": "CASE WHEN line_item = 2 THEN ' \\t' WHEN line_item <> 3 THEN product_category END",
@@ -243,7 +249,7 @@ def date_parse(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def reconciled(spark: SparkSession, directory: str) -> DataFrame:
-    lines = silver_lines(spark, directory)
+    lines = priced_lines(spark, directory)
     return reconciliation(lines, monthly_summary(lines))
 
 
@@ -310,7 +316,7 @@ def latest_audit(spark: SparkSession, directory: str) -> DataFrame:
 def price_text_vs_typed(spark: SparkSession, directory: str) -> DataFrame:
     """A product's price as delivered beside the value its Silver lines carry."""
     text = inspect.price_text(order_tables.products(spark, directory))
-    typed = inspect.price_typed(silver_lines(spark, directory))
+    typed = inspect.price_typed(priced_lines(spark, directory))
     return text.selectExpr("'text' AS form", "unit_price_usd AS price").unionByName(
         typed.selectExpr("'typed' AS form", "cast(unit_price_usd AS string) AS price")
     )
@@ -320,7 +326,7 @@ def price_text_vs_typed(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _panel(spark: SparkSession, directory: str) -> tuple[fc.History, DataFrame]:
-    history = fc.monthly_history(silver_lines(spark, directory))
+    history = fc.monthly_history(priced_lines(spark, directory))
     return history, fc.complete_panel(history)
 
 
@@ -377,7 +383,7 @@ def queries() -> dict[str, Query]:
         "silver_date_parse": date_parse,
         "silver_violations": lambda spark, at: silver_violations(**order_tables.bronze_shaped(spark, at)),
         "silver_violations_damaged": lambda spark, at: silver_violations(**damaged_bronze(spark, at)),
-        "gold_violations": lambda spark, at: gold_violations(silver_lines(spark, at)),
+        "gold_violations": lambda spark, at: gold_violations(priced_lines(spark, at)),
         "gold_violations_damaged": lambda spark, at: gold_violations(damaged_lines(spark, at)),
         "gold_reconciliation": reconciled,
         "published_gold": published_gold,
@@ -390,11 +396,11 @@ def queries() -> dict[str, Query]:
         "inspect_gold_head": lambda spark, at: inspect.gold_head(gold_rows(spark, at)),
         "inspect_bronze_head": lambda spark, at: inspect.bronze_head(order_tables.sales(spark, at)),
         "inspect_price_text": lambda spark, at: inspect.price_text(order_tables.products(spark, at)),
-        "inspect_price_typed": lambda spark, at: inspect.price_typed(silver_lines(spark, at)),
+        "inspect_price_typed": lambda spark, at: inspect.price_typed(priced_lines(spark, at)),
         "inspect_price_text_vs_typed": price_text_vs_typed,
         "inspect_channel_totals": lambda spark, at: inspect.channel_totals(gold_rows(spark, at)),
-        "forecast_last_complete_month": lambda spark, at: fc.latest_order(silver_lines(spark, at)),
-        "forecast_monthly_sales": lambda spark, at: fc.monthly_history(silver_lines(spark, at)).monthly,
+        "forecast_last_complete_month": lambda spark, at: fc.latest_order(priced_lines(spark, at)),
+        "forecast_monthly_sales": lambda spark, at: fc.monthly_history(priced_lines(spark, at)).monthly,
         "forecast_panel": lambda spark, at: _panel(spark, at)[1],
         "forecast_features": panel_features,
         "forecast_split": temporal_split,
@@ -402,7 +408,7 @@ def queries() -> dict[str, Query]:
         "forecast_naive_metrics": lambda spark, at: fc.error_metrics(_naive_holdout(spark, at), "seasonal_naive_usd"),
         "forecast_next_month_features": next_month_rows,
         "forecast_next_month_naive": naive_next_month,
-        "forecast_holdout_ridge": lambda spark, at: fc.forecast(silver_lines(spark, at)).holdout,
-        "forecast_next_month": lambda spark, at: fc.forecast(silver_lines(spark, at)).next_month,
-        "forecast_summary": lambda spark, at: fc.forecast(silver_lines(spark, at)).summary,
+        "forecast_holdout_ridge": lambda spark, at: fc.forecast(priced_lines(spark, at)).holdout,
+        "forecast_next_month": lambda spark, at: fc.forecast(priced_lines(spark, at)).next_month,
+        "forecast_summary": lambda spark, at: fc.forecast(priced_lines(spark, at)).summary,
     }

@@ -31,6 +31,8 @@ from tallyroll.sources.layer_store import LayerStore
 
 WHOLE_NUMBERS = ("order_number", "line_item", "customer_key", "store_key", "product_key", "quantity")
 
+STORE_COLUMNS = ("store_country", "store_state")
+
 NOT_WHOLE = "{} must contain whole numbers"
 BAD_MONEY = "{} contains an invalid price or cost"
 REPEATED_KEY = "Product/store joins failed: duplicate dimension keys"
@@ -106,12 +108,12 @@ def _enforced(frame: DataFrame, rules: dict[str, str]) -> DataFrame:
     )
 
 
-def enriched_sales(sales: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
-    """The Silver columns, lazily; using a column enforces the rules it depends on.
+def priced_sales(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """The Silver columns that need no store, lazily; together they enforce all their rules.
 
-    Neither side of the two joins is hinted. Catalyst broadcasts a dimension it estimates as
-    small, AQE does once its real size is known, and otherwise the shuffle join remains, where
-    AQE splits the partition of a hot product or of the online store.
+    The join is not hinted. Catalyst broadcasts a dimension it estimates as small, AQE does
+    once its real size is known, and otherwise the shuffle join remains, where AQE splits the
+    partition of a hot product.
     """
     line = _enforced(typed_sales(sales), {name: f"sales_{name}" for name in WHOLE_NUMBERS})
     product = _enforced(
@@ -122,20 +124,13 @@ def enriched_sales(sales: DataFrame, products: DataFrame, stores: DataFrame) ->
             "unit_price_usd": "unit_price_usd",
         },
     )
-    store = _enforced(typed_stores(stores), {"store_key": "stores_store_key"})
-    lines = line.join(lookup(product, "product_key", "product_found", REPEATED_KEY), "product_key", "left").join(
-        lookup(store, "store_key", "store_found", REPEATED_KEY), "store_key", "left"
-    )
     values = {
         "order_date": required("order_date", RULES["sales_dates"]),
         "delivery_date": only_if("delivery_date_ok", "delivery_date", RULES["sales_dates"]),
         "quantity": only_if("quantity > 0", "quantity", RULES["quantity_not_positive"]),
         "product_category": only_if("has_category", "product_category", RULES["category_blank"]),
-        **{
-            name: only_if("product_found", name, NO_MATCH)
-            for name in ("product_name", "brand", "product_subcategory", "unit_cost_usd", "unit_price_usd")
-        },
-        **{name: only_if("store_found", name, NO_MATCH) for name in ("store_country", "store_state")},
+        # One column carries the match: more would only grow the generated method.
+        "unit_price_usd": only_if("product_found", "unit_price_usd", NO_MATCH),
         "sales_channel": f"CASE WHEN store_key = {ONLINE_STORE_KEY} THEN '{ONLINE}' ELSE '{IN_STORE}' END",
     }
     measures = {
@@ -143,10 +138,21 @@ def enriched_sales(sales: DataFrame, products: DataFrame, stores: DataFrame) ->
         "gross_sales_usd": "quantity * unit_price_usd",
         "estimated_gross_profit_usd": "quantity * (unit_price_usd - unit_cost_usd)",
     }
-    checked = lines.selectExpr(*[f"{values.get(name, name)} AS {name}" for name in SILVER_TYPES if name not in measures])
-    return checked.selectExpr(
-        *[f"cast({measures.get(name, name)} AS {kind}) AS {name}" for name, kind in SILVER_TYPES.items()]
+    kinds = {name: kind for name, kind in SILVER_TYPES.items() if name not in STORE_COLUMNS}
+    lines = line.join(lookup(product, "product_key", "product_found", REPEATED_KEY), "product_key", "left")
+    checked = lines.selectExpr(*[f"{values.get(name, name)} AS {name}" for name in kinds if name not in measures])
+    return checked.selectExpr(*[f"cast({measures.get(name, name)} AS {kind}) AS {name}" for name, kind in kinds.items()])
+
+
+def enriched_sales(sales: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
+    """All Silver columns, lazily. The store join is as the product join; its hot key is the
+    online store, which may hold a large share of all lines."""
+    store = _enforced(typed_stores(stores), {"store_key": "stores_store_key"})
+    lines = priced_sales(sales, products).join(
+        lookup(store, "store_key", "store_found", REPEATED_KEY), "store_key", "left"
     )
+    values = {"store_country": only_if("store_found", "store_country", NO_MATCH)}
+    return lines.selectExpr(*[f"{values.get(name, name)} AS {name}" for name in SILVER_TYPES])
 
 
 def silver_violations(sales: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:

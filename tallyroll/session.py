@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JIT leaves methods beyond this size interpreted; Spark then generates smaller ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

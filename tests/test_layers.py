@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from contextlib import contextmanager
 from datetime import date
 from decimal import Decimal
 from pathlib import Path
@@ -27,7 +28,7 @@ from tallyroll.errors import MissingUpstreamError, StageError
 from tallyroll.plans import gold as gold_plan
 from tallyroll.plans.bronze import load_bronze
 from tallyroll.plans.gold import build_gold
-from tallyroll.plans.silver import build_silver, silver_violations
+from tallyroll.plans.silver import build_silver, enriched_sales, silver_violations
 from tallyroll.sources.delimited import read_sources
 
 GOLD_VALUES = ("sales_month", "sales_channel", "units_sold", "gross_sales_usd", "estimated_gross_profit_usd")
@@ -228,22 +229,57 @@ def test_one_row_files_end_to_end(spark, store, tmp_path):
     assert rows(gold(store), *GOLD_VALUES[2:]) == [(2, Decimal("40.00"), Decimal("20.00"))]
 
 
-def test_stores_out_of_use_are_not_joined_for_gold(spark):
-    """Gold uses no store column, so Catalyst drops that join; the product join stays."""
-    from tallyroll.plans.silver import enriched_sales
+SHUFFLED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
 
-    plan = gold_plan.monthly_summary(enriched_sales(**bronze(spark)))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Join LeftOuter") == 1
+
+@contextmanager
+def settings(spark, values):
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key in values:
+            spark.conf.unset(key)
 
 
 def test_a_shuffled_join_gives_the_same_silver(spark, store):
     build_all(store)
-    expected = rows(silver(store), *SILVER_TYPES)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
+    expected = rows(silver(store).drop("loaded_at").selectExpr("to_json(struct(*)) AS line"), "line")
+    with settings(spark, SHUFFLED):
         assert build_silver(store) == 2
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    assert sorted(map(str, rows(silver(store), *SILVER_TYPES))) == sorted(map(str, expected))
+    assert rows(silver(store).drop("loaded_at").selectExpr("to_json(struct(*)) AS line"), "line") == expected
+
+
+def test_a_hot_product_and_the_online_store_are_split(spark):
+    """A third of all lines are of one product and half are online; neither is one task's work."""
+    lines = spark.range(0, 60_000, numPartitions=6).selectExpr(
+        "cast(id AS string) AS order_number",
+        "'1' AS line_item",
+        "'1/31/2024' AS order_date",
+        "'' AS delivery_date",
+        "'1' AS customer_key",
+        "cast(if(id % 2 = 0, 0, id % 97) AS string) AS store_key",
+        "cast(if(id % 3 = 0, 1, id % 89) AS string) AS product_key",
+        "'2' AS quantity",
+        "sha2(cast(id AS string), 512) AS currency_code",
+    )
+    products = frame(spark, PRODUCTS, [PRODUCT | {"product_key": str(key)} for key in range(90)])
+    stores = frame(spark, STORES, [STORE | {"store_key": str(key)} for key in range(100)])
+    skewed = SHUFFLED | {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    with settings(spark, skewed):
+        enriched = enriched_sales(lines, products, stores)
+        assert enriched.select("order_number").distinct().count() == 60_000
+        enriched.write.format("noop").mode("overwrite").save()
+        enriched.collect()
+        plan = enriched._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin(skew=true)") == 2

@@ -39,7 +39,9 @@ def test_source_dates(spark):
         "1/5/2024": date(2024, 1, 5), "01/05/2024": date(2024, 1, 5), "1/ 5/2024": date(2024, 1, 5),
         "12/31/1999": date(1999, 12, 31), "001/5/2024": None, "1/005/2024": None, "1/5/24": None, "1/5/20245": None,
         "13/1/2024": None, "2/30/2024": None, " 1/5/2024": None, "1/5/2024 ": None, "2024-01-05": None,
-        "1-5-2024": None, "1/5/+2024": None, "invalid": None, "": None, None: None,
+        "1-5-2024": None, "1/5/+2024": None, "1/5T/2024": None, "1/5 /2024": None, "1/T5/2024": None,
+        "1T/5/2024": None, "-1/5/2024": None, "1/-5/2024": None, "+1/5/2024": None, "1//2024": None, "/1/2024": None,
+        "1/5/-202": None, "1/5/202T": None, "1/2/3/2024": None, "invalid": None, "": None, None: None,
     }
     assert evaluate(spark, parsed, cases) == list(cases.values())
 
