@@ -7,16 +7,25 @@ from pyspark.sql import types as T
 
 from tallyroll.functions.text import SOURCE_DATE
 
-_schemas: dict[tuple[str, str], T.StructType] = {}
+# Per application and path: a table's schema and its number of scan tasks.
+_known: dict[tuple[str, str], tuple[T.StructType, int]] = {}
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    """A given table; its schema is read from the files once per application."""
+    """A given table. Its footers are read once per application.
+
+    Files of a few row groups scan in a few tasks and would leave most cores idle through all
+    that follows, so such a small scan is spread out. A large one has tasks enough and is not
+    shuffled.
+    """
     path = f"{directory.rstrip('/')}/{name}.parquet"
     key = (spark.sparkContext.applicationId, path)
-    if key not in _schemas:
-        _schemas[key] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[key]).parquet(path)
+    if key not in _known:
+        scan = spark.read.parquet(path)
+        _known[key] = scan.schema, scan.rdd.getNumPartitions()
+    schema, tasks = _known[key]
+    frame, cores = spark.read.schema(schema).parquet(path), spark.sparkContext.defaultParallelism
+    return frame.repartition(cores) if 1 < tasks <= cores // 2 else frame
 
 
 def sales(spark: SparkSession, directory: str) -> DataFrame:
