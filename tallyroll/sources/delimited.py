@@ -58,14 +58,17 @@ def inspect_text(spark: SparkSession, directory: str, contract: SourceContract)
     return SourceText(header, broken == 0, odd > 0)
 
 
-def read_source(spark: SparkSession, directory: str, contract: SourceContract) -> DataFrame:
+def read_source(
+    spark: SparkSession, directory: str, contract: SourceContract, text: SourceText | None = None
+) -> DataFrame:
     """The contract's columns of one source as text, renamed, in contract order.
 
     Columns are found by header name and extra ones are dropped. A blank cell is an empty
     string, never NULL. Short rows are padded; a row with more fields than the header, a
-    part file with another header, or text that is not UTF-8 fails the read.
+    part file with another header, or text that is not UTF-8 fails the read. Pass ``text``
+    where the source has been inspected already, to save that pass over it.
     """
-    text = inspect_text(spark, directory, contract)
+    text = text or inspect_text(spark, directory, contract)
     if not text.valid_utf8:
         raise SourceError(f"{contract.file_name} is not valid UTF-8")
     missing = [name for name in contract.headers if name not in text.header]

@@ -19,7 +19,8 @@ def spark(tmp_path_factory):
         "4",
         **{
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
+            "spark.default.parallelism": "2",
             "spark.checkpoint.dir": str(folder / "shared"),
         },
     )

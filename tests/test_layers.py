@@ -30,6 +30,7 @@ from tallyroll.plans.bronze import load_bronze
 from tallyroll.plans.gold import build_gold
 from tallyroll.plans.silver import build_silver, enriched_sales, silver_violations
 from tallyroll.sources.delimited import read_sources
+from tallyroll.sources.layer_store import LayerStore
 
 GOLD_VALUES = ("sales_month", "sales_channel", "units_sold", "gross_sales_usd", "estimated_gross_profit_usd")
 EXPECTED_GOLD = [
@@ -101,6 +102,14 @@ def test_keys_match_as_numbers(store):
 UNUSED = PRODUCT | {"product_key": "9"}
 
 
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    """All layers, built once; a test that damages a Bronze table puts it right again."""
+    store = LayerStore(spark, str(tmp_path_factory.mktemp("built")))
+    build_all(store)
+    return store
+
+
 @pytest.mark.parametrize(
     "contract, changed, message",
     [
@@ -126,15 +135,22 @@ UNUSED = PRODUCT | {"product_key": "9"}
         (STORES, [STORE, ONLINE_STORE, STORE | {"store_key": ""}], "store_key must contain whole numbers"),
     ],
 )
-def test_a_failed_silver_keeps_the_published_layers(spark, store, contract, changed, message):
-    build_all(store)
-    replace_table(store, "bronze", contract.table, frame(spark, contract, changed))
-    published = silver(store).inputFiles()
-    with pytest.raises(StageError, match=message):
-        build_silver(store)
-    assert silver(store).inputFiles() == published
-    assert rows(gold(store), *GOLD_VALUES) == EXPECTED_GOLD
-    assert len(list(Path(store.root, "silver", SILVER_TABLE).iterdir())) == 1
+def test_a_failed_silver_keeps_the_published_layers(spark, built, contract, changed, message):
+    published = silver(built).inputFiles()
+    replace_table(built, "bronze", contract.table, frame(spark, contract, changed))
+    try:
+        with pytest.raises(StageError, match=message):
+            build_silver(built)
+    finally:
+        replace_table(built, "bronze", contract.table, bronze(spark)[contract.table])
+    assert silver(built).inputFiles() == published
+    assert len(list(Path(built.root, "silver", SILVER_TABLE).iterdir())) == 1
+
+
+def test_after_failures_the_layers_hold_the_first_result(built):
+    assert rows(silver(built), "order_number", "product_key") == [(1, 1), (2, 1)]
+    assert rows(gold(built), *GOLD_VALUES) == EXPECTED_GOLD
+    assert build_silver(built) == 2
 
 
 def test_an_unsold_product_may_lack_a_category(store):
