@@ -174,7 +174,7 @@ def int_parse(spark: SparkSession, directory: str) -> DataFrame:
         "blank": "''",
         "too_large": "l_linenumber || '000000000'",
     }
-    parsed = _renderings(order_tables.table(spark, directory, "lineitem"), texts).selectExpr(
+    parsed = _renderings(order_tables.table(spark, directory, "lineitem", spread_by="l_orderkey"), texts).selectExpr(
         "rendering", f"{whole_number('text')} AS value"
     )
     return parsed.groupBy("rendering").agg(

@@ -31,8 +31,6 @@ from tallyroll.sources.layer_store import LayerStore
 
 WHOLE_NUMBERS = ("order_number", "line_item", "customer_key", "store_key", "product_key", "quantity")
 
-STORE_COLUMNS = ("store_country", "store_state")
-
 NOT_WHOLE = "{} must contain whole numbers"
 BAD_MONEY = "{} contains an invalid price or cost"
 REPEATED_KEY = "Product/store joins failed: duplicate dimension keys"
@@ -109,13 +107,33 @@ def _enforced(frame: DataFrame, rules: dict[str, str]) -> DataFrame:
 
 
 def priced_sales(sales: DataFrame, products: DataFrame) -> DataFrame:
-    """The Silver columns that need no store, lazily; together they enforce all their rules.
+    """The Silver columns that need no store, lazily; together they enforce all their rules."""
+    return _priced(_lines(sales), products)
+
+
+def enriched_sales(sales: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
+    """All Silver columns, lazily; together they enforce all rules.
 
-    The join is not hinted. Catalyst broadcasts a dimension it estimates as small, AQE does
+    The joins are not hinted. Catalyst broadcasts a dimension it estimates as small, AQE does
     once its real size is known, and otherwise the shuffle join remains, where AQE splits the
-    partition of a hot product.
+    partition of a hot key: a hot product, or the online store, which may hold a large share
+    of all lines. Stores come first, so that the wider product columns are not shuffled again.
     """
-    line = _enforced(typed_sales(sales), {name: f"sales_{name}" for name in WHOLE_NUMBERS})
+    store = _enforced(typed_stores(stores), {"store_key": "stores_store_key"})
+    found = lookup(store, "store_key", "store_found", REPEATED_KEY)
+    lines = _lines(sales).join(found, "store_key", "left").selectExpr(
+        "* EXCEPT (store_country, store_found)",
+        f"{only_if('store_found', 'store_country', NO_MATCH)} AS store_country",
+    )
+    return _priced(lines, products)
+
+
+def _lines(sales: DataFrame) -> DataFrame:
+    return _enforced(typed_sales(sales), {name: f"sales_{name}" for name in WHOLE_NUMBERS})
+
+
+def _priced(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Typed lines with product columns and measures: the Silver columns they allow, in order."""
     product = _enforced(
         typed_products(products),
         {
@@ -138,23 +156,13 @@ def priced_sales(sales: DataFrame, products: DataFrame) -> DataFrame:
         "gross_sales_usd": "quantity * unit_price_usd",
         "estimated_gross_profit_usd": "quantity * (unit_price_usd - unit_cost_usd)",
     }
-    kinds = {name: kind for name, kind in SILVER_TYPES.items() if name not in STORE_COLUMNS}
-    lines = line.join(lookup(product, "product_key", "product_found", REPEATED_KEY), "product_key", "left")
-    checked = lines.selectExpr(*[f"{values.get(name, name)} AS {name}" for name in kinds if name not in measures])
+    joined = lines.join(lookup(product, "product_key", "product_found", REPEATED_KEY), "product_key", "left")
+    present = {*joined.columns, *values, *measures}
+    kinds = {name: kind for name, kind in SILVER_TYPES.items() if name in present}
+    checked = joined.selectExpr(*[f"{values.get(name, name)} AS {name}" for name in kinds if name not in measures])
     return checked.selectExpr(*[f"cast({measures.get(name, name)} AS {kind}) AS {name}" for name, kind in kinds.items()])
 
 
-def enriched_sales(sales: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
-    """All Silver columns, lazily. The store join is as the product join; its hot key is the
-    online store, which may hold a large share of all lines."""
-    store = _enforced(typed_stores(stores), {"store_key": "stores_store_key"})
-    lines = priced_sales(sales, products).join(
-        lookup(store, "store_key", "store_found", REPEATED_KEY), "store_key", "left"
-    )
-    values = {"store_country": only_if("store_found", "store_country", NO_MATCH)}
-    return lines.selectExpr(*[f"{values.get(name, name)} AS {name}" for name in SILVER_TYPES])
-
-
 def silver_violations(sales: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
     """Rows per broken rule, in reporting order: (position, rule, violations)."""
     line, product, store = typed_sales(sales), typed_products(products), typed_stores(stores)

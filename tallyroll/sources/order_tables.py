@@ -11,12 +11,12 @@ from tallyroll.functions.text import SOURCE_DATE
 _known: dict[tuple[str, str], tuple[T.StructType, int]] = {}
 
 
-def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
+def table(spark: SparkSession, directory: str, name: str, spread_by: str | None = None) -> DataFrame:
     """A given table. Its footers are read once per application.
 
     Files of a few row groups scan in a few tasks and would leave most cores idle through all
-    that follows, so such a small scan is spread out. A large one has tasks enough and is not
-    shuffled.
+    that follows, so such a small scan may be spread out by a column. A large one has tasks
+    enough and is not shuffled.
     """
     path = f"{directory.rstrip('/')}/{name}.parquet"
     key = (spark.sparkContext.applicationId, path)
@@ -25,7 +25,7 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
         _known[key] = scan.schema, scan.rdd.getNumPartitions()
     schema, tasks = _known[key]
     frame, cores = spark.read.schema(schema).parquet(path), spark.sparkContext.defaultParallelism
-    return frame.repartition(cores) if 1 < tasks <= cores // 2 else frame
+    return frame.repartition(cores, spread_by) if spread_by and 1 < tasks <= cores // 2 else frame
 
 
 def sales(spark: SparkSession, directory: str) -> DataFrame:
@@ -35,7 +35,7 @@ def sales(spark: SparkSession, directory: str) -> DataFrame:
         "cast(o_custkey AS string) AS customer_key",
         f"date_format(o_orderdate, '{SOURCE_DATE}') AS order_date",
     )
-    return table(spark, directory, "lineitem").join(orders, "l_orderkey").selectExpr(
+    return table(spark, directory, "lineitem", spread_by="l_orderkey").join(orders, "l_orderkey").selectExpr(
         "cast(l_orderkey AS string) AS order_number",
         "cast(l_linenumber AS string) AS line_item",
         "order_date",
