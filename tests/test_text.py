@@ -18,7 +18,8 @@ def evaluate(spark, expression, values):
 
 def test_whole_numbers(spark):
     cases = {
-        " 2 ": 2, "01": 1, "+5": 5, "2.0": 2, "1e2": 100, "3.": 3, "\t3\n": 3, "-0": 0, "2147483647": 2147483647,
+        " 2 ": 2, "01": 1, "+5": 5, "2.0": 2, "1e2": 100, "3.": 3, "\t3\n": 3, " -7.0": -7, ".0": 0, "2147483648.0": None, "1.5.0": None, "1e2.0": None, ".0.0": None,
+        "-0": 0, "2147483647": 2147483647,
         "1.5": None, "": None, " ": None, "inf": None, "nan": None, "abc": None, "0x10": None, "1_000": None,
         "1e-1": None, "2147483648": None, "1e30": None, None: None, "True": None, "2d": None,
     }
