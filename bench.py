@@ -38,6 +38,14 @@ HEADLINES = (
 RUNS = 2
 
 
+def _scale(directory: str) -> float | str:
+    name = Path(directory).name.removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     directory = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
@@ -60,7 +68,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": Path(directory).name.removeprefix("sf"),
+                "sf": _scale(directory),
             }
         )
     )
