@@ -4,19 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyroll.llm import byte_bpe, packing
 from tallyroll.llm.near_dedup import near_duplicates
+from tallyroll.llm.token_counts import token_counts
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return byte_bpe.digests(byte_bpe.decoded(byte_bpe.encoded(_documents(spark, sf_dir), ranks), ranks))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.checksums(packing.packed(_documents(spark, sf_dir), tokenizer))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = byte_bpe.read_ranks(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts(_documents(spark, sf_dir), model)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
