@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroll.llm import byte_bpe, packing
+from tallyroll.llm import byte_bpe, packing, pii
 from tallyroll.llm.near_dedup import near_duplicates
 from tallyroll.llm.token_counts import token_counts
 
@@ -16,6 +16,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_digests(pii.personal_data(_documents(spark, sf_dir)))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return byte_bpe.digests(byte_bpe.decoded(byte_bpe.encoded(_documents(spark, sf_dir), ranks), ranks))
