@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroll.llm import byte_bpe, packing, pii
+from tallyroll.llm import byte_bpe, merkle, packing, pii
 from tallyroll.llm.near_dedup import near_duplicates
 from tallyroll.llm.token_counts import token_counts
 
@@ -25,6 +25,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decoded(byte_bpe.encoded(_documents(spark, sf_dir), ranks), ranks))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edit_report(_documents(spark, sf_dir))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 
