@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyroll.llm import byte_bpe, merkle, packing, pii
+from tallyroll.llm.line_rules import line_quality
 from tallyroll.llm.near_dedup import near_duplicates
 from tallyroll.llm.token_counts import token_counts
 
@@ -38,6 +39,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.checksums(packing.packed(_documents(spark, sf_dir), tokenizer))
 
 
+def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality(_documents(spark, sf_dir))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = byte_bpe.read_ranks(public_tokenizers.path("piece_bpe_32k.model"))
     return token_counts(_documents(spark, sf_dir), model)
