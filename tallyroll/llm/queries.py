@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyroll.llm import byte_bpe, merkle, packing, pii
 from tallyroll.llm.line_rules import line_quality
 from tallyroll.llm.near_dedup import near_duplicates
+from tallyroll.llm.quality_fm import quality_scores
 from tallyroll.llm.token_counts import token_counts
 
 
@@ -48,6 +49,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir), model)
 
 
+def op10_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
