@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroll.llm import byte_bpe, merkle, packing, pii
+from tallyroll.llm import byte_bpe, licenses, merkle, packing, pii
 from tallyroll.llm.line_rules import line_quality
 from tallyroll.llm.near_dedup import near_duplicates
 from tallyroll.llm.quality_fm import quality_scores
 from tallyroll.llm.token_counts import token_counts
+from tallyroll.llm.warc import page_records
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +23,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(pii.personal_data(_documents(spark, sf_dir)))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_records(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return byte_bpe.digests(byte_bpe.decoded(byte_bpe.encoded(_documents(spark, sf_dir), ranks), ranks))
@@ -44,6 +49,10 @@ def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality(_documents(spark, sf_dir))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(_documents(spark, sf_dir))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = byte_bpe.read_ranks(public_tokenizers.path("piece_bpe_32k.model"))
     return token_counts(_documents(spark, sf_dir), model)
@@ -58,4 +67,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_licenses": licenses.oracle_sql()}
