@@ -160,8 +160,12 @@ def _with(ctes: str, select: str) -> str:
 
 
 def _int(text: str) -> str:
-    exact = f"try_cast({text} AS DECIMAL(38,18))"
-    return f"CASE WHEN {exact} % 1 = 0 THEN try_cast({exact} AS INTEGER) END"
+    """By the shape of the text; a fraction other than zero, however small, is no whole number."""
+    digits = rf"replace(regexp_extract({text}, '[+-]?\d+'), '+', '')"
+    power = rf"CAST(pow(10, CAST(regexp_extract({text}, 'e(\d)', 1) AS INTEGER)) AS HUGEINT)"
+    return rf"""CASE WHEN regexp_full_match({text}, '\s*[+-]?\d+(\.0*)?\s*') THEN try_cast({digits} AS INTEGER)
+                    WHEN regexp_full_match({text}, '\s*[+-]?\d+e\d\s*')
+                    THEN try_cast(CAST({digits} AS HUGEINT) * {power} AS INTEGER) END"""
 
 
 def _date(text: str) -> str:
@@ -170,8 +174,10 @@ def _date(text: str) -> str:
 
 
 def _money(text: str) -> str:
+    """By the shape of the text: ten whole digits, and sixteen decimals before any zeros."""
     bare = rf"regexp_replace({text}, '[$,\s]', '', 'g')"
-    return f"try_cast({bare} AS DECIMAL(20,6))"
+    shaped = rf"regexp_full_match({bare}, '[+-]?\d{{1,10}}(\.\d{{0,16}}0*)?')"
+    return rf"CASE WHEN {shaped} THEN CAST(regexp_extract({bare}, '[+-]?\d+(\.\d{{0,16}})?') AS DECIMAL(26,16)) END"
 
 
 def _violations(sales: str, products: str, stores: str, ctes: str) -> str:
@@ -220,7 +226,7 @@ SELECT * FROM (VALUES
 ) AS rules(position, rule, violations)
 """
 
-# Per check: layer, severity, description, failed rows and total rows.
+# Layers, severities and descriptions of the recorded checks. Per check: layer, severity, description, failed rows and total rows.
 _CHECKS = {
     "required_tables_not_empty": ("all", "critical", "The five core pipeline tables contain at least one row.",
         "(SELECT (count(*) = 0)::INT FROM bronze_sales) + (SELECT (count(*) = 0)::INT FROM bronze_products)"
@@ -291,6 +297,29 @@ def _damaged_checks() -> str:
     return _with(DAMAGED, rows)
 
 
+def _damaged_later_checks() -> str:
+    """The checks that read Silver or Gold, over spoilt lines and a Gold with repeated and missing rows."""
+    names = [name for name, check in _CHECKS.items() if check[0] != "bronze"]
+    rows = _check_rows(names)
+    for table in ("silver", "gold"):
+        rows = rows.replace(f"FROM {table}", f"FROM spoilt_{table}")
+    rows = rows.replace("bronze_stores", "no_stores")
+    return _with(
+        GOLD
+        + """, spoilt_silver AS (
+            SELECT * REPLACE (
+                CASE WHEN line_item = 1 AND store_key <> 0 THEN order_date - 1 ELSE delivery_date END AS delivery_date,
+                CASE WHEN line_item = 2 THEN NULL WHEN line_item = 3 THEN 'Phone' WHEN line_item = 4 THEN 'Online'
+                     ELSE sales_channel END AS sales_channel,
+                CASE WHEN line_item = 5 THEN NULL ELSE gross_sales_usd END AS gross_sales_usd)
+            FROM silver WHERE line_item <> 6
+        ), spoilt_gold AS (
+            SELECT * FROM gold UNION ALL SELECT * FROM gold WHERE sales_channel = 'In Store'
+        ), no_stores AS (SELECT * FROM bronze_stores WHERE false)""",
+        rows,
+    )
+
+
 _INT_TEXTS = {
     "plain": "CAST(l_partkey AS VARCHAR)",
     "padded": "'  ' || l_partkey || ' '",
@@ -302,6 +331,9 @@ _INT_TEXTS = {
     "word": "l_returnflag",
     "blank": "''",
     "too_large": "l_linenumber || '000000000'",
+    "tiny": "l_linenumber || 'e-19'",
+    "past_the_scale": "l_linenumber || '.0000000000000000001'",
+    "zeros_past_the_scale": "l_linenumber || '.00000000000000000000'",
 }
 _MONEY_TEXTS = {
     "currency": "'$' || format('{:,.2f}', p_retailprice)",
@@ -312,6 +344,9 @@ _MONEY_TEXTS = {
     "named": "'USD ' || format('{:,.2f}', p_retailprice)",
     "word": "p_name",
     "blank": "' '",
+    "seven_decimals": "CAST(p_retailprice AS DECIMAL(12,2)) || '00004'",
+    "past_the_scale": "CAST(p_retailprice AS DECIMAL(12,2)) || '000000000000001'",
+    "zeros_past_the_scale": "CAST(p_retailprice AS DECIMAL(12,2)) || '000000000000000000'",
 }
 _DATE_TEXTS = {
     "plain": "strftime(o_orderdate, '%-m/%-d/%Y')",
@@ -331,6 +366,18 @@ def _renderings(texts: dict[str, str], table: str) -> str:
     return " UNION ALL ".join(f"SELECT '{name}' AS rendering, {text} AS text FROM {table}" for name, text in texts.items())
 
 
+# Lines that each damage of the Bronze text spoils.
+_REFUSALS = {
+    "order_number": "line_item = '2'",
+    "line_item": "line_item = '2'",
+    "customer_key": "line_item = '2'",
+    "delivery_date": "line_item = '2'",
+    "quantity": "line_item = '2'",
+    "store_key": "line_item = '2' AND store_key <> '0'",
+    "nothing": "false",
+}
+
+
 _MONTH_COLUMNS = "sales_month, product_category, sales_channel"
 
 
@@ -358,7 +405,7 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT rendering, {_int("text")} AS value FROM ({_renderings(_INT_TEXTS, "lineitem")}))
             GROUP BY rendering""",
         "silver_money_parse": f"""
-            SELECT rendering, count(*) AS texts, count(value) AS accepted, CAST(sum(value) AS DECIMAL(30,6)) AS total,
+            SELECT rendering, count(*) AS texts, count(value) AS accepted, CAST(sum(value) AS DECIMAL(36,16)) AS total,
                    min(value) AS smallest, max(value) AS largest
             FROM (SELECT rendering, {_money("text")} AS value FROM ({_renderings(_MONEY_TEXTS, "part")}))
             GROUP BY rendering""",
@@ -383,6 +430,13 @@ def oracle_sql() -> dict[str, str]:
                 FROM silver)""",
             _GOLD_RULES.format("damaged"),
         ),
+        "gold_refusals": _with(
+            BRONZE,
+            " UNION ALL ".join(
+                f"SELECT '{name}' AS damaged, (SELECT count(*) > 0 FROM bronze_sales WHERE {where}) AS refused"
+                for name, where in _REFUSALS.items()
+            ),
+        ),
         "gold_reconciliation": _with(
             GOLD,
             """SELECT *, silver_line_items = gold_line_items AND silver_units = gold_units
@@ -405,6 +459,7 @@ def oracle_sql() -> dict[str, str]:
         "gold_export_rows": _with(GOLD, "SELECT * FROM gold"),
         **{f"dq_{name}": _with(GOLD, _check_rows([name])) for name in _CHECKS},
         "dq_damaged_bronze": _damaged_checks(),
+        "dq_damaged_silver_gold": _damaged_later_checks(),
         "dq_check_results": _with(GOLD, _check_rows(list(_CHECKS))),
         "dq_latest_run": _with(
             GOLD,

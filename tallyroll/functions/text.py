@@ -19,8 +19,10 @@ SOURCE_DATE = "M/d/yyyy"
 FIRST_DATE = "1677-09-22"
 LAST_DATE = "2262-04-11"
 
-EXACT = "decimal(38,18)"
-MONEY = "decimal(20,6)"
+# Exact types. Ten whole digits and sixteen decimals of a price keep its product with a quantity
+# of ten digits exact in 38 digits; numbers may have eighteen decimals.
+EXACT, EXACT_DECIMALS = "decimal(38,18)", 18
+MONEY, MONEY_DECIMALS = "decimal(26,16)", 16
 
 
 def stripped(text: str) -> str:
@@ -33,26 +35,37 @@ def is_blank(text: str) -> str:
     return f"coalesce({stripped(text)} = '', true)"
 
 
+def _fits(text: str, decimals: int) -> str:
+    """Whether number text has no more decimals than that, so that a cast rounds nothing away.
+
+    Zeros at the end of the fraction do not count, and an exponent moves the point.
+    """
+    fraction = f"rtrim('0', regexp_extract({text}, '[.]([0-9]*)', 1))"
+    exponent = f"coalesce(try_cast(regexp_extract({text}, '[eE]([+-]?[0-9]+)', 1) AS int), 0)"
+    return f"length({fraction}) - {exponent} <= {decimals}"
+
+
 def whole_number(text: str) -> str:
     """INT from text such as ``01``, `` 2 ``, ``+5``, ``2.0`` or ``1e2``; else NULL.
 
     The exact decimal costs twenty times the plain cast, so only text the cast refuses pays.
     """
     exact = f"try_cast({text} AS {EXACT})"
-    return f"coalesce(try_cast({text} AS int), CASE WHEN {exact} % 1 = 0 THEN try_cast({exact} AS int) END)"
+    slowly = f"try_cast(CASE WHEN {exact} % 1 = 0 AND {_fits(text, EXACT_DECIMALS)} THEN {exact} END AS int)"
+    return f"coalesce(try_cast({text} AS int), {slowly})"
 
 
 def positive_integer(text: str) -> str:
     """Whether text is a whole number above zero that fits 64 bits."""
     exact = f"try_cast({text} AS {EXACT})"
-    slowly = f"{exact} > 0 AND {exact} % 1 = 0 AND try_cast({exact} AS bigint) IS NOT NULL"
+    slowly = f"{exact} > 0 AND {exact} % 1 = 0 AND try_cast({exact} AS bigint) IS NOT NULL AND {_fits(text, EXACT_DECIMALS)}"
     return f"coalesce(try_cast({text} AS bigint) > 0, {slowly}, false)"
 
 
 def money(text: str) -> str:
-    """Exact decimal from price text such as `` $1,200.25 ``; else NULL."""
+    """Exact decimal from price text such as `` $1,200.25 ``; else NULL, also beyond sixteen decimals."""
     bare = f"replace(replace({text}, '$', ''), ',', '')"
-    return f"try_cast({stripped(bare)} AS {MONEY})"
+    return f"CASE WHEN {_fits(stripped(bare), MONEY_DECIMALS)} THEN try_cast({stripped(bare)} AS {MONEY}) END"
 
 
 def source_date(text: str) -> str:
@@ -84,6 +97,10 @@ def required(value: str, message: str) -> str:
     return f"coalesce({value}, raise_error('{message}'))"
 
 
-def only_if(condition: str, value: str, message: str) -> str:
-    """The value, NULL included, where the condition holds; a failed job where it does not."""
-    return f"CASE WHEN {condition} THEN {value} ELSE raise_error('{message}') END"
+def or_fail(rules: dict[str, str]) -> str:
+    """True where every condition holds; a failed job, with the condition's message, where one does not.
+
+    As a filter, or in a column a filter needs, it stays in the plan whichever columns are read.
+    """
+    cases = " ".join(f"WHEN NOT coalesce({holds}, false) THEN raise_error('{message}')" for holds, message in rules.items())
+    return f"CASE {cases} ELSE true END"

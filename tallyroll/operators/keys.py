@@ -18,15 +18,17 @@ def rows_and_excess(df: DataFrame, keys: list[str], rows: str, excess: str) -> D
     )
 
 
-def lookup(dim: DataFrame, key: str, matched: str, duplicate_message: str) -> DataFrame:
+def lookup(dim: DataFrame, key: str, matched: str, duplicate_message: str, holds: str = "true") -> DataFrame:
     """``dim`` with a flag for the rows a left join finds, failing the job if a key repeats.
 
+    ``holds`` may fail it too: it is evaluated for every row that has the flag.
+
     The check is a subquery beside the join, not a grouping below it. So the two inputs of a
     shuffle join are plain exchanges, which AQE needs in order to split a hot key.
     """
     most = dim.groupBy(key).agg(F.expr("count(1) AS copies")).selectExpr("coalesce(max(copies), 0)")
     unique = F.when(most.scalar() <= 1, F.lit(True)).otherwise(F.raise_error(F.lit(duplicate_message)))
-    return dim.select("*", unique.alias(matched))
+    return dim.select("*", (F.expr(holds) & unique).alias(matched))
 
 
 def lines_per_key(lines: DataFrame, dim: DataFrame, key: str, **flags: str) -> DataFrame:

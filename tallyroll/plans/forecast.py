@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import cached_property
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -38,8 +39,9 @@ TARGET_TEXT = "monthly gross sales USD by product category and sales channel"
 METHOD_TEXT = "one-month-ahead predictions using actual prior months; no refit during holdout"
 NOTE_TEXT = "Historical fictional data; this is a teaching experiment, not a current sales forecast."
 
-# The normal-equation solver of Spark ML takes at most this many features.
-NORMAL_SOLVER_FEATURES = 4096
+# The normal-equation solver of Spark ML takes at most this many features; the channels and
+# months take sixteen of them beside the amounts.
+MOST_FEATURES = 4096
 
 
 @dataclass(frozen=True)
@@ -144,7 +146,6 @@ class RidgeModel:
         stats = train.agg(
             F.count(F.lit(1)).alias("n"),
             F.stddev_pop(TARGET).alias("target_sd"),
-            F.stddev_samp(TARGET).alias("target_sample_sd"),
             *[F.avg(name).alias(f"{name}_mean") for name in NUMERIC],
             *[F.stddev_pop(name).alias(f"{name}_sd") for name in NUMERIC],
             F.count_distinct(SEGMENT[0]).alias("categories"),
@@ -152,11 +153,8 @@ class RidgeModel:
         self._scaled = {
             f"{name}_scaled": (F.col(name) - stats[f"{name}_mean"]) / (stats[f"{name}_sd"] or 1.0) for name in NUMERIC
         }
-        # Categories may be many; there are two channels and twelve months beside them.
-        normal = stats.categories + len(NUMERIC) + 16 <= NORMAL_SOLVER_FEATURES
-        # Spark divides the squared error by n and the target by its deviation, so the
-        # penalty that it takes is the ridge penalty scaled by both.
-        scale = stats.target_sd if normal else stats.target_sample_sd
+        if stats.categories + len(NUMERIC) + 16 > MOST_FEATURES:
+            raise StageError(f"{stats.categories} product categories are more than the ridge model can hold.")
         indexed, encoded = [f"{name}_index" for name in CATEGORICAL], [f"{name}_onehot" for name in CATEGORICAL]
         self._model: PipelineModel = Pipeline(
             stages=[
@@ -168,11 +166,11 @@ class RidgeModel:
                     labelCol=TARGET,
                     predictionCol="ridge_usd",
                     elasticNetParam=0.0,
-                    regParam=PENALTY / stats.n * (scale or 1.0),
+                    # Spark divides the squared error by n and the target by its deviation, so the
+                    # penalty it takes is the ridge penalty scaled by both.
+                    regParam=PENALTY / stats.n * (stats.target_sd or 1.0),
                     standardization=False,
-                    solver="normal" if normal else "l-bfgs",
-                    maxIter=1000,
-                    tol=1e-12,
+                    solver="normal",
                 ),
             ]
         ).fit(train.withColumns(self._scaled))
@@ -183,42 +181,49 @@ class RidgeModel:
         return scored.select(*rows.columns, F.greatest("ridge_usd", F.lit(0.0)).alias("model_usd"))
 
 
-@dataclass(frozen=True)
-class Forecast:
-    """Both results as DataFrames, and the one-row summary."""
-
-    holdout: DataFrame
-    next_month: DataFrame
-    summary: DataFrame
-
-
-def forecast(lines: DataFrame) -> Forecast:
-    """Backtest both methods on the last twelve months, then predict the next month.
+class Backtest:
+    """Both methods on the last twelve months, and the forecast that follows.
 
-    The holdout model never sees holdout targets; the winner is decided on rounded errors, and
-    the ridge model is fitted again on the whole history for the next month.
+    The holdout model never sees holdout targets, and the winner is decided on rounded errors.
+    The history is read once; what a result does not need is not fitted.
     """
-    history = monthly_history(lines)
-    panel = complete_panel(history)
-    rows = with_naive(usable(with_features(panel))).checkpoint()
-    if rows.select(MONTH).distinct().count() < 2 * HOLDOUT_MONTHS:
-        raise StageError("Need at least 24 months after the first 12-month lag.")
-
-    train, test = split(rows, history)
-    scored = RidgeModel(train).predict(test).checkpoint()
-    naive_errors = error_metrics(scored, "seasonal_naive_usd").first()
-    ridge_errors = error_metrics(scored, "model_usd").first()
-    winner = RIDGE if ridge_errors.mae_usd < naive_errors.mae_usd else NAIVE
-
-    upcoming = RidgeModel(rows).predict(with_naive(next_month_features(panel, history.next_month)))
-    selected = "model_usd" if winner == RIDGE else "seasonal_naive_usd"
-    return Forecast(
-        holdout=scored.select(*GOLD_KEYS, TARGET, "seasonal_naive_usd", "model_usd"),
-        next_month=upcoming.select(
+
+    def __init__(self, lines: DataFrame):
+        self._lines = lines
+        self.history = monthly_history(lines)
+        self._panel = complete_panel(self.history)
+        self._rows = with_naive(usable(with_features(self._panel))).checkpoint()
+        if self._rows.select(MONTH).distinct().count() < 2 * HOLDOUT_MONTHS:
+            raise StageError("Need at least 24 months after the first 12-month lag.")
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        train, test = split(self._rows, self.history)
+        return RidgeModel(train).predict(test).checkpoint()
+
+    @cached_property
+    def errors(self) -> tuple[Row, Row]:
+        """Of last year's value, and of the ridge model."""
+        return error_metrics(self.scored, "seasonal_naive_usd").first(), error_metrics(self.scored, "model_usd").first()
+
+    @property
+    def winner(self) -> str:
+        naive, ridge = self.errors
+        return RIDGE if ridge.mae_usd < naive.mae_usd else NAIVE
+
+    def holdout(self) -> DataFrame:
+        return self.scored.select(*GOLD_KEYS, TARGET, "seasonal_naive_usd", "model_usd")
+
+    def next_month(self) -> DataFrame:
+        """The month after the history, by a ridge model fitted on all of it."""
+        upcoming = with_naive(next_month_features(self._panel, self.history.next_month))
+        selected = "model_usd" if self.winner == RIDGE else "seasonal_naive_usd"
+        return RidgeModel(self._rows).predict(upcoming).select(
             *GOLD_KEYS, "seasonal_naive_usd", "model_usd", F.col(selected).alias("selected_forecast_usd")
-        ),
-        summary=_summary(lines, history, naive_errors, ridge_errors, winner),
-    )
+        )
+
+    def summary(self) -> DataFrame:
+        return _summary(self._lines, self.history, *self.errors, self.winner)
 
 
 def _summary(lines: DataFrame, history: History, naive: Row, ridge: Row, winner: str) -> DataFrame:
@@ -247,12 +252,13 @@ def _summary(lines: DataFrame, history: History, naive: Row, ridge: Row, winner:
 def run_forecast(store: LayerStore, output: str) -> Row:
     """Forecast from published Silver and replace the three outputs; returns the summary."""
     store.require([("silver", SILVER_TABLE)], "silver")
-    result = forecast(store.table("silver", SILVER_TABLE))
+    result = Backtest(store.table("silver", SILVER_TABLE))
     output = output.rstrip("/")
-    replace_csv(_exported(result.holdout.orderBy(*GOLD_KEYS)), f"{output}/holdout_predictions.csv")
-    replace_csv(_exported(result.next_month.orderBy(*SEGMENT)), f"{output}/next_month_forecast.csv")
-    replace_json(result.summary, f"{output}/metrics.json")
-    return result.summary.first()
+    replace_csv(_exported(result.holdout().orderBy(*GOLD_KEYS)), f"{output}/holdout_predictions.csv")
+    replace_csv(_exported(result.next_month().orderBy(*SEGMENT)), f"{output}/next_month_forecast.csv")
+    summary = result.summary()
+    replace_json(summary, f"{output}/metrics.json")
+    return summary.first()
 
 
 def _exported(frame: DataFrame) -> DataFrame:

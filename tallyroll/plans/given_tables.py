@@ -7,12 +7,14 @@ files or published layers derive them from the tables in a folder of their own f
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroll.contracts import GOLD_TABLE, GOLD_TYPES, PRODUCTS, SILVER_TABLE, SOURCES, SourceContract
+from tallyroll.errors import JOB_ERRORS
 from tallyroll.functions.text import in_date_range, money, no_date, source_date, stripped, whole_number, zero_padded_day
 from tallyroll.plans import forecast as fc
 from tallyroll.plans import inspect, quality
@@ -20,7 +22,7 @@ from tallyroll.plans.bronze import load_bronze, with_lineage
 from tallyroll.plans.export import export_gold
 from tallyroll.plans.gold import build_gold, gold_violations, monthly_summary, reconciliation
 from tallyroll.plans.quality import CHECKS, Layers
-from tallyroll.plans.silver import build_silver, enriched_sales, priced_sales, silver_violations
+from tallyroll.plans.silver import build_silver, enriched_sales, silver_violations
 from tallyroll.session import scratch_path
 from tallyroll.sources import order_tables
 from tallyroll.sources.delimited import read_source
@@ -37,20 +39,14 @@ def silver_lines(spark: SparkSession, directory: str) -> DataFrame:
     return enriched_sales(**order_tables.bronze_shaped(spark, directory))
 
 
-def priced_lines(spark: SparkSession, directory: str) -> DataFrame:
-    """Silver lines without the store columns, which Gold and the forecast do not use."""
-    return priced_sales(order_tables.sales(spark, directory), order_tables.products(spark, directory))
-
-
 def gold_rows(spark: SparkSession, directory: str) -> DataFrame:
-    return monthly_summary(priced_lines(spark, directory))
+    return monthly_summary(silver_lines(spark, directory))
 
 
 def all_layers(spark: SparkSession, directory: str) -> Layers:
     bronze = order_tables.bronze_shaped(spark, directory)
     lines = enriched_sales(**bronze)
-    gold = monthly_summary(priced_sales(bronze["sales"], bronze["products"]))
-    return Layers(**bronze, silver=lines, gold=gold)
+    return Layers(**bronze, silver=lines, gold=monthly_summary(lines))
 
 
 def damaged_bronze(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
@@ -84,7 +80,7 @@ def damaged_bronze(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
 def damaged_lines(spark: SparkSession, directory: str) -> DataFrame:
     """Silver lines with missing months, categories and channels."""
     return _replaced(
-        priced_lines(spark, directory),
+        silver_lines(spark, directory),
         {
             "order_date": "CASE WHEN line_item <> 1 THEN order_date END",
             "product_category": "CASE WHEN line_item = 2 THEN ' \\t' WHEN line_item <> 3 THEN product_category END",
@@ -93,6 +89,33 @@ def damaged_lines(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+# Rule-breaking text by column, in lines picked by their own content.
+REFUSED_TEXTS = {
+    "order_number": "if(line_item = '2', 'abc', order_number)",
+    "line_item": "if(line_item = '2', '2.5', line_item)",
+    "customer_key": "if(line_item = '2', '', customer_key)",
+    "delivery_date": "if(line_item = '2', '13/45/2024', delivery_date)",
+    "quantity": "if(line_item = '2', '1e-19', quantity)",
+    "store_key": "if(line_item = '2' AND store_key <> '0', '-' || store_key, store_key)",
+    "nothing": None,
+}
+
+
+def gold_refusals(spark: SparkSession, directory: str) -> DataFrame:
+    """Whether Gold refuses the sales lines with one column's text spoilt, though it reads few of the columns."""
+    bronze = order_tables.bronze_shaped(spark, directory)
+    found = []
+    for name, text in REFUSED_TEXTS.items():
+        sales = _replaced(bronze["sales"], {name: text} if text else {})
+        gold = monthly_summary(enriched_sales(sales, bronze["products"], bronze["stores"]))
+        try:
+            gold.agg(F.sum("units_sold")).collect()
+            found.append((name, False))
+        except JOB_ERRORS:
+            found.append((name, True))
+    return spark.createDataFrame(found, "damaged string, refused boolean")
+
+
 def _replaced(frame: DataFrame, values: dict[str, str]) -> DataFrame:
     return frame.selectExpr(*[f"{values.get(name, name)} AS {name}" for name in frame.columns])
 
@@ -115,7 +138,7 @@ def published(spark: SparkSession, directory: str) -> LayerStore:
 def _finished(result: DataFrame, store: LayerStore) -> DataFrame:
     """The result on its own, with the layers behind it removed."""
     kept = result.checkpoint()
-    for layer in ("bronze", "silver", "gold"):
+    for layer in ("bronze", "silver", "gold", "quality"):
         store.drop_layer(layer)
     return kept
 
@@ -173,8 +196,11 @@ def int_parse(spark: SparkSession, directory: str) -> DataFrame:
         "word": "l_returnflag",
         "blank": "''",
         "too_large": "l_linenumber || '000000000'",
+        "tiny": "l_linenumber || 'e-19'",
+        "past_the_scale": "l_linenumber || '.0000000000000000001'",
+        "zeros_past_the_scale": "l_linenumber || '.00000000000000000000'",
     }
-    parsed = _renderings(order_tables.table(spark, directory, "lineitem", spread_by="l_orderkey"), texts).selectExpr(
+    parsed = _renderings(order_tables.table(spark, directory, "lineitem"), texts).selectExpr(
         "rendering", f"{whole_number('text')} AS value"
     )
     return parsed.groupBy("rendering").agg(
@@ -198,6 +224,9 @@ def money_parse(spark: SparkSession, directory: str) -> DataFrame:
         "named": f"'USD ' || {grouped}",
         "word": "p_name",
         "blank": "' '",
+        "seven_decimals": f"{price} || '00004'",
+        "past_the_scale": f"{price} || '000000000000001'",
+        "zeros_past_the_scale": f"{price} || '000000000000000000'",
     }
     parsed = _renderings(order_tables.table(spark, directory, "part"), texts).selectExpr(
         "rendering", f"{money('text')} AS value"
@@ -205,7 +234,7 @@ def money_parse(spark: SparkSession, directory: str) -> DataFrame:
     return parsed.groupBy("rendering").agg(
         F.expr("count(1) AS texts"),
         F.expr("count(value) AS accepted"),
-        F.expr("cast(sum(value) AS decimal(30,6)) AS total"),
+        F.expr("cast(sum(value) AS decimal(36,16)) AS total"),
         F.expr("min(value) AS smallest"),
         F.expr("max(value) AS largest"),
     )
@@ -249,7 +278,7 @@ def date_parse(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def reconciled(spark: SparkSession, directory: str) -> DataFrame:
-    lines = priced_lines(spark, directory)
+    lines = silver_lines(spark, directory)
     return reconciliation(lines, monthly_summary(lines))
 
 
@@ -279,12 +308,28 @@ def one_check(check: quality.Check, spark: SparkSession, directory: str) -> Data
 
 
 def damaged_bronze_checks(spark: SparkSession, directory: str) -> DataFrame:
-    """The Bronze checks on damaged text; Silver and Gold play no part in them."""
-    bronze = damaged_bronze(spark, directory)
-    layers = Layers(**bronze, silver=bronze["sales"], gold=bronze["sales"])
+    """The Bronze checks on damaged text, beside the undamaged Silver and Gold."""
+    layers = replace(all_layers(spark, directory), **damaged_bronze(spark, directory))
     return quality.check_results(layers, tuple(check for check in CHECKS if check.layer == "bronze"))
 
 
+def damaged_silver_gold_checks(spark: SparkSession, directory: str) -> DataFrame:
+    """The other checks on spoilt Silver lines, a Gold with repeated rows, and no stores."""
+    layers = all_layers(spark, directory)
+    spoilt = {
+        "delivery_date": "if(line_item = 1 AND store_key <> 0, date_sub(order_date, 1), delivery_date)",
+        "sales_channel": "CASE line_item WHEN 2 THEN NULL WHEN 3 THEN 'Phone' WHEN 4 THEN 'Online' ELSE sales_channel END",
+        "gross_sales_usd": "CASE WHEN line_item <> 5 THEN gross_sales_usd END",
+    }
+    layers = replace(
+        layers,
+        silver=_replaced(layers.silver.where("line_item <> 6"), spoilt),
+        gold=layers.gold.unionByName(layers.gold.where("sales_channel = 'In Store'")),
+        stores=layers.stores.where("false"),
+    )
+    return quality.check_results(layers, tuple(check for check in CHECKS if check.layer != "bronze"))
+
+
 def audited_checks(spark: SparkSession, directory: str) -> DataFrame:
     """All checks as recorded in the audit table."""
     store = published(spark, directory)
@@ -316,7 +361,7 @@ def latest_audit(spark: SparkSession, directory: str) -> DataFrame:
 def price_text_vs_typed(spark: SparkSession, directory: str) -> DataFrame:
     """A product's price as delivered beside the value its Silver lines carry."""
     text = inspect.price_text(order_tables.products(spark, directory))
-    typed = inspect.price_typed(priced_lines(spark, directory))
+    typed = inspect.price_typed(silver_lines(spark, directory))
     return text.selectExpr("'text' AS form", "unit_price_usd AS price").unionByName(
         typed.selectExpr("'typed' AS form", "cast(unit_price_usd AS string) AS price")
     )
@@ -326,7 +371,7 @@ def price_text_vs_typed(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _panel(spark: SparkSession, directory: str) -> tuple[fc.History, DataFrame]:
-    history = fc.monthly_history(priced_lines(spark, directory))
+    history = fc.monthly_history(silver_lines(spark, directory))
     return history, fc.complete_panel(history)
 
 
@@ -383,24 +428,26 @@ def queries() -> dict[str, Query]:
         "silver_date_parse": date_parse,
         "silver_violations": lambda spark, at: silver_violations(**order_tables.bronze_shaped(spark, at)),
         "silver_violations_damaged": lambda spark, at: silver_violations(**damaged_bronze(spark, at)),
-        "gold_violations": lambda spark, at: gold_violations(priced_lines(spark, at)),
+        "gold_violations": lambda spark, at: gold_violations(silver_lines(spark, at)),
         "gold_violations_damaged": lambda spark, at: gold_violations(damaged_lines(spark, at)),
+        "gold_refusals": gold_refusals,
         "gold_reconciliation": reconciled,
         "published_gold": published_gold,
         "layer_row_counts": published_row_counts,
         "gold_export_rows": exported_gold,
         **{f"dq_{check.name}": partial(one_check, check) for check in CHECKS},
         "dq_damaged_bronze": damaged_bronze_checks,
+        "dq_damaged_silver_gold": damaged_silver_gold_checks,
         "dq_check_results": audited_checks,
         "dq_latest_run": latest_audit,
         "inspect_gold_head": lambda spark, at: inspect.gold_head(gold_rows(spark, at)),
         "inspect_bronze_head": lambda spark, at: inspect.bronze_head(order_tables.sales(spark, at)),
         "inspect_price_text": lambda spark, at: inspect.price_text(order_tables.products(spark, at)),
-        "inspect_price_typed": lambda spark, at: inspect.price_typed(priced_lines(spark, at)),
+        "inspect_price_typed": lambda spark, at: inspect.price_typed(silver_lines(spark, at)),
         "inspect_price_text_vs_typed": price_text_vs_typed,
         "inspect_channel_totals": lambda spark, at: inspect.channel_totals(gold_rows(spark, at)),
-        "forecast_last_complete_month": lambda spark, at: fc.latest_order(priced_lines(spark, at)),
-        "forecast_monthly_sales": lambda spark, at: fc.monthly_history(priced_lines(spark, at)).monthly,
+        "forecast_last_complete_month": lambda spark, at: fc.latest_order(silver_lines(spark, at)),
+        "forecast_monthly_sales": lambda spark, at: fc.monthly_history(silver_lines(spark, at)).monthly,
         "forecast_panel": lambda spark, at: _panel(spark, at)[1],
         "forecast_features": panel_features,
         "forecast_split": temporal_split,
@@ -408,7 +455,7 @@ def queries() -> dict[str, Query]:
         "forecast_naive_metrics": lambda spark, at: fc.error_metrics(_naive_holdout(spark, at), "seasonal_naive_usd"),
         "forecast_next_month_features": next_month_rows,
         "forecast_next_month_naive": naive_next_month,
-        "forecast_holdout_ridge": lambda spark, at: fc.forecast(priced_lines(spark, at)).holdout,
-        "forecast_next_month": lambda spark, at: fc.forecast(priced_lines(spark, at)).next_month,
-        "forecast_summary": lambda spark, at: fc.forecast(priced_lines(spark, at)).summary,
+        "forecast_holdout_ridge": lambda spark, at: fc.Backtest(silver_lines(spark, at)).holdout(),
+        "forecast_next_month": lambda spark, at: fc.Backtest(silver_lines(spark, at)).next_month(),
+        "forecast_summary": lambda spark, at: fc.Backtest(silver_lines(spark, at)).summary(),
     }

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyroll.contracts import GOLD_KEYS, GOLD_TABLE, GOLD_TYPES, SILVER_TABLE
 from tallyroll.errors import JOB_ERRORS, StageError
 from tallyroll.functions.months import month_start
-from tallyroll.functions.text import is_blank, only_if
+from tallyroll.functions.text import is_blank, or_fail
 from tallyroll.operators.scalars import as_rows, side_by_side
 from tallyroll.sources.layer_store import LayerStore
 
@@ -37,9 +37,12 @@ def _grouped(lines: DataFrame) -> DataFrame:
 
 def monthly_summary(lines: DataFrame) -> DataFrame:
     """The Gold rows; the rules are enforced on the few groups instead of every line."""
-    keys = {key: only_if(f"NOT ({BROKEN[rule]})", key, RULES[rule]) for key, rule in zip(GOLD_KEYS, RULES)}
-    return _grouped(lines).selectExpr(
-        *[f"cast({keys.get(name, name)} AS {kind}) AS {name}" for name, kind in GOLD_TYPES.items()]
+    # Every group has lines; naming their count keeps the check above the grouping.
+    holds = {f"line_item_count > 0 AND NOT ({BROKEN[rule]})": RULES[rule] for rule in RULES}
+    return (
+        _grouped(lines)
+        .where(or_fail(holds))
+        .selectExpr(*[f"cast({name} AS {kind}) AS {name}" for name, kind in GOLD_TYPES.items()])
     )
 
 
@@ -51,30 +54,40 @@ def gold_violations(lines: DataFrame) -> DataFrame:
     return as_rows(counters, list(RULES), "rule", "violations")
 
 
+_SILVER_TOTALS = {
+    "silver_line_items": "count(1)",
+    "silver_units": "sum(quantity)",
+    "silver_sales": "sum(gross_sales_usd)",
+    "silver_profit": "sum(estimated_gross_profit_usd)",
+}
+_GOLD_TOTALS = {
+    "gold_line_items": "sum(line_item_count)",
+    "gold_units": "sum(units_sold)",
+    "gold_sales": "sum(gross_sales_usd)",
+    "gold_profit": "sum(estimated_gross_profit_usd)",
+}
+
+
+def _totals(names: dict[str, str]) -> list[Column]:
+    return [F.expr(total).alias(name) for name, total in names.items()]
+
+
 def reconciliation(lines: DataFrame, summary: DataFrame) -> DataFrame:
     """One row of Silver totals, Gold totals and whether all four agree (NULL never does)."""
-    silver = lines.selectExpr(
-        "count(1) AS silver_line_items",
-        "sum(quantity) AS silver_units",
-        "sum(gross_sales_usd) AS silver_sales",
-        "sum(estimated_gross_profit_usd) AS silver_profit",
-    )
-    gold = summary.selectExpr(
-        "sum(line_item_count) AS gold_line_items",
-        "sum(units_sold) AS gold_units",
-        "sum(gross_sales_usd) AS gold_sales",
-        "sum(estimated_gross_profit_usd) AS gold_profit",
-    )
-    agree = " AND ".join(f"silver_{total} = gold_{total}" for total in ("line_items", "units", "sales", "profit"))
-    return side_by_side([silver, gold]).selectExpr("*", f"coalesce({agree}, false) AS reconciled")
+    both = side_by_side([lines.agg(*_totals(_SILVER_TOTALS)), summary.agg(*_totals(_GOLD_TOTALS))])
+    agree = " AND ".join(f"{silver} = {gold}" for silver, gold in zip(_SILVER_TOTALS, _GOLD_TOTALS, strict=True))
+    return both.selectExpr("*", f"coalesce({agree}, false) AS reconciled")
 
 
 def build_gold(store: LayerStore) -> int:
     """Replace Gold from published Silver, or leave it as it is; returns its rows."""
     store.require([("silver", SILVER_TABLE)], "silver")
+    # The Silver totals are taken by the tasks that read Silver for Gold.
+    read = Observation()
     lines = store.table("silver", SILVER_TABLE)
+    observed = lines.observe(read, *_totals(_SILVER_TOTALS))
     try:
-        version = store.stage("gold", GOLD_TABLE, monthly_summary(lines))
+        version = store.stage("gold", GOLD_TABLE, monthly_summary(observed))
     except JOB_ERRORS as error:
         broken = gold_violations(lines).where("violations > 0").orderBy("position").first()
         if broken is None:
@@ -82,10 +95,11 @@ def build_gold(store: LayerStore) -> int:
         raise StageError(RULES[broken.rule]) from error
     try:
         summary = store.staged("gold", GOLD_TABLE, version)
-        rows = summary.count()
+        written = summary.agg(F.count(F.lit(1)).alias("rows"), *_totals(_GOLD_TOTALS)).first()
+        rows = written.rows
         if rows == 0:
             raise StageError("Silver sales is empty. Run silver first.")
-        if not reconciliation(lines, summary).first().reconciled:
+        if any(read.get[silver] is None or read.get[silver] != written[gold] for silver, gold in zip(_SILVER_TOTALS, _GOLD_TOTALS)):
             raise StageError("Gold counts and totals do not reconcile to Silver")
     except Exception:
         store.discard("gold", GOLD_TABLE, version)

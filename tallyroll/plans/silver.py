@@ -1,9 +1,10 @@
 """Silver: one typed, enriched row per Bronze sales line.
 
-The rules are part of the plan: each column either holds a valid value or stops the job, so a
-good run checks everything in the one pass that writes the table, and a bad run stops at the
-first bad row instead of finishing a table nobody may read. Only after such a stop are the
-violations counted, to report the rule that comes first.
+The rules are part of the plan: filters that are true or stop the job. No column need be read
+for its rule to hold, so Gold, the forecast or a plain count over Silver lines refuse a bad line
+too. A good run checks everything in the one pass that writes the table, and a bad run stops at
+the first bad row. Only after such a stop are the violations counted, to report the rule that
+comes first.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from tallyroll.functions.text import (
     is_blank,
     money,
     no_date,
-    only_if,
+    or_fail,
     required,
     source_date,
     stripped,
@@ -99,68 +100,54 @@ def typed_stores(stores: DataFrame) -> DataFrame:
     )
 
 
-def _enforced(frame: DataFrame, rules: dict[str, str]) -> DataFrame:
-    """The frame with a failed job where one of the named columns is NULL."""
-    return frame.selectExpr(
-        *[f"{required(name, RULES[rules[name]])} AS {name}" if name in rules else name for name in frame.columns]
-    )
-
-
-def priced_sales(sales: DataFrame, products: DataFrame) -> DataFrame:
-    """The Silver columns that need no store, lazily; together they enforce all their rules."""
-    return _priced(_lines(sales), products)
-
-
 def enriched_sales(sales: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
-    """All Silver columns, lazily; together they enforce all rules.
+    """All Silver columns, lazily; every rule holds for whatever is read of them.
 
     The joins are not hinted. Catalyst broadcasts a dimension it estimates as small, AQE does
     once its real size is known, and otherwise the shuffle join remains, where AQE splits the
     partition of a hot key: a hot product, or the online store, which may hold a large share
     of all lines. Stores come first, so that the wider product columns are not shuffled again.
     """
-    store = _enforced(typed_stores(stores), {"store_key": "stores_store_key"})
-    found = lookup(store, "store_key", "store_found", REPEATED_KEY)
-    lines = _lines(sales).join(found, "store_key", "left").selectExpr(
-        "* EXCEPT (store_country, store_found)",
-        f"{only_if('store_found', 'store_country', NO_MATCH)} AS store_country",
-    )
-    return _priced(lines, products)
-
-
-def _lines(sales: DataFrame) -> DataFrame:
-    return _enforced(typed_sales(sales), {name: f"sales_{name}" for name in WHOLE_NUMBERS})
-
-
-def _priced(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Typed lines with product columns and measures: the Silver columns they allow, in order."""
-    product = _enforced(
-        typed_products(products),
-        {
-            "product_key": "products_product_key",
-            "unit_cost_usd": "unit_cost_usd",
-            "unit_price_usd": "unit_price_usd",
-        },
+    # The joins read the keys, and the last filter reads both flags, so these rules stay too.
+    known = {
+        "store": lookup(_keyed(typed_stores(stores), "store_key", "stores_store_key"), "store_key", "store_found", REPEATED_KEY),
+        "product": lookup(
+            _keyed(typed_products(products), "product_key", "products_product_key"),
+            "product_key",
+            "product_found",
+            REPEATED_KEY,
+            _holding(unit_cost_usd="unit_cost_usd IS NOT NULL", unit_price_usd="unit_price_usd IS NOT NULL"),
+        ),
+    }
+    joined = typed_sales(sales).join(known["store"], "store_key", "left").join(known["product"], "product_key", "left")
+    # One condition over both sides of both joins stays above them, so no text is read twice.
+    checked = joined.where(
+        _holding(
+            **{f"sales_{name}": f"{name} IS NOT NULL" for name in WHOLE_NUMBERS},
+            quantity_not_positive="quantity > 0",
+            sales_dates="order_date IS NOT NULL AND delivery_date_ok",
+            product_key_unmatched="product_found",
+            store_key_unmatched="store_found",
+            category_blank="has_category",
+        )
     )
     values = {
-        "order_date": required("order_date", RULES["sales_dates"]),
-        "delivery_date": only_if("delivery_date_ok", "delivery_date", RULES["sales_dates"]),
-        "quantity": only_if("quantity > 0", "quantity", RULES["quantity_not_positive"]),
-        "product_category": only_if("has_category", "product_category", RULES["category_blank"]),
-        # One column carries the match: more would only grow the generated method.
-        "unit_price_usd": only_if("product_found", "unit_price_usd", NO_MATCH),
         "sales_channel": f"CASE WHEN store_key = {ONLINE_STORE_KEY} THEN '{ONLINE}' ELSE '{IN_STORE}' END",
-    }
-    measures = {
         # On the unrounded price, then rounded once by the cast.
         "gross_sales_usd": "quantity * unit_price_usd",
         "estimated_gross_profit_usd": "quantity * (unit_price_usd - unit_cost_usd)",
     }
-    joined = lines.join(lookup(product, "product_key", "product_found", REPEATED_KEY), "product_key", "left")
-    present = {*joined.columns, *values, *measures}
-    kinds = {name: kind for name, kind in SILVER_TYPES.items() if name in present}
-    checked = joined.selectExpr(*[f"{values.get(name, name)} AS {name}" for name in kinds if name not in measures])
-    return checked.selectExpr(*[f"cast({measures.get(name, name)} AS {kind}) AS {name}" for name, kind in kinds.items()])
+    return checked.selectExpr(*[f"cast({values.get(name, name)} AS {kind}) AS {name}" for name, kind in SILVER_TYPES.items()])
+
+
+def _keyed(dim: DataFrame, key: str, rule: str) -> DataFrame:
+    """The dimension, whose job fails at a row without a key: a join would only pass it over."""
+    return dim.selectExpr(*[f"{required(key, RULES[rule])} AS {key}" if name == key else name for name in dim.columns])
+
+
+def _holding(**rules: str) -> str:
+    """True where the named rules hold, by their conditions; a failed job where one does not."""
+    return or_fail({condition: RULES[rule] for rule, condition in rules.items()})
 
 
 def silver_violations(sales: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ def test_whole_numbers(spark):
         " 2 ": 2, "01": 1, "+5": 5, "2.0": 2, "1e2": 100, "3.": 3, "\t3\n": 3, " -7.0": -7, ".0": 0, "2147483648.0": None, "1.5.0": None, "1e2.0": None, ".0.0": None,
         "-0": 0, "2147483647": 2147483647,
         "1.5": None, "": None, " ": None, "inf": None, "nan": None, "abc": None, "0x10": None, "1_000": None,
-        "1e-1": None, "2147483648": None, "1e30": None, None: None, "True": None, "2d": None,
+        "1e-1": None, "1e-19": None, "0.0000000000000000001": None, "7.00000000000000000000": 7, "100e-2": 1, "2147483648": None, "1e30": None, None: None, "True": None, "2d": None,
     }
     assert evaluate(spark, text.whole_number("t"), cases) == list(cases.values())
 
@@ -29,6 +29,8 @@ def test_whole_numbers(spark):
 def test_money(spark):
     cases = {
         " $1,200.25 ": Decimal("1200.25"), "$-5": Decimal("-5"), "-$5": Decimal("-5"), "1e3": Decimal("1000"),
+        "0.0000004": Decimal("0.0000004"), "$1.0000000000000001": Decimal("1.0000000000000001"),
+        "1.00000000000000001": None, "1.500000000000000000000": Decimal("1.5"), "1e-17": None,
         " $7.125\t": Decimal("7.125"), "$ 3": Decimal("3"), "": None, "$": None, "n/a": None, None: None,
     }
     assert evaluate(spark, text.money("t"), cases) == list(cases.values())
@@ -80,7 +82,7 @@ def test_blank_text(spark):
 
 
 def test_positive_integers(spark):
-    cases = {"2": True, "2.0": True, " 7 ": True, "1e2": True, "0": False, "-1": False, "1.5": False, "": False, "x": False, None: False}
+    cases = {"1e-19": False, "2": True, "2.0": True, " 7 ": True, "1e2": True, "0": False, "-1": False, "1.5": False, "": False, "x": False, None: False}
     assert evaluate(spark, text.positive_integer("t"), cases) == list(cases.values())
 
 
