@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.llm.batches import id_and_text, map_slices, texts_of
-from tallyroll.llm.byte_pairs import rank_encoder
+from tallyroll.llm.byte_pairs import rank_encoder, rank_pieces
 
 # A vocabulary travels with every task; a larger file is not one.
 MOST_RANK_BYTES = 64 << 20
@@ -55,7 +55,7 @@ def decoded(rows: DataFrame, ranks: bytes) -> DataFrame:
     """``doc_id, ids, bytes`` of encoded rows: the pieces of the ids, joined. Null ids give null."""
 
     def decode(batch: pa.RecordBatch) -> pa.RecordBatch:
-        pieces = rank_encoder(ranks).merges.pieces
+        pieces = rank_pieces(ranks)
         joined = [
             None if ids is None else b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
             for ids in batch.column("ids").to_pylist()

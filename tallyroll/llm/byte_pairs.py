@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import functools
 import json
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +21,7 @@ from tallyroll.llm.pretokens import code_points, pretoken_hashes, pretoken_start
 
 _NONE = np.iinfo(np.int64).max
 _SHIFT = np.int64(1 << 20)
-# Words remembered at once, in about 100 bytes each.
+# Words remembered at once, in about 30 bytes each.
 REMEMBERED = 1_000_000
 
 
@@ -36,16 +37,14 @@ class Merges:
     specials: dict[str, int]
 
     @classmethod
-    def of(cls, tokens: dict[bytes, int], pairs: dict[tuple[int, int], tuple[int, int]], specials: dict[str, int]) -> Merges:
-        items = sorted((left * int(_SHIFT) + right, rank, new) for (left, right), (rank, new) in pairs.items())
-        keys, ranks, merged = np.array(items, np.int64).reshape(-1, 3).T
-        pieces = [b""] * (max([*tokens.values(), *specials.values()]) + 1)
-        for token, number in tokens.items():
-            pieces[number] = token
-        for text, number in specials.items():
-            pieces[number] = text.encode()
+    def of(cls, tokens: dict[bytes, int], pairs: array, specials: dict[str, int]) -> Merges:
+        """``pairs`` holds left id, right id, rank and merged id of each pair, one after another."""
+        left, right, ranks, merged = np.array(pairs).reshape(-1, 4).T
+        keys = left * _SHIFT + right
+        order = np.argsort(keys)
+        pieces = pieces_by_id({**tokens, **{text.encode(): number for text, number in specials.items()}})
         byte_ids = np.array([tokens[bytes([value])] for value in range(256)], np.int64)
-        return cls(byte_ids, keys.copy(), ranks.copy(), merged.copy(), pieces, specials)
+        return cls(byte_ids, keys[order], ranks[order], merged[order], pieces, specials)
 
     def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged id of pairs; the rank is _NONE where they do not merge."""
@@ -129,20 +128,35 @@ class Merges:
         return ids, word, rank, new
 
 
+def pieces_by_id(tokens: dict[bytes, int]) -> list[bytes]:
+    pieces = [b""] * (max(tokens.values()) + 1)
+    for token, number in tokens.items():
+        pieces[number] = token
+    return pieces
+
+
+def _ranked_tokens(content: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, content.splitlines())}
+
+
 @functools.lru_cache(maxsize=2)
+def rank_pieces(content: bytes) -> list[bytes]:
+    """The pieces of a rank file by id."""
+    return pieces_by_id(_ranked_tokens(content))
+
+
 def merges_of_ranks(content: bytes) -> Merges:
     """From a rank file: any two pieces merge if their bytes together are a piece, whose rank is its id."""
-    tokens = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, content.splitlines())}
-    pairs = {}
+    tokens = _ranked_tokens(content)
+    pairs = array("q")
     for token, rank in tokens.items():
         for cut in range(1, len(token)):
             left, right = tokens.get(token[:cut]), tokens.get(token[cut:])
             if left is not None and right is not None:
-                pairs[left, right] = (rank, rank)
+                pairs.extend((left, right, rank, rank))
     return Merges.of(tokens, pairs, {})
 
 
-@functools.lru_cache(maxsize=2)
 def merges_of_json(content: bytes) -> Merges:
     """From a tokenizer's description: the listed pairs merge, in the order of the list."""
     described = json.loads(content)
@@ -155,10 +169,10 @@ def merges_of_json(content: bytes) -> Merges:
     tokens = {
         bytes(letters[letter] for letter in piece): number for piece, number in vocabulary.items() if piece not in specials
     }
-    pairs = {}
+    pairs = array("q")
     for rank, merge in enumerate(described["model"]["merges"]):
         left, right = merge.split(" ") if isinstance(merge, str) else merge
-        pairs[vocabulary[left], vocabulary[right]] = (rank, vocabulary[left + right])
+        pairs.extend((vocabulary[left], vocabulary[right], rank, vocabulary[left + right]))
     return Merges.of(tokens, pairs, specials)
 
 
@@ -170,24 +184,32 @@ class TextEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._numbers: dict[int, int] = {}
+        """Known words by ascending hash, and where in the pool each one's ids lie."""
+        self._hashes = np.zeros(0, np.uint64)
+        self._firsts, self._sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self._pool = np.zeros(1 << 16, np.int32)
-        self._firsts, self._sizes = [], []
         self._used = 0
 
-    def _learn(self, words: list[bytes], hashes: list[int]) -> None:
+    def _learn(self, words: list[bytes], hashes: np.ndarray) -> None:
+        """Add words; their hashes ascend and are new."""
         ids, counts = self.merges.encode(words)
         needed = self._used + len(ids)
         if needed > len(self._pool):
             self._pool = np.concatenate((self._pool, np.zeros(max(needed, len(self._pool)), np.int32)))
         self._pool[self._used : needed] = ids
-        firsts = self._used + np.cumsum(counts) - counts
-        number = len(self._firsts)
-        self._numbers.update(zip(hashes, range(number, number + len(hashes)), strict=True))
-        self._firsts.extend(firsts.tolist())
-        self._sizes.extend(counts.tolist())
+        places = np.searchsorted(self._hashes, hashes)
+        self._firsts = np.insert(self._firsts, places, self._used + np.cumsum(counts) - counts)
+        self._sizes = np.insert(self._sizes, places, counts)
+        self._hashes = np.insert(self._hashes, places, hashes)
         self._used = needed
 
+    def _places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where among the known words each hash is, and whether it is there."""
+        if not len(self._hashes):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        places = np.minimum(np.searchsorted(self._hashes, hashes), len(self._hashes) - 1)
+        return places, self._hashes[places] == hashes
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts side by side, and where each text's begin (and the end)."""
         for special in self.merges.specials:
@@ -201,20 +223,19 @@ class TextEncoder:
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
         codes, distinct = pd.factorize(pretoken_hashes(points, starts))
-        if len(self._firsts) > REMEMBERED:
+        if len(self._hashes) > REMEMBERED:
             self._forget()
-        hashes = distinct.tolist()
-        unknown = [place for place, found in enumerate(hashes) if found not in self._numbers]
-        if unknown:
-            some = np.full(len(hashes), -1, np.int64)
+        places, known = self._places(distinct)
+        if not known.all():
+            some = np.zeros(len(distinct), np.int64)
             some[codes[::-1]] = np.arange(len(codes))[::-1]  # the first place of each word
-            ends = np.append(starts[1:], len(points))
-            # Code points are cut out of the batch, since a text's end may part two words.
-            words = [points[starts[at] : ends[at]].tobytes().decode("utf-32-le").encode() for at in some[unknown].tolist()]
-            self._learn(words, [hashes[place] for place in unknown])
-        numbers = [self._numbers[found] for found in hashes]
-        firsts = np.array([self._firsts[number] for number in numbers], np.int64)[codes]
-        sizes = np.array([self._sizes[number] for number in numbers], np.int64)[codes]
+            after = np.append(starts[1:], len(points))
+            unknown = np.flatnonzero(~known)
+            unknown = unknown[np.argsort(distinct[unknown])]
+            words = [points[starts[at] : after[at]].tobytes().decode("utf-32-le").encode() for at in some[unknown].tolist()]
+            self._learn(words, distinct[unknown])
+            places, _ = self._places(distinct)
+        firsts, sizes = self._firsts[places][codes], self._sizes[places][codes]
         ends = np.cumsum(sizes)
         ids = self._pool[np.repeat(firsts - (ends - sizes), sizes) + np.arange(ends[-1])]
         before = np.concatenate(([0], ends))
