@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from tallyroll.contracts import SOURCES, SourceContract
 from tallyroll.errors import SourceError
 from tallyroll.sources.files import Files
 
+# A quoted field that closes, with doubled quotes inside.
+_QUOTED = '"(?:[^"]|"")*+"'
 MALFORMED = "_malformed"
 BEYOND_HEADER = "_beyond_header"
 TOO_LONG = "could not read {}: a row has more fields than the header"
@@ -24,7 +27,8 @@ class SourceText:
 
     header: list[str]
     valid_utf8: bool
-    quoted_newlines: bool
+    # The files with records over several lines; the others stay splittable.
+    multiline_files: tuple[str, ...]
 
 
 def source_path(directory: str, contract: SourceContract) -> str:
@@ -34,28 +38,30 @@ def source_path(directory: str, contract: SourceContract) -> str:
 def inspect_text(spark: SparkSession, directory: str, contract: SourceContract) -> SourceText:
     """Header, encoding and quoting of one source; a source may be a file or a folder of files.
 
-    A record that runs over several lines leaves at least one line with an odd number of
-    quotes, which decides between the splittable and the whole-file reader.
+    A record over several lines begins with a line in which a quoted field opens and does not
+    close. Only files with such a line need the whole-file reader. A quote inside an unquoted
+    field opens nothing. One pass over the text finds all of this.
     """
     path = source_path(directory, contract)
     files = Files(spark)
     if not files.exists(path):
         raise SourceError(f"required file not found: {path}")
-    first_file = next((name for name, size in files.data_files(path) if size), None)
+    first_file = files.first_data_file(path)
     if first_file is None:
         raise SourceError(f"could not read {contract.file_name}: no columns to parse from file")
 
-    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
-    broken, odd = (
+    closed_away = F.regexp_replace("value", f"(^|,){_QUOTED}", "$1")
+    broken, multiline = (
         spark.read.text(path)
-        .agg(F.count_if(~F.is_valid_utf8("value")), F.count_if(quotes % 2 == 1))
+        .select("value", F.input_file_name().alias("file"))
+        .agg(F.count_if(~F.is_valid_utf8("value")), F.collect_set(F.when(closed_away.rlike('(^|,)"'), F.col("file"))))
         .first()
     )
     first_line = spark.read.text(first_file).where(F.trim("value") != "").first()
     if broken == 0 and first_line is None:
         raise SourceError(f"could not read {contract.file_name}: no columns to parse from file")
     header = next(csv.reader([first_line.value])) if first_line else []
-    return SourceText(header, broken == 0, odd > 0)
+    return SourceText(header, broken == 0, tuple(sorted(multiline)))
 
 
 def read_source(
@@ -110,15 +116,19 @@ def _raw(spark: SparkSession, path: str, contract: SourceContract, text: SourceT
         raise SourceError(f"could not read {contract.file_name}: a column name repeats in the header")
     fields = [T.StructField(name, T.StringType()) for name in text.header]
     # enforceSchema=False makes the scan itself compare the header of every part file.
-    raw = (
+    reader = (
         spark.read.schema(T.StructType([*fields, T.StructField(MALFORMED, T.StringType())]))
         .option("header", True)
         .option("escape", '"')
         .option("enforceSchema", False)
         .option("columnNameOfCorruptRecord", MALFORMED)
-        .option("multiLine", text.quoted_newlines)
-        .csv(path)
     )
+    whole = set(text.multiline_files)
+    split = [name for name in spark.read.text(path).inputFiles() if name not in whole] if whole else [path]
+    raw = reader.csv([unquote(name) for name in split] if whole else split) if split else None
+    if whole:
+        parsed_whole = reader.option("multiLine", True).csv([unquote(name) for name in sorted(whole)])
+        raw = raw.unionByName(parsed_whole) if raw is not None else parsed_whole
     # Spark drops surplus fields silently. It keeps the raw record of any row whose field
     # count is off, so only those few are parsed again, with one more field to catch it.
     wider = ", ".join(f"`{name}` string" for name in [*text.header, BEYOND_HEADER])

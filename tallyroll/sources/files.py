@@ -31,14 +31,14 @@ class Files:
             return []
         return [status.getPath().getName() for status in self._system(path).listStatus(self._path(path))]
 
-    def data_files(self, path: str) -> list[tuple[str, int]]:
-        """(path, bytes) of a file, or of the visible files of a folder, in name order."""
-        found = [
-            (status.getPath().toString(), status.getLen())
-            for status in self._system(path).listStatus(self._path(path))
-            if status.isFile() and not status.getPath().getName().startswith(("_", "."))
-        ]
-        return sorted(found)
+    def first_data_file(self, path: str) -> str | None:
+        """A visible file with contents: the path itself, or one under it. Looks no further than the first."""
+        found = self._system(path).listStatusIterator(self._path(path))
+        while found.hasNext():
+            status = found.next()
+            if status.isFile() and status.getLen() and not status.getPath().getName().startswith(("_", ".")):
+                return status.getPath().toString()
+        return None
 
     def move(self, source: str, target: str) -> None:
         """Rename a file or folder to a path that does not exist yet."""

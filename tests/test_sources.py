@@ -78,7 +78,7 @@ def test_short_rows_are_padded_and_long_rows_fail(spark, tmp_path):
 def test_quotes_and_line_breaks(spark, tmp_path):
     lines = ['1,"a ""quoted"", name","line one\nline two",5,1/1/2008', "2,plain,x,5,1/1/2008"]
     write_files(tmp_path, Stores="\n".join([HEADER, *lines]) + "\n")
-    assert inspect_text(spark, str(tmp_path), STORES).quoted_newlines
+    assert inspect_text(spark, str(tmp_path), STORES).multiline_files
     assert [tuple(row) for row in read_source(spark, str(tmp_path), STORES).collect()] == [
         ("1", 'a "quoted", name', "line one\nline two", "5", "1/1/2008"),
         ("2", "plain", "x", "5", "1/1/2008"),
@@ -121,6 +121,29 @@ def test_a_folder_of_part_files(spark, tmp_path):
         read_source(spark, str(tmp_path), STORES).collect()
 
 
+def test_only_files_with_multiline_records_are_read_whole(spark, tmp_path):
+    folder = tmp_path / "the files" / "Stores.csv"
+    folder.mkdir(parents=True)
+    large = "".join(f"{key},US,X,5,1/1/2008\n" for key in range(1000, 21_000))
+    for name, body in {
+        "part a.csv": large,
+        "part-b.csv": '1,US,5" lane,5,1/1/2008\n' + large,
+        "part-c.csv": '2,"two\nlines",X,5,1/1/2008\n3,US,"a ""q"", b",5,1/1/2008\n',
+    }.items():
+        (folder / name).write_text(f"{HEADER}\n{body}")
+    text = inspect_text(spark, str(folder.parent), STORES)
+    assert [name.rpartition("/")[2] for name in text.multiline_files] == ["part-c.csv"]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        frame = read_source(spark, str(folder.parent), STORES, text)
+        assert frame.rdd.getNumPartitions() >= 6
+        found = {row.store_key: (row.country, row.state) for row in frame.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(found) == 20_003
+    assert found["1"] == ("US", '5" lane') and found["2"] == ("two\nlines", "X") and found["3"] == ("US", 'a "q", b')
+
+
 def test_a_repeated_header_name_fails(spark, tmp_path):
     write_files(tmp_path, Stores=f"{HEADER},Notes,Notes\n{ROW},a,b\n")
     with pytest.raises(SourceError, match="repeats"):
