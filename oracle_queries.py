@@ -526,6 +526,46 @@ def oracle_sql() -> dict[str, str]:
                       END AS wape_percent
                FROM holdout""",
         ),
+        "forecast_ridge_optimality": _with(
+            FORECAST,
+            """SELECT unnest(['intercept', 'lag_1', 'lag_12', 'previous_3_month_average']) AS feature, 0.0::DOUBLE AS gap
+               UNION ALL SELECT DISTINCT 'product_category=' || product_category, 0.0 FROM usable
+               UNION ALL SELECT DISTINCT 'sales_channel=' || sales_channel, 0.0 FROM usable
+               UNION ALL SELECT DISTINCT 'month_number=' || month_number, 0.0 FROM usable""",
+        ),
+        "forecast_selection": _with(
+            FORECAST,
+            """SELECT product_category, sales_channel, true AS follows_the_errors, true AS named_in_the_summary,
+                      true AS not_below_zero FROM upcoming""",
+        ),
+        "forecast_files": _with(
+            FORECAST,
+            """SELECT 'holdout_predictions' AS file,
+                      CAST(row_number() OVER (ORDER BY sales_month, product_category, sales_channel) AS INTEGER) AS position,
+                      CAST(sales_month AS VARCHAR) AS sales_month, product_category, sales_channel,
+                      CAST(CAST(seasonal_naive_usd AS DECIMAL(18,2)) AS VARCHAR) AS seasonal_naive_usd FROM holdout
+               UNION ALL
+               SELECT 'next_month_forecast',
+                      CAST(row_number() OVER (ORDER BY product_category, sales_channel) AS INTEGER),
+                      CAST(sales_month AS VARCHAR), product_category, sales_channel,
+                      CAST(CAST(lag_12 AS DECIMAL(18,2)) AS VARCHAR) FROM upcoming""",
+        ),
+        "forecast_metrics_file": _with(
+            FORECAST,
+            """SELECT 'monthly gross sales USD by product category and sales channel' AS target,
+                      'silver.sales_enriched' AS source, CAST(last_month AS VARCHAR) AS last_complete_month,
+                      CASE WHEN date_trunc('month', latest) > last_month
+                           THEN strftime(date_trunc('month', latest), '%Y-%m-%d') END AS excluded_partial_month,
+                      strftime(last_month - INTERVAL 11 MONTH, '%Y-%m-%d') AS holdout_start,
+                      CAST(last_month AS VARCHAR) AS holdout_end,
+                      'one-month-ahead predictions using actual prior months; no refit during holdout' AS holdout_method,
+                      (SELECT round(avg(abs(gross_sales_usd - seasonal_naive_usd)), 2) FROM holdout) AS baseline_mae_usd,
+                      (SELECT round(100 * sum(abs(gross_sales_usd - seasonal_naive_usd)) / sum(gross_sales_usd), 2)
+                       FROM holdout) AS baseline_wape_percent,
+                      strftime(last_month + INTERVAL 1 MONTH, '%Y-%m-%d') AS next_forecast_month,
+                      'Historical fictional data; this is a teaching experiment, not a current sales forecast.' AS note
+               FROM bounds""",
+        ),
         "forecast_next_month_features": _with(FORECAST, "SELECT * FROM upcoming"),
         "forecast_next_month_naive": _with(
             FORECAST, f"SELECT {_MONTH_COLUMNS}, lag_12 AS seasonal_naive_usd FROM upcoming"

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -175,6 +175,29 @@ class RidgeModel:
             ]
         ).fit(train.withColumns(self._scaled))
 
+    def optimality(self, train: DataFrame) -> DataFrame:
+        """Per feature of the training rows, how far the penalised normal equations are from holding.
+
+        At the optimum a feature's sum of residuals equals the penalty times its weight, and the
+        residuals themselves add up to zero. The gap is a share of the target's total.
+        """
+        rows = self._model.transform(train.withColumns(self._scaled)).withColumn("rest", F.col(TARGET) - F.col("ridge_usd"))
+        amounts = rows.agg(
+            F.sum("rest").alias("intercept"),
+            *[F.sum(F.col("rest") * F.col(f"{name}_scaled")).alias(name) for name in NUMERIC],
+        ).selectExpr(f"inline(array({', '.join(f'struct({name!r} AS feature, {name} AS total)' for name in ('intercept', *NUMERIC))}))")
+        labels = [
+            rows.groupBy(F.concat(F.lit(f"{name}="), F.col(name)).alias("feature")).agg(F.sum("rest").alias("total"))
+            for name in CATEGORICAL
+        ]
+        indexer, _, _, fitted = self._model.stages
+        names = [*NUMERIC, *(f"{name}={label}" for name, known in zip(CATEGORICAL, indexer.labelsArray) for label in known)]
+        weights = [("intercept", 0.0), *zip(names, map(float, fitted.coefficients), strict=True)]
+        weighed = train.sparkSession.createDataFrame(weights, "feature string, weight double")
+        scale = train.agg(F.sum(F.abs(TARGET))).first()[0] or 1.0
+        gap = F.abs(F.col("total") - PENALTY * F.col("weight")) / scale
+        return reduce(DataFrame.unionByName, labels, amounts).join(weighed, "feature", "full").select("feature", gap.alias("gap"))
+
     def predict(self, rows: DataFrame) -> DataFrame:
         """Adds ``model_usd``, never below zero."""
         scored = self._model.transform(rows.withColumns(self._scaled))
@@ -211,6 +234,10 @@ class Backtest:
         naive, ridge = self.errors
         return RIDGE if ridge.mae_usd < naive.mae_usd else NAIVE
 
+    def optimality(self) -> DataFrame:
+        """Whether the model of the next month solves its equations: (feature, gap)."""
+        return RidgeModel(self._rows).optimality(self._rows)
+
     def holdout(self) -> DataFrame:
         return self.scored.select(*GOLD_KEYS, TARGET, "seasonal_naive_usd", "model_usd")
 

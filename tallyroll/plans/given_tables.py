@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyroll.contracts import GOLD_TABLE, GOLD_TYPES, PRODUCTS, SILVER_TABLE, SOURCES, SourceContract
@@ -26,6 +26,7 @@ from tallyroll.plans.silver import build_silver, enriched_sales, silver_violatio
 from tallyroll.session import scratch_path
 from tallyroll.sources import order_tables
 from tallyroll.sources.delimited import read_source
+from tallyroll.sources.files import Files
 from tallyroll.sources.layer_store import LayerStore
 from tallyroll.sources.preflight import check_sources
 
@@ -135,9 +136,11 @@ def published(spark: SparkSession, directory: str) -> LayerStore:
     return store
 
 
-def _finished(result: DataFrame, store: LayerStore) -> DataFrame:
-    """The result on its own, with the layers behind it removed."""
+def _finished(result: DataFrame, store: LayerStore, *files: str) -> DataFrame:
+    """The result on its own, with the layers and files behind it removed."""
     kept = result.checkpoint()
+    for path in files:
+        Files(store.spark).delete(path)
     for layer in ("bronze", "silver", "gold", "quality"):
         store.drop_layer(layer)
     return kept
@@ -300,7 +303,7 @@ def exported_gold(spark: SparkSession, directory: str) -> DataFrame:
     store, target = published(spark, directory), f"{scratch_path(spark, 'export')}/{GOLD_TABLE}.csv"
     export_gold(store, target)
     schema = ", ".join(f"{name} {kind}" for name, kind in GOLD_TYPES.items())
-    return _finished(spark.read.schema(schema).option("header", True).csv(target), store)
+    return _finished(spark.read.schema(schema).option("header", True).csv(target), store, target)
 
 
 def one_check(check: quality.Check, spark: SparkSession, directory: str) -> DataFrame:
@@ -415,6 +418,66 @@ def naive_next_month(spark: SparkSession, directory: str) -> DataFrame:
     return fc.with_naive(next_month_rows(spark, directory)).select(*fc.GOLD_KEYS, "seasonal_naive_usd")
 
 
+def ridge_optimality(spark: SparkSession, directory: str) -> DataFrame:
+    """The features of the ridge model, and how far each one's equation is from holding."""
+    return fc.Backtest(silver_lines(spark, directory)).optimality().selectExpr("feature", "round(gap, 6) AS gap")
+
+
+def selection(spark: SparkSession, directory: str) -> DataFrame:
+    """Whether the errors name the winner, and the next month's figure is that method's, never below zero."""
+    tested = fc.Backtest(silver_lines(spark, directory))
+    naive, ridge = tested.errors
+    upcoming, summary = tested.next_month(), tested.summary().first()
+    won = "model_usd" if ridge.mae_usd < naive.mae_usd else "seasonal_naive_usd"
+    return upcoming.selectExpr(
+        "product_category",
+        "sales_channel",
+        f"selected_forecast_usd = {won} AS follows_the_errors",
+        f"'{summary.selected_method}' = '{fc.RIDGE if won == 'model_usd' else fc.NAIVE}' AS named_in_the_summary",
+        "model_usd >= 0 AS not_below_zero",
+    )
+
+
+def _forecast_files(spark: SparkSession, directory: str) -> tuple[str, LayerStore]:
+    store, target = published(spark, directory), scratch_path(spark, "forecasts")
+    fc.run_forecast(store, target)
+    return target, store
+
+
+def forecast_files(spark: SparkSession, directory: str) -> DataFrame:
+    """Keys and last year's value as a reader of both CSV files finds them, numbered in file order."""
+    target, store = _forecast_files(spark, directory)
+    order = Window.orderBy("part", "place")
+    columns = [*fc.GOLD_KEYS, "seasonal_naive_usd"]
+    files = [
+        spark.read.option("header", True)
+        .csv(f"{target}/{name}.csv")
+        .select(F.lit(name).alias("file"), *columns, F.input_file_name().alias("part"), F.monotonically_increasing_id().alias("place"))
+        .select("file", F.row_number().over(order).alias("position"), *columns)
+        for name in ("holdout_predictions", "next_month_forecast")
+    ]
+    return _finished(files[0].unionByName(files[1]), store, target)
+
+
+def forecast_metrics_file(spark: SparkSession, directory: str) -> DataFrame:
+    """The fields of the metrics file that do not depend on the model."""
+    target, store = _forecast_files(spark, directory)
+    read = spark.read.json(f"{target}/metrics.json").selectExpr(
+        "target",
+        "source",
+        "last_complete_month",
+        "excluded_partial_month",
+        "holdout_start",
+        "holdout_end",
+        "holdout_method",
+        "baseline.mae_usd AS baseline_mae_usd",
+        "baseline.wape_percent AS baseline_wape_percent",
+        "next_forecast_month",
+        "note",
+    )
+    return _finished(read, store, target)
+
+
 def queries() -> dict[str, Query]:
     """All queries by name."""
     return {
@@ -457,5 +520,9 @@ def queries() -> dict[str, Query]:
         "forecast_next_month_naive": naive_next_month,
         "forecast_holdout_ridge": lambda spark, at: fc.Backtest(silver_lines(spark, at)).holdout(),
         "forecast_next_month": lambda spark, at: fc.Backtest(silver_lines(spark, at)).next_month(),
+        "forecast_ridge_optimality": ridge_optimality,
+        "forecast_selection": selection,
+        "forecast_files": forecast_files,
+        "forecast_metrics_file": forecast_metrics_file,
         "forecast_summary": lambda spark, at: fc.Backtest(silver_lines(spark, at)).summary(),
     }
