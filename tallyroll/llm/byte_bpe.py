@@ -16,15 +16,15 @@ from tallyroll.llm.batches import id_and_text, map_slices, texts_of
 from tallyroll.llm.byte_pairs import rank_encoder, rank_pieces
 
 # A vocabulary travels with every task; a larger file is not one.
-MOST_RANK_BYTES = 64 << 20
+MOST_VOCABULARY_BYTES = 64 << 20
 
 
-def read_ranks(path: str) -> bytes:
-    """The content of a rank file, read on the driver."""
+def read_vocabulary(path: str) -> bytes:
+    """The content of a vocabulary file, read on the driver."""
     with open(path, "rb") as file:
-        content = file.read(MOST_RANK_BYTES + 1)
-    if len(content) > MOST_RANK_BYTES:
-        raise ValueError(f"{path} is too large for a rank file")
+        content = file.read(MOST_VOCABULARY_BYTES + 1)
+    if len(content) > MOST_VOCABULARY_BYTES:
+        raise ValueError(f"{path} is too large for a vocabulary")
     return content
 
 

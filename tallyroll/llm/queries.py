@@ -28,7 +28,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    ranks = byte_bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return byte_bpe.digests(byte_bpe.decoded(byte_bpe.encoded(_documents(spark, sf_dir), ranks), ranks))
 
 
@@ -41,7 +41,7 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokenizer = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer = byte_bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     return packing.checksums(packing.packed(_documents(spark, sf_dir), tokenizer))
 
 
@@ -54,7 +54,7 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = byte_bpe.read_ranks(public_tokenizers.path("piece_bpe_32k.model"))
+    model = byte_bpe.read_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
     return token_counts(_documents(spark, sf_dir), model)
 
 

@@ -16,9 +16,9 @@ from tokenizers import Tokenizer
 from tallyroll.llm import byte_bpe, byte_pairs, packing, queries, token_counts
 
 SF = "/root/testdata/sf0.001"
-RANKS = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-JSON = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.json"))
-MODEL = byte_bpe.read_ranks(public_tokenizers.path("piece_bpe_32k.model"))
+RANKS = byte_bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+JSON = byte_bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+MODEL = byte_bpe.read_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
 ODD = [
     "", " ", "  ", "\n", "a'sb 's don't we'll I'M it''s '''s 'tx we're'd", "a\n\nb  c \n d\t e\r\n", "x" * 5000, "ab" * 3000,
     " " * 500 + "x", "'", "''", "'re", "'r", "<|endoftext|>", "a<|endoftext|> b<|endoftext|><|endoftext|>",
