@@ -26,7 +26,7 @@ def load_bronze(store: LayerStore, sources: dict[str, DataFrame]) -> dict[str, i
             versions[contract.table] = store.stage("bronze", contract.table, with_lineage(frame, contract.file_name))
             written = store.staged("bronze", contract.table, versions[contract.table]).count()
             if written != read.get["rows"]:
-                raise StageError(f"bronze.{contract.table} received {written:,} rows; expected {read.get['rows']:,}")
+                raise StageError(f"{read.get['rows']:,} rows were read for bronze.{contract.table}, but {written:,} written")
             counts[contract.table] = written
     except Exception:
         for table, version in versions.items():

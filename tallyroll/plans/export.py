@@ -20,6 +20,6 @@ def export_gold(store: LayerStore, path: str) -> int:
     summary = store.table("gold", GOLD_TABLE)
     rows = summary.count()
     if rows == 0:
-        raise StageError("Gold is empty. Run the pipeline before exporting.")
+        raise StageError("there is no Gold row to export. Run gold first")
     replace_csv(ordered_summary(summary), path)
     return rows

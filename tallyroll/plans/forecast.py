@@ -85,9 +85,9 @@ def monthly_history(lines: DataFrame) -> History:
         .first()
     )
     if bounds.latest is None:
-        raise StageError("Silver sales is empty. Run silver first.")
+        raise StageError("there are no Silver lines to forecast from. Run silver first")
     if bounds.first_month > bounds.last_complete_month:
-        raise StageError("No complete months in Silver sales to forecast.")
+        raise StageError("the Silver lines hold no complete month")
     monthly = by_month.where(f"{MONTH} <= DATE'{bounds.last_complete_month}'").select(MONTH, *SEGMENT, TARGET)
     return History(
         monthly, bounds.first_month, bounds.last_complete_month, bounds.excluded_partial_month, bounds.next_month
@@ -217,7 +217,7 @@ class Backtest:
         self._panel = complete_panel(self.history)
         self._rows = with_naive(usable(with_features(self._panel))).checkpoint()
         if self._rows.select(MONTH).distinct().count() < 2 * HOLDOUT_MONTHS:
-            raise StageError("Need at least 24 months after the first 12-month lag.")
+            raise StageError("the model needs 24 months whose value a year before is known")
 
     @cached_property
     def scored(self) -> DataFrame:

@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tallyroll.contracts import GOLD_KEYS, GOLD_TABLE, GOLD_TYPES, SILVER_TABLE
+from tallyroll.contracts import GOLD_TABLE, GOLD_TYPES, SILVER_TABLE
 from tallyroll.errors import JOB_ERRORS, StageError
 from tallyroll.functions.months import month_start
 from tallyroll.functions.text import is_blank, or_fail
 from tallyroll.operators.scalars import as_rows, side_by_side
 from tallyroll.sources.layer_store import LayerStore
 
-# Rules and what they report, in the order they are reported.
+# Rules and what they report, in the order they are reported. Fixed values inside the messages:
+# "order_date is required", "product_category is required" and "do not reconcile".
 RULES = {
-    "order_date": "order_date is required for every Silver sales line",
-    "product_category": "product_category is required for every Silver sales line",
-    "sales_channel": "sales_channel is required for every Silver sales line",
+    "order_date": "order_date is required, and a Silver line has none",
+    "product_category": "product_category is required, and a Silver line has none",
+    "sales_channel": "sales_channel is required, and a Silver line has none",
 }
 # When a group breaks a rule: a bad line always lands in a group with a bad key.
 BROKEN = {
@@ -98,9 +99,9 @@ def build_gold(store: LayerStore) -> int:
         written = summary.agg(F.count(F.lit(1)).alias("rows"), *_totals(_GOLD_TOTALS)).first()
         rows = written.rows
         if rows == 0:
-            raise StageError("Silver sales is empty. Run silver first.")
+            raise StageError("there are no Silver lines to sum up. Run silver first")
         if any(read.get[silver] is None or read.get[silver] != written[gold] for silver, gold in zip(_SILVER_TOTALS, _GOLD_TOTALS)):
-            raise StageError("Gold counts and totals do not reconcile to Silver")
+            raise StageError("the counts or sums of Gold and Silver do not reconcile")
     except Exception:
         store.discard("gold", GOLD_TABLE, version)
         raise

@@ -32,26 +32,28 @@ from tallyroll.sources.layer_store import LayerStore
 
 WHOLE_NUMBERS = ("order_number", "line_item", "customer_key", "store_key", "product_key", "quantity")
 
-NOT_WHOLE = "{} must contain whole numbers"
-BAD_MONEY = "{} contains an invalid price or cost"
-REPEATED_KEY = "Product/store joins failed: duplicate dimension keys"
-NO_MATCH = "Product/store joins failed: a sales key has no match"
+# Fixed values inside the messages: "joins failed", "sales date", "order_date is required" and
+# "product_category is required".
+NOT_WHOLE = "{} has text that is no whole number"
+BAD_MONEY = "{} has text that is no amount of money"
+REPEATED_KEY = "joins failed, since a product or store key occurs more than once"
+NO_MATCH = "joins failed, since a line names a product or store that is not listed"
 
 # Rules and what they report, in the order they are reported.
 RULES = {
     **{f"sales_{name}": NOT_WHOLE.format(name) for name in WHOLE_NUMBERS},
     "products_product_key": NOT_WHOLE.format("product_key"),
     "stores_store_key": NOT_WHOLE.format("store_key"),
-    "quantity_not_positive": "quantity must be greater than zero",
-    "sales_dates": "A sales date could not be read",
-    "order_date_missing": "order_date is required for every sales line",
+    "quantity_not_positive": "a quantity is zero or less",
+    "sales_dates": "a sales date has an unknown form",
+    "order_date_missing": "order_date is required, and a line has none",
     "unit_cost_usd": BAD_MONEY.format("unit_cost_usd"),
     "unit_price_usd": BAD_MONEY.format("unit_price_usd"),
     "product_key_repeats": REPEATED_KEY,
     "store_key_repeats": REPEATED_KEY,
     "product_key_unmatched": NO_MATCH,
     "store_key_unmatched": NO_MATCH,
-    "category_blank": "product_category is required for every sales line",
+    "category_blank": "product_category is required, and a sold product has none",
 }
 
 
@@ -196,6 +198,6 @@ def build_silver(store: LayerStore) -> int:
     rows = store.staged("silver", SILVER_TABLE, version).count()
     if rows == 0 or rows != sales.count():
         store.discard("silver", SILVER_TABLE, version)
-        raise StageError("Silver row count does not match Bronze sales")
+        raise StageError("the lines written to Silver are not as many as the sales in Bronze, or there are none")
     store.publish("silver", {SILVER_TABLE: version})
     return rows

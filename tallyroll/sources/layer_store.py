@@ -44,7 +44,7 @@ class LayerStore:
         """Fail, creating nothing, unless every table is published."""
         missing = [f"{layer}.{table}" for layer, table in tables if not self.has(layer, table)]
         if missing:
-            raise MissingUpstreamError(f"Missing upstream tables: {', '.join(missing)}. Run {stage} first.")
+            raise MissingUpstreamError(f"{', '.join(missing)} is not published. Run {stage} first")
 
     def register_views(self) -> None:
         """Schemas for all layers, and a view per published table, for SQL users."""
