@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tallyroll.llm.batches import kept_table, text_slices
 from tallyroll.session import scratch_path
 
-# Payload bytes of a bundle and record bytes of a frame, before compression.
+# Record bytes from which a bundle, and at most of a frame, are closed, before compression.
 BUNDLE_BYTES = 32 << 20
 FRAME_BYTES = 1 << 20
 # Shorter payloads are never revisits.
@@ -132,7 +132,7 @@ class _Bundle:
         self.out = self.files.open_output_stream(self.staged, compression=None)
         self.frames: list[tuple[int, int]] = []
         self.parts: list[bytes] = []
-        self.filled = 0
+        self.filled = self.size = 0
 
     def add(self, record: bytes) -> tuple[int, int]:
         """Frame and offset of the record."""
@@ -141,6 +141,7 @@ class _Bundle:
         place = (len(self.frames), self.filled)
         self.parts.append(record)
         self.filled += len(record)
+        self.size += len(record)
         return place
 
     def _flush(self) -> None:
@@ -190,7 +191,7 @@ def planned(pages: DataFrame) -> DataFrame:
 
 
 def write_bundles(
-    pages: DataFrame, folder: str | None = None, frame_bytes: int = FRAME_BYTES
+    pages: DataFrame, folder: str | None = None, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES
 ) -> tuple[str, DataFrame]:
     """Write ``pages(page_id, url, html)`` as bundles under a shared folder: the folder and its index.
 
@@ -199,25 +200,23 @@ def write_bundles(
     its payload are responses if the id is the least. Other columns are ignored; an empty table
     makes no bundles.
     """
-    spark = pages.sparkSession
-    folder = folder or scratch_path(spark, "warc")
-    total = pages.agg(F.coalesce(F.sum(F.octet_length("html").cast("long")), F.lit(0))).first()[0]
-    count = max(1, -(-total // BUNDLE_BYTES))
-    rows = planned(pages).withColumn("bundle", F.pmod(F.xxhash64("page_id", "digest"), F.lit(count)))
-    rows = rows.repartition(count, "bundle").sortWithinPartitions("bundle", "page_id", "digest", "url")
+    folder = folder or scratch_path(pages.sparkSession, "warc")
+    # A partition of the join makes its own bundles, so the payloads move once, if at all. In one
+    # order, a task that runs again makes them anew as they were.
+    rows = planned(pages).sortWithinPartitions("digest", "page_id", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bundle, number = None, None
-        attempt = TaskContext.get().taskAttemptId()
+        task = TaskContext.get()
+        bundle, made = None, 0
         for batch in batches:
             for part in text_slices(batch, "html"):
                 found = []
                 for row in part.to_pylist():
-                    if row["bundle"] != number:
+                    if bundle is None or bundle.size >= bundle_bytes:
                         if bundle:
                             bundle.close()
-                        number = row["bundle"]
-                        bundle = _Bundle(folder, f"pages-{number:06d}.warc.zst", attempt, frame_bytes)
+                        name = f"pages-{task.partitionId():06d}-{made:04d}.warc.zst"
+                        bundle, made = _Bundle(folder, name, task.taskAttemptId(), frame_bytes), made + 1
                     record = to_record(row["page_id"], row["url"], row["html"], row["size"], row["digest"], row["refers_to"])
                     frame, offset = bundle.add(record)
                     found.append((bundle.name, row["page_id"], record_id(row["page_id"]), frame, offset, len(record)))

@@ -62,8 +62,7 @@ def test_whole_table(spark):
     assert result(pages) == brute_force(rows)
 
 
-def test_odd_rows(spark, monkeypatch):
-    monkeypatch.setattr(warc, "BUNDLE_BYTES", 1 << 20)
+def test_odd_rows(spark):
     rows = odd_pages()
     pages = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS digest", "2 AS bundle", "3 AS `a.b`").repartition(3)
     assert result(pages) == brute_force(rows)
@@ -72,9 +71,10 @@ def test_odd_rows(spark, monkeypatch):
 
 def test_bundles_are_plain_zstandard_and_seekable(spark, tmp_path):
     rows = [(number, f"http://x/{number}", f"<p>{number % 40}</p>" * 30) for number in range(200)]
-    folder, index = warc.write_bundles(spark.createDataFrame(rows, SCHEMA), (tmp_path / "out").as_uri(), 4000)
+    folder, index = warc.write_bundles(spark.createDataFrame(rows, SCHEMA), (tmp_path / "out").as_uri(), 4000, 30_000)
     places = index.collect()
     assert len(places) == 200 and max(place.frame for place in places) > 3
+    assert len({place.bundle for place in places}) > 2
     by_id = dict((row[0], row[2]) for row in rows)
     for place in places[::7]:
         page_id, url, kind, refers_to, size, digest, payload = warc.read_record(
