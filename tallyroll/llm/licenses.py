@@ -72,37 +72,62 @@ SPELLINGS = {
     "favour": "favor",
     "v": "version",
 }
-# A line that only states a copyright; the rights reserved after it belong to it.
-COPYRIGHT = r"(?m)^[ \t>*/#;-]*(?:copyright\b|\(c\)|©)[^\n]*[0-9][^\n]*$|^[ \t>*/#;-]*all rights reserved\.?[ \t]*$"
+# A line that only states a copyright, in lower case; the rights reserved after it belong to it.
+_STATED = r"(?:copyright\b|\(c\)|©)[^\n]*[0-9][^\n]*"
+_RESERVED = r"all rights reserved\.?[ \t\r]*"
+COPYRIGHT = rf"[ \t>*/#;-]*(?:{_STATED}|{_RESERVED})"
 # Known texts travel to every task; more than this are not a list of licences.
 MOST_KNOWN = 10_000
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form: words of a-z and 0-9 in one spelling, one space between and around them."""
-    form = F.regexp_replace(F.lower(text), COPYRIGHT, " ")
-    form = F.regexp_replace(form, "&", " and ")
-    form = F.concat(F.lit(" "), F.regexp_replace(form, "[^a-z0-9]+", " "), F.lit(" "))
-    form = F.regexp_replace(form, " +", " ")
+def _line_words(line: Column) -> Column:
+    """A line's words of a-z and 0-9; none if it states a copyright."""
+    low = F.lower(line)
+    words = F.regexp_replace(F.replace(low, F.lit("&"), F.lit(" and ")), "[^a-z0-9]+", " ")
+    return F.when(low.rlike(f"^{COPYRIGHT}$"), "").otherwise(words)
+
+
+def _spelled(words: Column) -> Column:
+    """Words in one spelling, with one space between and around them."""
+    form = F.regexp_replace(F.concat(F.lit(" "), words, F.lit(" ")), " +", " ")
     for found, said in SPELLINGS.items():
         form = F.replace(form, F.lit(f" {found} "), F.lit(f" {said} "))
     return form
 
 
+def canonical(text: Column) -> Column:
+    """The canonical form of a text."""
+    return _spelled(F.array_join(F.transform(F.split(text, "\n", -1), _line_words), " "))
+
+
 def known_digests(spark: SparkSession, texts: tuple[tuple[str, str], ...] = LICENSES) -> DataFrame:
-    """``license, digest`` of the known texts, brought to their form by the same expression."""
+    """``license, digest, size`` of the known texts' forms, made by the same expression."""
     if len(texts) > MOST_KNOWN:
         raise ValueError(f"more than {MOST_KNOWN} known texts")
     rows = spark.createDataFrame(list(texts), "license string, text string")
-    return rows.select("license", F.sha2(canonical(F.col("text")), 256).alias("digest")).distinct()
+    forms = rows.select("license", canonical(F.col("text")).alias("form"))
+    return forms.select("license", F.sha2("form", 256).alias("digest"), F.length("form").alias("size")).distinct()
 
 
-def units(text: Column) -> Column:
-    """The whole text, its paragraphs and its lines, each once, with whether it is the whole."""
-    paragraphs = F.transform(F.split(text, r"\n[ \t]*\n", -1), lambda part: F.struct(part.alias("text"), F.lit(False).alias("whole")))
-    lines = F.transform(F.split(text, "\n", -1), lambda part: F.struct(part.alias("text"), F.lit(False).alias("whole")))
-    whole = F.array(F.struct(text.alias("text"), F.lit(True).alias("whole")))
-    return F.array_distinct(F.concat(whole, paragraphs, lines))
+def with_forms(rows: DataFrame, longest: int) -> DataFrame:
+    """``rows`` with ``forms``: those of the whole text, its paragraphs and its lines, marked if whole.
+
+    Lines are brought to their form once and joined for the whole. Forms longer than any known one
+    cannot match and are left out.
+    """
+    rows = rows.withColumn("lines", F.transform(F.split("text", "\n", -1), _line_words))
+    paragraphs = F.split("text", r"\n[ \t]*\n", -1)
+
+    def form(whole: bool):
+        return lambda words: F.struct(_spelled(words).alias("form"), F.lit(whole).alias("whole"))
+
+    parts = F.transform(paragraphs, lambda part: F.struct(canonical(part).alias("form"), F.lit(False).alias("whole")))
+    found = F.concat(
+        F.transform(F.array(F.array_join("lines", " ")), form(True)),
+        F.when(F.col("text").rlike(r"\n[ \t]*\n"), parts).otherwise(F.slice(parts, 1, 0)),
+        F.transform("lines", form(False)),
+    )
+    return rows.withColumn("forms", F.filter(found, lambda unit: F.length(unit["form"]).between(2, longest))).drop("lines")
 
 
 def license_scan(documents: DataFrame, texts: tuple[tuple[str, str], ...] = LICENSES) -> DataFrame:
@@ -113,12 +138,14 @@ def license_scan(documents: DataFrame, texts: tuple[tuple[str, str], ...] = LICE
     results; rows that share an id are told apart by their text; other columns are ignored; an
     empty table gives no rows.
     """
-    known = F.broadcast(known_digests(documents.sparkSession, texts))
+    known = known_digests(documents.sparkSession, texts)
+    longest = known.agg(F.max("size")).first()[0] or 0
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     found = (
-        rows.select("doc_id", F.sha2("text", 256).alias("text_digest"), F.explode(units(F.col("text"))).alias("unit"))
-        .select("doc_id", "text_digest", "unit.whole", F.sha2(canonical(F.col("unit.text")), 256).alias("digest"))
-        .join(known, "digest")
+        with_forms(rows, longest)
+        .select("doc_id", F.sha2("text", 256).alias("text_digest"), F.explode("forms").alias("unit"))
+        .select("doc_id", "text_digest", "unit.whole", F.sha2("unit.form", 256).alias("digest"))
+        .join(F.broadcast(known.select("license", "digest")), "digest")
         .groupBy("doc_id", "text_digest")
         .agg(
             F.array_sort(F.collect_set("license")).alias("names"),
@@ -144,7 +171,7 @@ def oracle_sql(texts: tuple[tuple[str, str], ...] = LICENSES) -> str:
     """The same scan in DuckDB SQL, with forms compared in place of digests."""
 
     def form(text: str) -> str:
-        sql = f"regexp_replace(lower({text}), '{COPYRIGHT}', ' ', 'g')"
+        sql = f"regexp_replace(lower({text}), '(?m)^{COPYRIGHT}$', ' ', 'g')"
         sql = f"' ' || regexp_replace(replace({sql}, '&', ' and '), '[^a-z0-9]+', ' ', 'g') || ' '"
         sql = f"regexp_replace({sql}, ' +', ' ', 'g')"
         for found, said in SPELLINGS.items():

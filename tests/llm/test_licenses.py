@@ -36,6 +36,9 @@ MIT = dict(licenses.LICENSES[:1])["MIT"]
         ("Licensed under the Apache License, v 2.0", "Apache-2.0", "Apache-2.0"),
         ("# SPDX-License-Identifier: MIT\n\nReleased under the MIT License.\nLicensed under CC BY-NC 4.0.", "CC-BY-NC-4.0,MIT", None),
         ("SPDX-License-Identifier: ISC", "ISC", "ISC"),
+        ("Intro.\n\n" + MIT.split("\n\n")[0] + "\n \t\nReleased under\nthe MIT License.\n\nEnd.", "MIT", None),
+        ("Copyright 2020 A\r\n(c) 2021 B\nReleased under the MIT License.", "MIT", "MIT"),
+        ("Copyright of the text.\nReleased under the MIT License.", "MIT", None),
         ("We like the MIT License.", "", None),
         ("", "", None),
         (None, "", None),
