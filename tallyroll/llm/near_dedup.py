@@ -36,6 +36,8 @@ SKETCH_BITS = 512
 SKETCH_REACH = 101
 # Members of a block: a task holds two blocks of texts.
 BLOCK = 256
+# Places of the bitmap that is broadcast to sieve texts before a shuffle: 4 MB.
+SIEVE_BITS = 1 << 25
 SIGNATURE = "n_shingles long, class binary, tag long, sketch array<long>, bands array<long>"
 _SAMPLES = BANDS * ROWS
 _FLIPS = constants(_SAMPLES, 21)
@@ -288,14 +290,33 @@ def _rest_links(judged: DataFrame, roots: DataFrame, classes: DataFrame) -> Data
     )
 
 
+def _sieved(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose ``class`` may be among the keys: all that are, and few others.
+
+    A bitmap of hash places, SIEVE_BITS at most, is broadcast, so the rows that are certainly not
+    wanted leave before their texts are shuffled. A join must follow.
+    """
+    place = F.pmod(F.xxhash64("class"), F.lit(SIEVE_BITS))
+    bitmaps = (
+        keys.select(place.alias("place"))
+        .groupBy(F.bitmap_bucket_number("place").alias("part"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    )
+    marked = rows.withColumns({"part": F.bitmap_bucket_number(place), "bit": F.bitmap_bit_position(place)})
+    hit = "CAST(conv(hex(substring(bits, CAST(bit DIV 8 AS INT) + 1, 1)), 16, 10) AS INT) DIV shiftleft(1, CAST(bit % 8 AS INT)) % 2 = 1"
+    return marked.join(F.broadcast(bitmaps), "part").where(hit).select(*rows.columns)
+
+
 def linked_classes(signatures: DataFrame) -> DataFrame:
     """``node, root`` for every class that is linked to another."""
     stars = kept_table(_stars(kept_table(_shared_bands(signatures), "near-bands")), "near-pairs")
     met = stars.select("class").union(stars.select("center")).distinct()
     classes = kept_table(
-        signatures.join(met, "class", "left_semi")
+        _sieved(signatures.select("class", "sketch", F.col("all.text").alias("text")), met)
+        # Not a semi join, which Catalyst would move below the sieve.
+        .join(met, "class")
         .groupBy("class")
-        .agg(F.any_value("sketch").alias("sketch"), F.any_value("all.text").alias("text")),
+        .agg(F.any_value("sketch").alias("sketch"), F.any_value("text").alias("text")),
         "near-classes",
     )
     judged = _judged_stars(stars, classes)
