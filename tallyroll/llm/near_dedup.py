@@ -327,19 +327,21 @@ def linked_classes(signatures: DataFrame) -> DataFrame:
 
 
 def grouped(signatures: DataFrame) -> DataFrame:
-    """``row, doc_id, n_shingles, component_id, kept`` of every signed document."""
+    """``row, doc_id, n_shingles, root, component_id, kept`` of every signed document.
+
+    ``root`` tells groups apart where ``component_id`` does not: ids may be null or repeated.
+    """
     doc_id = F.col("all.doc_id").cast("long")
     firsts = signatures.where("n_shingles > 0").groupBy("class").agg(F.min(doc_id).alias("first"))
     rooted = firsts.join(linked_classes(signatures), F.col("class") == F.col("node"), "left").select(
         "class", "first", F.coalesce("root", "class").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_class = rooted.join(least, "root").select("class", "component_id")
+    of_class = rooted.join(least, "root").select("class", "root", "component_id")
     rows = signatures.select("row", doc_id.alias("doc_id"), "n_shingles", "class").join(of_class, "class", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select(
-        "row", "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
-    )
+    kept = F.col("doc_id").eqNullSafe(component).alias("kept")
+    return rows.select("row", "doc_id", "n_shingles", "root", component.alias("component_id"), kept)
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -349,20 +351,22 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     kept``. component_id is the least doc_id reachable over links of Jaccard similarity 0.75 or
     more between sets of five-word shingles. Null and blank texts have no shingles and are linked
     with nothing: their component is their own doc_id. A null doc_id takes part as a text but never
-    names a component unless all its members lack one. Other columns are ignored; an empty table
-    gives no rows.
+    names a component unless all its members lack one. So groups that lack ids share the null
+    component_id, and groups whose least id is the same repeated one share it too. Other columns
+    are ignored; an empty table gives no rows.
     """
-    return grouped(signed(documents.select("doc_id", "text"))).drop("row")
+    return grouped(signed(documents.select("doc_id", "text"))).drop("row", "root")
 
 
 def without_near_duplicates(documents: DataFrame) -> DataFrame:
     """The documents with one row of each group left, all columns as they were.
 
-    The row with the least doc_id stays; of rows that repeat it, the first. Texts without words
-    all stay.
+    The row with the least doc_id stays, a null one last; of rows that repeat it, the first. Texts
+    that are no near duplicates stay whatever their ids, null or the same. Texts without words all
+    stay.
     """
     signatures = signed(documents)
     groups = kept_table(grouped(signatures), "near-groups")
     blank = groups.where("n_shingles = 0").select("row")
-    first = groups.where("kept and n_shingles > 0").groupBy("component_id").agg(F.min("row").alias("row")).select("row")
+    first = groups.where("kept and n_shingles > 0").groupBy("root").agg(F.min("row").alias("row")).select("row")
     return signatures.select("row", "all").join(first.union(blank), "row", "left_semi").select("all.*")

@@ -110,6 +110,28 @@ def test_odd_rows(spark):
     assert near_dedup.without_near_duplicates(documents.limit(0)).count() == 0
 
 
+def test_groups_that_share_an_id_or_lack_one(spark):
+    rows = [
+        (None, "alpha beta gamma delta epsilon"),
+        (None, "one two three four five six"),
+        (None, "ONE two three four five six"),
+        (7, "red green blue white black"),
+        (7, "north south east west up"),
+        (7, "north south east west up"),
+        (None, "North south east west up"),
+        (8, "Red green blue white black"),
+    ]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert result(documents) == brute_force(rows)
+    left = near_dedup.without_near_duplicates(documents).collect()
+    assert sorted((str(row.doc_id), row.text.lower()) for row in left) == [
+        ("7", "north south east west up"),
+        ("7", "red green blue white black"),
+        ("None", "alpha beta gamma delta epsilon"),
+        ("None", "one two three four five six"),
+    ]
+
+
 def test_exact_boundary():
     left, right = np.arange(7, dtype=np.uint64), np.arange(1, 8, dtype=np.uint64)
     assert near_dedup.similar(left, right)  # 6 of 8
