@@ -1,9 +1,10 @@
 """Licence scans by canonical digests.
 
 A text is brought to a canonical form: lower case, no copyright lines, one spelling of words that
-have several, no punctuation. Whole texts, and their paragraphs and lines, are then joined by the
-digest of that form to a table of known licence texts. The match is of entire texts, so a word more
-or less is another text.
+have several, no punctuation. Whole texts, their lines, their paragraphs and runs of consecutive
+paragraphs are then joined by the digest of that form to a table of known licence texts. The match
+is of entire texts, so a word more or less is another text. Only forms as long as a known one get a
+digest, and a run starts only where a known text could.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyroll.llm.license_texts import full_texts
+
 # Public licence texts and notices.
 _GRANT = (
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -47,6 +50,7 @@ _NOTICES = {
     "GPL-2.0-only": ("This work is licensed under the GNU General Public License, version 2.",),
 }
 _IDENTIFIERS = ("0BSD", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0-only", "GPL-3.0-only", "ISC", "MIT")
+_IDENTIFIERS += ("GPL-2.0-or-later", "GPL-3.0-or-later")
 LICENSES: tuple[tuple[str, str], ...] = (
     ("MIT", _GRANT),
     ("MIT", "MIT License\n\n" + _GRANT),
@@ -56,6 +60,7 @@ LICENSES: tuple[tuple[str, str], ...] = (
     ("0BSD", _ISC_GRANT + _ISC_DISCLAIMER),
     *((name, notice) for name, notices in _NOTICES.items() for notice in notices),
     *((name, f"SPDX-License-Identifier: {name}") for name in _IDENTIFIERS),
+    *full_texts(),
 )
 # Equivalent spellings, as whole words of the canonical form.
 SPELLINGS = {
@@ -73,9 +78,13 @@ SPELLINGS = {
     "v": "version",
 }
 # A line that only states a copyright, in lower case; the rights reserved after it belong to it.
-_STATED = r"(?:copyright\b|\(c\)|©)[^\n]*[0-9][^\n]*"
+_STATED = r"(?:copyright\b|\(c\)|©)[^\n]*(?:19|20)[0-9][0-9][^\n]*|(?:copyright[ \t]*(?:\(c\)|©)|©)[^\n]*"
 _RESERVED = r"all rights reserved\.?[ \t\r]*"
 COPYRIGHT = rf"[ \t>*/#;-]*(?:{_STATED}|{_RESERVED})"
+# A line that may state one or be a list's third item or a sentence. Texts are tried with and without it.
+UNDATED = r"[ \t>*/#;-]*(?:\(c\)[^\n]*|copyright\b[^\n]*[0-9][^\n]*)"
+# Spellings of two words, which a paragraph's end may part.
+_PARTED = [(*found.split(), len(found) - len(said)) for found, said in SPELLINGS.items() if " " in found]
 # Known texts travel to every task; more than this are not a list of licences.
 MOST_KNOWN = 10_000
 
@@ -100,34 +109,115 @@ def canonical(text: Column) -> Column:
     return _spelled(F.array_join(F.transform(F.split(text, "\n", -1), _line_words), " "))
 
 
+def _first_words(form: Column) -> Column:
+    """The first two words of a form."""
+    return F.substring_index(F.substr(form, F.lit(2)), " ", 2)
+
+
 def known_digests(spark: SparkSession, texts: tuple[tuple[str, str], ...] = LICENSES) -> DataFrame:
-    """``license, digest, size`` of the known texts' forms, made by the same expression."""
+    """``license, digest, size, head`` of the known texts' forms, made by the same expression."""
     if len(texts) > MOST_KNOWN:
         raise ValueError(f"more than {MOST_KNOWN} known texts")
     rows = spark.createDataFrame(list(texts), "license string, text string")
     forms = rows.select("license", canonical(F.col("text")).alias("form"))
-    return forms.select("license", F.sha2("form", 256).alias("digest"), F.length("form").alias("size")).distinct()
+    return forms.select(
+        "license",
+        F.sha2("form", 256).alias("digest"),
+        F.length("form").alias("size"),
+        _first_words(F.col("form")).alias("head"),
+    ).distinct()
 
 
-def with_forms(rows: DataFrame, longest: int) -> DataFrame:
-    """``rows`` with ``forms``: those of the whole text, its paragraphs and its lines, marked if whole.
+def _unit(form: Column, whole: bool = False) -> Column:
+    return F.struct(form.alias("form"), F.lit(whole).alias("whole"))
 
-    Lines are brought to their form once and joined for the whole. Forms longer than any known one
-    cannot match and are left out.
+
+def _runs(paragraphs: Column, sizes: list[int], heads: list[str]) -> Column:
+    """The forms of two and more consecutive ``paragraphs(words, form)`` that may be a known text.
+
+    A run starts with the first words of a known text, or where a spelling of two words may join
+    the first paragraphs, and has a known text's length.
     """
-    rows = rows.withColumn("lines", F.transform(F.split("text", "\n", -1), _line_words))
-    paragraphs = F.split("text", r"\n[ \t]*\n", -1)
 
-    def form(whole: bool):
-        return lambda words: F.struct(_spelled(words).alias("form"), F.lit(whole).alias("whole"))
+    def opens(form: Column) -> Column:
+        found = F.lit(False)
+        for first, _, _ in _PARTED:
+            found = found | form.endswith(f" {first} ")
+        return found
+
+    def starts(place: Column) -> Column:
+        form = F.get(paragraphs, place - 1)["form"]
+        following = F.coalesce(F.get(paragraphs, place)["form"], F.lit(" "))
+        return _first_words(F.concat(F.rtrim(form), following)).isin(heads) | opens(form) | opens(following)
+
+    def shorter(before: Column, form: Column) -> Column:
+        joined = F.lit(0)
+        for first, second, letters in _PARTED:
+            both = before.endswith(f" {first} ") & form.startswith(f" {second} ")
+            joined = F.when(both, letters).otherwise(joined)
+        return F.when(opens(before), joined).otherwise(0)
+
+    def longer(seen: Column, paragraph: Column) -> Column:
+        form, count = paragraph["form"], seen["count"] + 1
+        size = seen["size"] + F.length(form) - 1 - shorter(seen["before"], form)
+        ends = F.when((count > 1) & size.isin(sizes), F.concat(seen["ends"], F.array(count))).otherwise(seen["ends"])
+        return F.struct(count.alias("count"), size.alias("size"), form.alias("before"), ends.alias("ends"))
+
+    def run(start: Column, count: Column) -> Column:
+        words = F.transform(F.slice(paragraphs, start, count), lambda paragraph: paragraph["words"])
+        return _unit(_spelled(F.array_join(words, " ")))
+
+    none = F.struct(F.lit(0).alias("count"), F.lit(1).alias("size"), F.lit("").alias("before"), F.array().cast("array<int>").alias("ends"))
+
+    def of_start(start: Column) -> Column:
+        ends = F.aggregate(F.slice(paragraphs, start, F.lit(max(sizes))), none, longer, lambda seen: seen["ends"])
+        return F.transform(ends, lambda count: run(start, count))
+
+    return F.flatten(F.transform(F.filter(F.sequence(F.lit(1), F.size(paragraphs)), starts), of_start))
 
-    parts = F.transform(paragraphs, lambda part: F.struct(canonical(part).alias("form"), F.lit(False).alias("whole")))
-    found = F.concat(
-        F.transform(F.array(F.array_join("lines", " ")), form(True)),
-        F.when(F.col("text").rlike(r"\n[ \t]*\n"), parts).otherwise(F.slice(parts, 1, 0)),
-        F.transform("lines", form(False)),
+
+def _forms(lines: Column, sizes: list[int], heads: list[str]) -> Column:
+    """The forms of a text, its lines, its paragraphs and their runs, from its lines' words."""
+    none = F.array().cast("array<struct<form:string,whole:boolean>>")
+    text = F.array_join(lines, " ")
+
+    def of_paragraphs(paragraphs: Column) -> Column:
+        alone = F.transform(paragraphs, lambda paragraph: _unit(paragraph["form"]))
+        return F.when(F.size(paragraphs) > 1, F.concat(alone, _runs(paragraphs, sizes, heads))).otherwise(alone)
+
+    paragraphs = F.filter(
+        F.transform(F.split(text, "\n"), lambda words: F.struct(words.alias("words"), _spelled(words).alias("form"))),
+        lambda paragraph: F.length(paragraph["form"]) > 1,
     )
-    return rows.withColumn("forms", F.filter(found, lambda unit: F.length(unit["form"]).between(2, longest))).drop("lines")
+    # A transform of one element, so that the paragraphs are made once.
+    parts = F.flatten(F.transform(F.array(paragraphs), of_paragraphs))
+    return F.concat(
+        F.transform(F.array(F.replace(text, F.lit("\n"), F.lit(" "))), lambda words: _unit(_spelled(words), True)),
+        F.when(F.contains(text, F.lit("\n")), parts).otherwise(none),
+        F.transform(lines, lambda words: _unit(_spelled(words))),
+    )
+
+
+def with_forms(rows: DataFrame, sizes: list[int], heads: list[str]) -> DataFrame:
+    """``rows`` with ``forms``: those of the whole text, its paragraphs, their runs and its lines, marked if whole.
+
+    Lines are brought to their form once and joined for the others. Forms that have no known one's
+    length cannot match and are left out.
+    """
+
+    def words(line: Column) -> Column:
+        return F.when(F.btrim(line, F.lit(" \t\r")) == "", "\n").otherwise(_line_words(line))
+
+    def without_undated(line: Column) -> Column:
+        return F.when(F.lower(line).rlike(f"^{UNDATED}$"), "").otherwise(words(line))
+
+    lines = F.split("text", "\n", -1)
+    undated = F.when(F.col("text").rlike(f"(?im)^{UNDATED}$"), F.transform(lines, without_undated))
+    rows = rows.withColumns({"lines": F.transform(lines, words), "fewer": undated})
+    fewer = F.when(F.col("fewer").isNotNull(), _forms(F.col("fewer"), sizes, heads)).otherwise(F.array())
+    found = F.concat(_forms(F.col("lines"), sizes, heads), fewer)
+    known = F.filter(found, lambda unit: F.length(unit["form"]).isin(sizes) & (F.length(unit["form"]) > 1))
+    return rows.withColumn("forms", known).drop("lines", "fewer")
 
 
 def license_scan(documents: DataFrame, texts: tuple[tuple[str, str], ...] = LICENSES) -> DataFrame:
@@ -139,10 +229,12 @@ def license_scan(documents: DataFrame, texts: tuple[tuple[str, str], ...] = LICE
     empty table gives no rows.
     """
     known = known_digests(documents.sparkSession, texts)
-    longest = known.agg(F.max("size")).first()[0] or 0
+    table = known.select("size", "head").distinct().collect()
+    sizes = sorted({row.size for row in table} | {0})
+    heads = sorted({row.head for row in table} | {""})
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     found = (
-        with_forms(rows, longest)
+        with_forms(rows, sizes, heads)
         .select("doc_id", F.sha2("text", 256).alias("text_digest"), F.explode("forms").alias("unit"))
         .select("doc_id", "text_digest", "unit.whole", F.sha2("unit.form", 256).alias("digest"))
         .join(F.broadcast(known.select("license", "digest")), "digest")

@@ -61,3 +61,63 @@ def test_the_known_table_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(licenses, "MOST_KNOWN", 1)
     with pytest.raises(ValueError, match="known texts"):
         licenses.known_digests(spark)
+
+
+TITLED_MIT = "MIT License\n\nCopyright (c) Jane Doe\n\n" + MIT
+APACHE_HEADER = """/*
+ * Copyright 2020 Some One
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */"""
+
+
+def test_full_texts_headers_runs_and_undated_copyright_lines(spark):
+    cases = []
+    for name in ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0-only", "GPL-3.0-only"):
+        text = max((text for known, text in licenses.full_texts() if known == name), key=len)
+        # The texts of the GPL end with the header of the "or later" form.
+        names = f"{name},{name.replace('only', 'or-later')}" if name.startswith("GPL") else name
+        cases.append((text, names, name))
+        cases.append((f"Some prose.\n\n{text}\n\nMore prose.", names, None))
+    cases += [
+        (APACHE_HEADER, "Apache-2.0", "Apache-2.0"),
+        (APACHE_HEADER + "\n\ncode", "Apache-2.0", None),
+        (TITLED_MIT, "MIT", "MIT"),
+        (TITLED_MIT.replace("Copyright (c)", "(c)"), "MIT", "MIT"),
+        (TITLED_MIT.replace("Copyright (c)", "©"), "MIT", "MIT"),
+        ("Intro.\n\n" + TITLED_MIT + "\n\nOutro.", "MIT", None),
+        ("Intro.\n\n(c) Jane Doe\n" + MIT + "\n\nOutro.", "MIT", None),
+        (("Intro.\n\n" + MIT + "\n\nOutro.").replace("\n", "\r\n"), "MIT", None),
+        ("Intro.\n\n" + MIT.replace("sublicense", "sub\n\nlicense").replace("\n\n", "\n \n\n") + "\n\nOutro.", "MIT", None),
+        ("Intro.\n\n" + MIT.replace(", ", ",\n\n") + "\n\nOutro.", "MIT", None),
+        ("Intro.\n\n" + MIT.replace("copies of", "a copy of") + "\n\nOutro.", "", None),
+        ("Intro.\n\n" + MIT + " More.\n\nOutro.", "", None),
+        ("the\n\n" * 3000 + MIT, "MIT", None),
+    ]
+    wanted = [(number, len(list(filter(None, names.split(",")))), names, whole) for number, (_, names, whole) in enumerate(cases)]
+    assert scan(spark, [(number, text) for number, (text, _, _) in enumerate(cases)]) == wanted
+
+
+def test_reflowed_texts(spark):
+    """A text in one line a paragraph is the same text."""
+    cases = []
+    for name in ("Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "CC0-1.0"):
+        text = max((text for known, text in licenses.full_texts() if known == name), key=len)
+        parts = []
+        for part in text.split("\n\n"):
+            lines = part.split("\n")
+            stated = any(line.strip().lower().startswith(("copyright (c)", "copyright 2")) for line in lines)
+            parts.append(part if stated else " ".join(part.split()))
+        cases.append((name, "\n\n".join(parts)))
+    found = scan(spark, [(number, text) for number, (_, text) in enumerate(cases)])
+    assert [(row[0], row[3]) for row in found] == [(number, name) for number, (name, _) in enumerate(cases)]
