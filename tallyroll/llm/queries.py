@@ -7,10 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroll.llm import byte_bpe, licenses, merkle, packing, pii
+from tallyroll.llm import byte_bpe, licenses, merkle, oracle_sql as sql, packing, pii, secret_scan
 from tallyroll.llm.line_rules import line_quality
 from tallyroll.llm.near_dedup import near_duplicates
+from tallyroll.llm.prefix_trie import prefix_trie
 from tallyroll.llm.quality_fm import quality_scores
+from tallyroll.llm.resampling import resampled
 from tallyroll.llm.token_counts import token_counts
 from tallyroll.llm.warc import page_records
 
@@ -62,9 +64,25 @@ def op10_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_digests(secret_scan.secrets(_documents(spark, sf_dir)))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("n_words")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_licenses": licenses.oracle_sql()}
+    return {
+        "op8_licenses": licenses.oracle_sql(),
+        "op11_prefix_trie": sql.PREFIX_TRIE,
+        "op13_resampling": sql.RESAMPLING,
+    }
