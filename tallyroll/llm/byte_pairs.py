@@ -3,7 +3,8 @@
 The words of a batch are merged side by side: each round finds every word's lowest rank and
 merges its pairs, so the work is a few array passes for each depth of merging, not a loop over
 words. Encodings are remembered by word, so a word is merged once in a worker's life as long as
-the memory, which is bounded, holds it.
+the memory, which is bounded, holds it. Words are found by their hash and then compared letter by
+letter with the remembered one, so words that share a hash are told apart.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from tallyroll.llm.pretokens import code_points, pretoken_hashes, pretoken_start
 
 _NONE = np.iinfo(np.int64).max
 _SHIFT = np.int64(1 << 20)
-# Words remembered at once, in about 30 bytes each.
+# Words remembered at once, in some 60 bytes each, and the letters of the longest one that is.
 REMEMBERED = 1_000_000
+LONGEST_REMEMBERED = 64
 
 
 @dataclass
@@ -176,6 +178,34 @@ def merges_of_json(content: bytes) -> Merges:
     return Merges.of(tokens, pairs, specials)
 
 
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all spans, one after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _utf8_words(points: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    spans = zip(starts.tolist(), (starts + sizes).tolist(), strict=True)
+    return [points[start:end].tobytes().decode("utf-32-le").encode() for start, end in spans]
+
+
+class _Pool:
+    """Numbers that only grow, in one array."""
+
+    def __init__(self, kind: type):
+        self.data, self.used = np.zeros(1 << 16, kind), 0
+
+    def add(self, values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Where each of the runs of ``values``, as long as ``counts`` says, begins."""
+        needed = self.used + len(values)
+        if needed > len(self.data):
+            self.data = np.concatenate((self.data, np.zeros(max(needed, len(self.data)), self.data.dtype)))
+        self.data[self.used : needed] = values
+        firsts = self.used + np.cumsum(counts) - counts
+        self.used = needed
+        return firsts
+
+
 class TextEncoder:
     """Whole texts to ids, word by word, remembering words."""
 
@@ -184,24 +214,18 @@ class TextEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        """Known words by ascending hash, and where in the pool each one's ids lie."""
+        """Known words by ascending hash, and where in the pools each one's letters and ids lie."""
         self._hashes = np.zeros(0, np.uint64)
-        self._firsts, self._sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self._pool = np.zeros(1 << 16, np.int32)
-        self._used = 0
-
-    def _learn(self, words: list[bytes], hashes: np.ndarray) -> None:
-        """Add words; their hashes ascend and are new."""
-        ids, counts = self.merges.encode(words)
-        needed = self._used + len(ids)
-        if needed > len(self._pool):
-            self._pool = np.concatenate((self._pool, np.zeros(max(needed, len(self._pool)), np.int32)))
-        self._pool[self._used : needed] = ids
+        self._words = np.zeros((0, 4), np.int64)
+        self._letters, self._ids = _Pool(np.uint32), _Pool(np.int32)
+
+    def _learn(self, points: np.ndarray, starts: np.ndarray, sizes: np.ndarray, hashes: np.ndarray) -> None:
+        """Add the words at some places of ``points``; their hashes ascend and are new."""
+        ids, counts = self.merges.encode(_utf8_words(points, starts, sizes))
+        rows = np.stack((self._letters.add(points[_spread(starts, sizes)], sizes), sizes, self._ids.add(ids, counts), counts), axis=1)
         places = np.searchsorted(self._hashes, hashes)
-        self._firsts = np.insert(self._firsts, places, self._used + np.cumsum(counts) - counts)
-        self._sizes = np.insert(self._sizes, places, counts)
+        self._words = np.insert(self._words, places, rows, axis=0)
         self._hashes = np.insert(self._hashes, places, hashes)
-        self._used = needed
 
     def _places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where among the known words each hash is, and whether it is there."""
@@ -210,6 +234,13 @@ class TextEncoder:
         places = np.minimum(np.searchsorted(self._hashes, hashes), len(self._hashes) - 1)
         return places, self._hashes[places] == hashes
 
+    def _spelled_alike(self, points: np.ndarray, starts: np.ndarray, sizes: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Whether each word of ``points``, which they cover, has the letters of the known word beside it."""
+        alike = words[:, 1] == sizes
+        shift = np.where(alike, words[:, 0], 0) - starts
+        at = np.minimum(np.repeat(shift, sizes) + np.arange(len(points)), self._letters.used - 1)
+        return alike & ~np.logical_or.reduceat(self._letters.data[at] != points, starts)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts side by side, and where each text's begin (and the end)."""
         for special in self.merges.specials:
@@ -222,6 +253,7 @@ class TextEncoder:
         starts = pretoken_starts(points, bounds)
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+        sizes = np.diff(starts, append=len(points))
         codes, distinct = pd.factorize(pretoken_hashes(points, starts))
         if len(self._hashes) > REMEMBERED:
             self._forget()
@@ -229,17 +261,26 @@ class TextEncoder:
         if not known.all():
             some = np.zeros(len(distinct), np.int64)
             some[codes[::-1]] = np.arange(len(codes))[::-1]  # the first place of each word
-            after = np.append(starts[1:], len(points))
-            unknown = np.flatnonzero(~known)
+            unknown = np.flatnonzero(~known & (sizes[some] <= LONGEST_REMEMBERED))
             unknown = unknown[np.argsort(distinct[unknown])]
-            words = [points[starts[at] : after[at]].tobytes().decode("utf-32-le").encode() for at in some[unknown].tolist()]
-            self._learn(words, distinct[unknown])
-            places, _ = self._places(distinct)
-        firsts, sizes = self._firsts[places][codes], self._sizes[places][codes]
-        ends = np.cumsum(sizes)
-        ids = self._pool[np.repeat(firsts - (ends - sizes), sizes) + np.arange(ends[-1])]
-        before = np.concatenate(([0], ends))
-        return ids, before[np.searchsorted(starts, bounds)]
+            self._learn(points, starts[some[unknown]], sizes[some[unknown]], distinct[unknown])
+            places, known = self._places(distinct)
+        found = np.zeros((len(starts), 2), np.int64)
+        alike = np.zeros(len(starts), bool)
+        if len(self._hashes):
+            words = self._words[places][codes]
+            found[:] = words[:, 2:]
+            alike = known[codes] & self._spelled_alike(points, starts, sizes, words)
+        others = np.flatnonzero(~alike)
+        pool = self._ids.data[: self._ids.used]
+        if len(others):
+            numbers: dict[bytes, int] = {}
+            which = [numbers.setdefault(word, len(numbers)) for word in _utf8_words(points, starts[others], sizes[others])]
+            ids, counts = self.merges.encode(list(numbers))
+            found[others] = np.stack((len(pool) + np.cumsum(counts) - counts, counts), axis=1)[which]
+            pool = np.concatenate((pool, ids.astype(np.int32)))
+        before = np.concatenate(([0], np.cumsum(found[:, 1])))
+        return pool[_spread(*found.T)], before[np.searchsorted(starts, bounds)]
 
     def _encode_with_specials(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Special strings inside texts become their own ids, as the tokenizer's library has it."""

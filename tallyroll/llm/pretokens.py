@@ -12,7 +12,7 @@ import functools
 import numpy as np
 import regex
 
-from tallyroll.llm.words import constants, span_hashes
+from tallyroll.llm.words import span_hashes
 
 _SIGN, _LETTER, _NUMBER, _WHITE, _SPACE = range(5)
 _APOSTROPHE = 39
@@ -31,11 +31,6 @@ def _kinds() -> np.ndarray:
     return kinds
 
 
-@functools.cache
-def _symbols() -> np.ndarray:
-    return constants(0x110000, 31)
-
-
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The code points of all texts side by side, and where each text begins."""
     points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
@@ -84,6 +79,7 @@ def _contract(points: np.ndarray, kinds: np.ndarray, edge: np.ndarray, begins: n
 
 
 def pretoken_hashes(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A 64-bit number for each pre-token; equal pre-tokens have equal numbers."""
+    """A 64-bit number for each pre-token; equal pre-tokens have equal numbers, and others may share one."""
     ends = np.concatenate((starts[1:], [len(points)])).astype(np.int64)
-    return span_hashes(_symbols()[points], starts, ends)
+    # A code point has four bytes.
+    return span_hashes(points.view(np.uint8), 4 * starts, 4 * ends)

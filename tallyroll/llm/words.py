@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,8 +12,6 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-# Bytes hashed at once; each takes a few 8-byte temporaries.
-_STEP = 1 << 20
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -30,46 +29,39 @@ def constants(count: int, seed: int) -> np.ndarray:
         return mix(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+# Longer spans are digested one at a time.
+_LONGEST_SPAN = 512
+_SEEDS = constants(2, 11)
 
 
-def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(12, int(length).bit_length())
-    if size not in _POWERS:
-        _POWERS.clear()
-        inverse = pow(_BASE, -1, 1 << 64)
-        found = []
-        for base in (_BASE, inverse):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            found.append(np.multiply.accumulate(steps))
-        _POWERS[size] = (found[0], found[1])
-    return _POWERS[size]
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of bytes ``data[start:end]``; equal spans have equal hashes.
 
-
-def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span ``symbols[start:end]``; equal spans have equal hashes.
-
-    ``symbols`` holds a 64-bit number for each byte or code point. Spans are ascending and do
-    not overlap; their hashes are differences of prefix sums, moved to a common power.
+    Blocks of eight bytes are mixed in one after another, all spans' first blocks at once and then
+    their next ones, so a hash is no sum of its parts and words built alike do not meet.
     """
-    hashes = np.empty(len(starts), np.uint64)
-    done = 0
-    while done < len(starts):
-        origin = int(starts[done])
-        stop = max(done + 1, int(np.searchsorted(ends, origin + _STEP, "right")))
-        length = int(ends[stop - 1]) - origin
-        powers, inverses = _powers(length + 1)
-        sums = np.zeros(length + 1, np.uint64)
-        np.cumsum(symbols[origin : origin + length] * powers[:length], out=sums[1:])
-        first, last = starts[done:stop] - origin, ends[done:stop] - origin
-        hashes[done:stop] = (sums[last] - sums[first]) * inverses[first]
-        done = stop
-    return mix(hashes)
-
-
-_BYTES = constants(256, 11)
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    blocks = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    sizes = ends - starts
+    hashes = mix(sizes.astype(np.uint64) + _SEEDS[0])
+    long = np.flatnonzero(sizes > _LONGEST_SPAN)
+    for number in long.tolist():
+        digest = hashlib.blake2b(data[starts[number] : ends[number]], digest_size=8).digest()
+        hashes[number] ^= np.uint64(int.from_bytes(digest, "little"))
+    some = np.flatnonzero((sizes > 0) & (sizes <= _LONGEST_SPAN))
+    at, left = starts[some], sizes[some]
+    while len(some):
+        block = blocks[at]
+        short = np.flatnonzero(left < 8)
+        block[short] &= _HEADS[left[short]]
+        hashes[some] = mix(hashes[some] ^ mix(block + _SEEDS[1]))
+        more = np.flatnonzero(left > 8)
+        some, at, left = some[more], at[more] + 8, left[more] - 8
+    return hashes
+
+
+# The bits of a block's first bytes, by their number.
+_HEADS = np.array([(1 << 8 * count) - 1 for count in range(8)], np.uint64)
 
 
 @dataclass
@@ -112,4 +104,4 @@ def hashed_words(texts: pa.Array, lower: bool) -> Words:
     starts, ends = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
     doc = np.searchsorted(bounds, starts, "right") - 1
     counts = np.bincount(doc, minlength=len(bounds) - 1)
-    return Words(span_hashes(_BYTES[data], starts, ends), doc, counts)
+    return Words(span_hashes(data, starts, ends), doc, counts)

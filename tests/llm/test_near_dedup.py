@@ -170,3 +170,11 @@ def test_components(spark):
     wanted = {(node, top(node)) for pair in pairs for node in pair if pair[0] != pair[1]}
     found = {(row.node, row.root) for row in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert found == wanted
+
+
+@pytest.mark.parametrize("size", [64, 1024, 4096])
+def test_words_that_sums_of_powers_confuse_are_not_linked(spark, size):
+    """The word of 0s and 1s by parity of bits, and the one with both exchanged, are other words."""
+    words = ["".join(letters[place.bit_count() % 2] for place in range(size)) for letters in ("ab", "ba")]
+    rows = spark.createDataFrame([(number, word) for number, word in enumerate(words)], "doc_id long, text string")
+    assert sorted((row.doc_id, row.component_id) for row in near_dedup.near_duplicates(rows).collect()) == [(0, 0), (1, 1)]

@@ -14,6 +14,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from tallyroll.llm import byte_bpe, byte_pairs, packing, queries, token_counts
+from tallyroll.llm.words import span_hashes
 
 SF = "/root/testdata/sf0.001"
 RANKS = byte_bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -160,3 +161,42 @@ def test_queries(spark):
     found = queries.queries()
     for name in ("op3_byte_bpe", "op6_packing", "op9_token_counts"):
         assert found[name](spark, SF).count() >= 200
+
+
+def thue_morse(letters: str, size: int) -> str:
+    """A word whose hash, as a sum of letters times powers, equals that of the word with letters exchanged."""
+    return "".join(letters[place.bit_count() % 2] for place in range(size))
+
+
+@pytest.mark.parametrize("size", [8, 32, 64, 1024, 4096])
+def test_words_that_sums_of_powers_confuse(size):
+    pair = [thue_morse("ab", size), thue_morse("ba", size)]
+    texts = [*pair, " ".join(pair), pair[1] + " x " + pair[0]]
+    encoding = tiktoken_encoding()
+    assert lists(byte_pairs.rank_encoder(RANKS).encode(texts)) == [encoding.encode_ordinary(text) for text in texts]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert lists(byte_pairs.json_encoder(JSON).encode(texts)) == [
+        each.ids for each in tokenizer.encode_batch(texts, add_special_tokens=False)
+    ]
+
+
+@pytest.mark.parametrize("kept", [1, 3, 64])
+def test_words_that_share_a_hash_are_told_apart(monkeypatch, kept):
+    """Whatever the hashes are, the ids are right: here one hash stands for many words."""
+    monkeypatch.setattr(byte_pairs, "pretoken_hashes", lambda points, starts: (points[starts] % kept).astype(np.uint64))
+    texts = samples()[:800]
+    encoder = byte_pairs.TextEncoder(byte_pairs.merges_of_ranks(RANKS))
+    encoding = tiktoken_encoding()
+    found = [ids for start in range(0, len(texts), 100) for ids in lists(encoder.encode(texts[start : start + 100]))]
+    assert found == [encoding.encode_ordinary(text) for text in texts]
+
+
+def test_hashes_of_spans():
+    rng = np.random.default_rng(4)
+    data = rng.integers(0, 4, 40_000, dtype=np.uint8)
+    ends = np.sort(rng.integers(0, len(data) + 1, (20_000, 2)), axis=1)
+    ends[:, 1] = np.minimum(ends[:, 1], ends[:, 0] + rng.choice([0, 1, 3, 8, 9, 16, 40, 511, 512, 513, 900], len(ends)))
+    spans = [data[first:last].tobytes() for first, last in ends.tolist()]
+    hashes = span_hashes(data, ends[:, 0], ends[:, 1]).tolist()
+    assert len(dict(zip(spans, hashes, strict=True))) == len(set(spans)) == len(set(hashes))
+    assert all(dict(zip(spans, hashes, strict=True))[span] == each for span, each in zip(spans, hashes, strict=True))
