@@ -3,6 +3,8 @@
 None of these raise: text that breaks the rule gives NULL, and the caller decides whether
 that is an error. They are kept small on purpose. The expressions of one projection become
 one generated Java method, and a method the JIT refuses to compile runs several times slower.
+So text of the usual shape takes a plain cast, and exact arithmetic is a function of its own,
+which generated methods only call.
 """
 
 from __future__ import annotations
@@ -45,27 +47,37 @@ def _fits(text: str, decimals: int) -> str:
     return f"length({fraction}) - {exponent} <= {decimals}"
 
 
+def _apart(text: str, value: str) -> str:
+    """The value of ``t``, which stands for the text, evaluated outside the generated method."""
+    return f"transform(array({text}), t -> {value})[0]"
+
+
 def whole_number(text: str) -> str:
     """INT from text such as ``01``, `` 2 ``, ``+5``, ``2.0`` or ``1e2``; else NULL.
 
     The exact decimal costs twenty times the plain cast, so only text the cast refuses pays.
     """
-    exact = f"try_cast({text} AS {EXACT})"
-    slowly = f"try_cast(CASE WHEN {exact} % 1 = 0 AND {_fits(text, EXACT_DECIMALS)} THEN {exact} END AS int)"
-    return f"coalesce(try_cast({text} AS int), {slowly})"
+    exact = f"try_cast(t AS {EXACT})"
+    exactly = f"try_cast(CASE WHEN {exact} % 1 = 0 AND {_fits('t', EXACT_DECIMALS)} THEN {exact} END AS int)"
+    return f"coalesce(try_cast({text} AS int), {_apart(text, exactly)})"
 
 
 def positive_integer(text: str) -> str:
     """Whether text is a whole number above zero that fits 64 bits."""
-    exact = f"try_cast({text} AS {EXACT})"
-    slowly = f"{exact} > 0 AND {exact} % 1 = 0 AND try_cast({exact} AS bigint) IS NOT NULL AND {_fits(text, EXACT_DECIMALS)}"
-    return f"coalesce(try_cast({text} AS bigint) > 0, {slowly}, false)"
+    exact = f"try_cast(t AS {EXACT})"
+    exactly = f"{exact} > 0 AND {exact} % 1 = 0 AND try_cast({exact} AS bigint) IS NOT NULL AND {_fits('t', EXACT_DECIMALS)}"
+    return f"coalesce(try_cast({text} AS bigint) > 0, {_apart(text, exactly)}, false)"
 
 
 def money(text: str) -> str:
-    """Exact decimal from price text such as `` $1,200.25 ``; else NULL, also beyond sixteen decimals."""
-    bare = f"replace(replace({text}, '$', ''), ',', '')"
-    return f"CASE WHEN {_fits(stripped(bare), MONEY_DECIMALS)} THEN try_cast({stripped(bare)} AS {MONEY}) END"
+    """Exact decimal from price text such as `` $1,200.25 ``; else NULL, also beyond sixteen decimals.
+
+    Text of at most as many characters without an exponent cannot have more decimals.
+    """
+    bare = stripped(f"replace(replace({text}, '$', ''), ',', '')")
+    exactly = _apart(bare, f"CASE WHEN {_fits('t', MONEY_DECIMALS)} THEN try_cast(t AS {MONEY}) END")
+    short = f"length({text}) <= {MONEY_DECIMALS} AND instr(lower({text}), 'e') = 0"
+    return f"CASE WHEN {short} THEN try_cast({bare} AS {MONEY}) ELSE {exactly} END"
 
 
 def source_date(text: str) -> str:
