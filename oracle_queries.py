@@ -381,8 +381,105 @@ _REFUSALS = {
 _MONTH_COLUMNS = "sales_month, product_category, sales_channel"
 
 
+# Which records a damage spoils, and what the preflight says of each damage otherwise.
+_SPOILT = {"sales": "line_item = '7'", "products": "subcategory = 'size 13'", "stores": "store_key LIKE '%7'"}
+_VERDICTS = {"intact": "accepted", "missing": "missing", "zero_bytes": "empty", "other_header": "header", "no_rows": "no rows"}
+
+
+def _rejections() -> str:
+    rows = []
+    for table, spoilt in _SPOILT.items():
+        source = f"bronze_{table}"
+        for damage, verdict in _VERDICTS.items():
+            count = f"(SELECT count(*) FROM {source})" if verdict == "accepted" else "NULL"
+            rows.append(f"SELECT '{table.title()}.csv' AS file_name, '{damage}' AS damage, '{verdict}' AS verdict, {count} AS row_count")
+        rows.append(
+            f"SELECT '{table.title()}.csv', 'not_utf8', CASE WHEN bad > 0 THEN 'encoding' ELSE 'accepted' END, "
+            f"CASE WHEN bad = 0 THEN n END FROM (SELECT count(*) AS n, count(*) FILTER (WHERE {spoilt}) AS bad FROM {source})"
+        )
+    return _with(BRONZE, " UNION ALL ".join(rows))
+
+
+# Tables by the step that publishes them, and what each stage then answers.
+_STEPS = {
+    "nothing": [],
+    "sales": ["bronze_sales"],
+    "products": ["bronze_products"],
+    "bronze": ["bronze_stores"],
+    "silver": ["silver"],
+    "gold": ["gold"],
+}
+_NO_BRONZE = "bronze.sales, bronze.products, bronze.stores is not published. Run bronze first"
+_NO_SILVER = "silver.sales_enriched is not published. Run silver first"
+_NO_GOLD = "gold.monthly_sales_summary is not published. Run gold first"
+_ANSWERS = {
+    "nothing": {"silver": _NO_BRONZE, "gold": _NO_SILVER, "quality": _NO_BRONZE, "export": _NO_GOLD, "forecast": _NO_SILVER},
+    "sales": {
+        "silver": "bronze.products, bronze.stores is not published. Run bronze first",
+        "gold": _NO_SILVER,
+        "quality": "bronze.products, bronze.stores is not published. Run bronze first",
+    },
+    "products": {
+        "silver": "bronze.stores is not published. Run bronze first",
+        "quality": "bronze.stores is not published. Run bronze first",
+    },
+    "bronze": {"gold": _NO_SILVER, "quality": _NO_SILVER, "export": _NO_GOLD, "forecast": _NO_SILVER, "silver": "runs"},
+    "silver": {"quality": _NO_GOLD, "export": _NO_GOLD, "gold": "runs"},
+    "gold": {"quality": "runs", "export": "runs"},
+}
+
+
+def _gates() -> str:
+    rows, tables = [], []
+    for position, (step, more) in enumerate(_STEPS.items(), 1):
+        tables += more
+        count = " + ".join(f"(SELECT count(*) FROM {table})" for table in tables) or "0"
+        for stage, answer in _ANSWERS[step].items():
+            rows.append(
+                f"SELECT {position} AS position, '{step}' AS published, '{stage}' AS stage, '{answer}' AS answer, "
+                f"CAST({count} AS BIGINT) AS published_rows"
+            )
+    return _with(GOLD, " UNION ALL ".join(rows))
+
+
+def _runs() -> str:
+    """Whole sales have n lines, fewer have m; damaged sales are published as text, but go no further."""
+    whole, fewer = "whole", "fewer"
+    runs = [
+        ("all layers", "0", whole, whole),
+        ("again", "0", whole, whole),
+        ("Silver dies when staged", "1", whole, whole),
+        ("fewer sales delivered", "0", fewer, whole),
+        ("Gold alone", "0", fewer, whole),
+        ("damaged sales", "CASE WHEN bad > 0 THEN 1 ELSE 0 END", whole, whole),
+        ("a folder without files", "1", whole, whole),
+        ("no such layer", "1", whole, whole),
+        ("fewer sales in all layers", "0", fewer, fewer),
+    ]
+    rows = [
+        f"SELECT {position} AS position, '{name}' AS run, {status} AS status, {bronze}_lines AS bronze_sales, "
+        f"{silver}_lines AS silver_sales, {silver}_groups AS gold_rows, 3 AS layer_schemas FROM counts"
+        for position, (name, status, bronze, silver) in enumerate(runs, 1)
+    ]
+    groups = "count(DISTINCT (date_trunc('month', order_date), product_category, sales_channel))"
+    counts = f"""counts AS (
+        SELECT count(*) AS whole_lines, count(*) FILTER (WHERE line_item <> 1) AS fewer_lines, {groups} AS whole_groups,
+               {groups} FILTER (WHERE line_item <> 1) AS fewer_groups, count(*) FILTER (WHERE line_item = 7) AS bad
+        FROM silver)"""
+    return _with(f"{SILVER}, {counts}", " UNION ALL ".join(rows))
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "preflight_rejections": _rejections(),
+        "stage_gates": _gates(),
+        "failed_runs": _runs(),
+        "dq_run_identity": _with(
+            GOLD,
+            f"""SELECT run, true AS ids_differ, true AS id_is_uuid, true AS one_time, true AS times_ascend,
+                       count(*) AS results, CAST(sum(total_rows) AS BIGINT) AS total_rows
+                FROM ({_check_rows(list(_CHECKS))}), range(1, 3) runs(run) GROUP BY run""",
+        ),
         "gold_monthly_sales_summary": _with(GOLD, "SELECT * FROM gold"),
         "silver_sales_enriched": _with(SILVER, "SELECT * FROM silver"),
         "bronze_sales": _with(BRONZE, "SELECT *, 'Sales.csv' AS source_file FROM bronze_sales"),

@@ -6,6 +6,9 @@ one row per task, so a key that holds a third of the table never lands in one ta
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,13 +44,58 @@ def lines_per_key(lines: DataFrame, dim: DataFrame, key: str, **flags: str) -> D
     return counted.join(known, key, "left")
 
 
-def match_counts(lines: DataFrame, dim: DataFrame, key: str, rows: str, unmatched: str) -> DataFrame:
-    """One row: rows of ``lines`` left join ``dim`` on ``key``, and how many found no match.
+@dataclass(frozen=True)
+class KeySet:
+    """A key of the lines to be counted by, its dimension if it has one, and conditions whose lines are counted."""
+
+    name: str
+    columns: tuple[str, ...]
+    dim: DataFrame | None = None
+    conditions: dict[str, str] = field(default_factory=dict)
+
 
-    Both sides are counted per key first, so the join carries one row per distinct key and
-    a repeated dimension key still multiplies the total as the plain join would.
+def key_counts(lines: DataFrame | None, keys: list[KeySet]) -> DataFrame:
+    """One row of counts over several keys of ``lines`` and their dimensions, each table read once.
+
+    For a key k: ``k_lines`` and ``k_excess`` count the lines and those beyond the first of their
+    key (NULL keys group), and each condition the lines it holds for. With a dimension, ``k_rows``
+    and ``k_repeats`` count its rows likewise, and ``k_joined`` and ``k_unmatched`` are the rows of
+    a left join of lines and dimension and those without a match, though nothing is joined: every
+    line stands once under each key, dimension rows stand beside them, and one grouping by key,
+    folded before it is shuffled, has both counts. Without ``lines`` only dimensions are counted.
     """
-    return lines_per_key(lines, dim, key).selectExpr(
-        f"cast(coalesce(sum(lines * coalesce(copies, 1)), 0) AS bigint) AS {rows}",
-        f"cast(coalesce(sum(CASE WHEN copies IS NULL THEN lines END), 0) AS bigint) AS {unmatched}",
+    width = max(len(key.columns) for key in keys)
+    conditions = {name: condition for key in keys for name, condition in key.conditions.items()}
+
+    def entry(key: KeySet, copies: int) -> str:
+        names = [*key.columns, *["NULL"] * (width - len(key.columns))]
+        parts = [f"cast({column} AS string) AS key_{place}" for place, column in enumerate(names)]
+        flags = [f"{holds if not copies and name in key.conditions else 'false'} AS {name}" for name, holds in conditions.items()]
+        return f"struct('{key.name}' AS key_set, {', '.join([*parts, *flags])}, {1 - copies} AS line, {copies} AS copy)"
+
+    tables = [] if lines is None else [lines.selectExpr(f"inline(array({', '.join(entry(key, 0) for key in keys)}))")]
+    tables += [key.dim.selectExpr(f"inline(array({entry(key, 1)}))") for key in keys if key.dim is not None]
+    per_key = (
+        reduce(DataFrame.unionAll, tables)
+        .groupBy("key_set", *[f"key_{place}" for place in range(width)])
+        .agg(
+            F.expr("sum(cast(line AS bigint)) AS n"),
+            F.expr("sum(cast(copy AS bigint)) AS copies"),
+            *[F.expr(f"count_if({name}) AS {name}") for name in conditions],
+        )
     )
+    sums = []
+    for key in keys:
+        # A NULL key is never found.
+        found = "if(key_0 IS NULL, 0, copies)"
+        wanted = {f"{key.name}_lines": "n", f"{key.name}_excess": "greatest(n - 1, 0)"}
+        if key.dim is not None:
+            wanted |= {
+                f"{key.name}_rows": "copies",
+                f"{key.name}_repeats": "greatest(copies - 1, 0)",
+                f"{key.name}_joined": f"n * greatest({found}, 1)",
+                f"{key.name}_unmatched": f"if({found} = 0, n, 0)",
+            }
+        wanted |= {name: name for name in key.conditions}
+        sums += [f"coalesce(sum({value}) FILTER (WHERE key_set = '{key.name}'), 0) AS {name}" for name, value in wanted.items()]
+    return per_key.selectExpr(*sums)

@@ -17,8 +17,9 @@ from tallyroll.contracts import GOLD_TABLE, GOLD_TYPES, PRODUCTS, SILVER_TABLE,
 from tallyroll.errors import JOB_ERRORS
 from tallyroll.functions.text import in_date_range, money, no_date, source_date, stripped, whole_number, zero_padded_day
 from tallyroll.plans import forecast as fc
-from tallyroll.plans import inspect, quality
+from tallyroll.plans import drills, inspect, quality
 from tallyroll.plans.bronze import load_bronze, with_lineage
+from tallyroll.plans.drills import write_source
 from tallyroll.plans.export import export_gold
 from tallyroll.plans.gold import build_gold, gold_violations, monthly_summary, reconciliation
 from tallyroll.plans.quality import CHECKS, Layers
@@ -121,12 +122,6 @@ def _replaced(frame: DataFrame, values: dict[str, str]) -> DataFrame:
     return frame.selectExpr(*[f"{values.get(name, name)} AS {name}" for name in frame.columns])
 
 
-def write_source(frame: DataFrame, directory: str, contract: SourceContract) -> None:
-    """Bronze-shaped text as a delivered file with the contracted header."""
-    delivered = frame.select(*[F.col(name).alias(header) for header, name in contract.columns.items()])
-    delivered.write.option("header", True).option("escape", '"').csv(f"{directory}/{contract.file_name}")
-
-
 def published(spark: SparkSession, directory: str) -> LayerStore:
     """All three layers, built and published in a folder of this query's own."""
     store = LayerStore(spark, scratch_path(spark, "layers"))
@@ -358,6 +353,11 @@ def latest_audit(spark: SparkSession, directory: str) -> DataFrame:
     return _finished(result, store)
 
 
+def run_identity(spark: SparkSession, directory: str) -> DataFrame:
+    store = published(spark, directory)
+    return _finished(drills.run_identity(store), store)
+
+
 # Inspection
 
 
@@ -486,6 +486,7 @@ def queries() -> dict[str, Query]:
         **{f"bronze_{contract.table}": partial(scanned_source, contract) for contract in SOURCES},
         "csv_quoted_products": quoted_products,
         "preflight_summary": preflight_summary,
+        "preflight_rejections": drills.preflight_rejections,
         "silver_int_parse": int_parse,
         "silver_money_parse": money_parse,
         "silver_date_parse": date_parse,
@@ -503,6 +504,9 @@ def queries() -> dict[str, Query]:
         "dq_damaged_silver_gold": damaged_silver_gold_checks,
         "dq_check_results": audited_checks,
         "dq_latest_run": latest_audit,
+        "dq_run_identity": run_identity,
+        "stage_gates": drills.stage_gates,
+        "failed_runs": drills.failed_runs,
         "inspect_gold_head": lambda spark, at: inspect.gold_head(gold_rows(spark, at)),
         "inspect_bronze_head": lambda spark, at: inspect.bronze_head(order_tables.sales(spark, at)),
         "inspect_price_text": lambda spark, at: inspect.price_text(order_tables.products(spark, at)),

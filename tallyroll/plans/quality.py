@@ -1,8 +1,8 @@
 """The recorded table checks over the published layers.
 
-A check compares a few counts. The counts come from one-row aggregates, each of which reads a
-table once for all the checks that need it; the chosen aggregates are put side by side and
-every check becomes one row, all in a single job.
+A check compares a few counts. Those of Bronze come from one aggregate over all its keys, those of
+Silver and Gold from one each, so every table is read once for all the checks that need it. The
+one-row results are put side by side and every check becomes one row, all in a single job.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyroll.contracts import CHECK_RESULT_SCHEMA, GOLD_KEYS, GOLD_TABLE, IN_STORE, ONLINE, SILVER_TABLE
 from tallyroll.functions.text import positive_integer
-from tallyroll.operators.keys import match_counts, rows_and_excess
+from tallyroll.operators.keys import KeySet, key_counts
 from tallyroll.operators.scalars import side_by_side
 from tallyroll.sources.files import Files
 from tallyroll.sources.layer_store import LayerStore
@@ -47,10 +47,22 @@ class Check:
     total: str
 
 
-def _sales_counts(layers: Layers) -> DataFrame:
-    return layers.sales.selectExpr(
-        "count(1) AS sales_rows", f"count_if(NOT {positive_integer('quantity')}) AS bad_quantities"
-    )
+def _bronze_counts(layers: Layers, wanted: set[str]) -> DataFrame:
+    """The counts of Bronze that checks want, with one reading of each table they need."""
+    bad = {"bad_quantities": f"NOT {positive_integer('quantity')}"}
+    # Which keys are counted, and whether that needs the sales.
+    sales_wanted = wanted & {"grain", "product_matches", "store_matches"}
+    keys = []
+    if "grain" in wanted:
+        keys.append(KeySet("grain", ("order_number", "line_item"), conditions=bad if "quantities" in wanted else {}))
+    elif "quantities" in wanted:
+        # No key is needed: all lines are one group, folded by the tasks that read them.
+        keys.append(KeySet("grain", ("NULL",), conditions=bad))
+        sales_wanted.add("quantities")
+    for name, table in (("product", layers.products), ("store", layers.stores)):
+        if wanted & {f"{name}s", f"{name}_matches"}:
+            keys.append(KeySet(name, (f"{name}_key",), table))
+    return key_counts(layers.sales if sales_wanted else None, keys)
 
 
 def _silver_counts(layers: Layers) -> DataFrame:
@@ -86,21 +98,12 @@ def _gold_counts(layers: Layers) -> DataFrame:
     )
 
 
-COUNTS: dict[str, Callable[[Layers], DataFrame]] = {
-    "sales": _sales_counts,
-    "sales_grain": lambda on: rows_and_excess(on.sales, ["order_number", "line_item"], "grain_rows", "grain_excess"),
-    "products": lambda on: rows_and_excess(on.products, ["product_key"], "product_rows", "product_excess"),
-    "stores": lambda on: rows_and_excess(on.stores, ["store_key"], "store_rows", "store_excess"),
-    "product_matches": lambda on: match_counts(
-        on.sales, on.products, "product_key", "product_match_rows", "product_unmatched"
-    ),
-    "store_matches": lambda on: match_counts(on.sales, on.stores, "store_key", "store_match_rows", "store_unmatched"),
-    "silver": _silver_counts,
-    "gold": _gold_counts,
-}
+# What a check may count: in Bronze, all in one reading, and in the later layers.
+BRONZE_COUNTS = ("quantities", "grain", "products", "stores", "product_matches", "store_matches")
+LATER_COUNTS: dict[str, Callable[[Layers], DataFrame]] = {"silver": _silver_counts, "gold": _gold_counts}
 
 _EMPTY_TABLES = " + ".join(
-    f"cast({rows} = 0 AS int)" for rows in ("sales_rows", "product_rows", "store_rows", "silver_rows", "gold_rows")
+    f"cast({rows} = 0 AS int)" for rows in ("grain_lines", "product_rows", "store_rows", "silver_rows", "gold_rows")
 )
 _TOTALS_DIFFER = """CASE WHEN silver_units = gold_units AND silver_sales = gold_sales
                               AND silver_profit = gold_profit THEN 0 ELSE 1 END"""
@@ -109,25 +112,25 @@ _TOTALS_DIFFER = """CASE WHEN silver_units = gold_units AND silver_sales = gold_
 CHECKS = (
     Check("required_tables_not_empty", "all", "critical",
           "The five core pipeline tables contain at least one row.",
-          ("sales", "products", "stores", "silver", "gold"), _EMPTY_TABLES, "5"),
+          ("quantities", "products", "stores", "silver", "gold"), _EMPTY_TABLES, "5"),
     Check("sales_grain_unique", "bronze", "critical",
           "Each order number and line item identifies one sales row.",
-          ("sales_grain",), "grain_excess", "grain_rows"),
+          ("grain",), "grain_excess", "grain_lines"),
     Check("product_key_unique", "bronze", "critical",
           "Each product key identifies one product row.",
-          ("products",), "product_excess", "product_rows"),
+          ("products",), "product_repeats", "product_rows"),
     Check("store_key_unique", "bronze", "critical",
           "Each store key identifies one store row.",
-          ("stores",), "store_excess", "store_rows"),
+          ("stores",), "store_repeats", "store_rows"),
     Check("sales_product_keys_match", "bronze", "critical",
           "Every sales product key matches the product dimension.",
-          ("product_matches",), "product_unmatched", "product_match_rows"),
+          ("product_matches",), "product_unmatched", "product_joined"),
     Check("sales_store_keys_match", "bronze", "critical",
           "Every sales store key matches the store dimension.",
-          ("store_matches",), "store_unmatched", "store_match_rows"),
+          ("store_matches",), "store_unmatched", "store_joined"),
     Check("quantity_positive_integer", "bronze", "high",
           "Sales quantity is a positive integer.",
-          ("sales",), "bad_quantities", "sales_rows"),
+          ("quantities",), "bad_quantities", "grain_lines"),
     Check("delivery_not_before_order", "silver", "high",
           "A populated delivery date is on or after the order date.",
           ("silver",), "early_deliveries", "silver_rows"),
@@ -136,8 +139,8 @@ CHECKS = (
           ("silver",), "online_undelivered", "online_rows"),
     Check("silver_row_count_matches_bronze", "silver", "critical",
           "The Silver join neither loses nor multiplies sales rows.",
-          ("sales", "silver"),
-          "abs(silver_rows - sales_rows)", "greatest(silver_rows, sales_rows)"),
+          ("quantities", "silver"),
+          "abs(silver_rows - grain_lines)", "greatest(silver_rows, grain_lines)"),
     Check("silver_measures_complete", "silver", "high",
           "Silver price, cost, sales, and estimated-profit measures are populated.",
           ("silver",), "incomplete_measures", "silver_rows"),
@@ -155,8 +158,11 @@ CHECKS = (
 
 def check_results(layers: Layers, checks: tuple[Check, ...] = CHECKS) -> DataFrame:
     """One row per check, in the given order, without run columns."""
-    needed = [name for name in COUNTS if any(name in check.counts for check in checks)]
-    counts = side_by_side([COUNTS[name](layers) for name in needed])
+    wanted = {name for check in checks for name in check.counts}
+    frames = [counts(layers) for name, counts in LATER_COUNTS.items() if name in wanted]
+    if wanted & set(BRONZE_COUNTS):
+        frames.append(_bronze_counts(layers, wanted))
+    counts = side_by_side(frames)
     rows = ", ".join(
         f"""struct('{check.name}' AS check_name, '{check.layer}' AS layer, '{check.severity}' AS severity,
                    cast({check.failed} AS bigint) AS failed_rows, cast({check.total} AS bigint) AS total_rows,

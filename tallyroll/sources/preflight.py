@@ -13,10 +13,11 @@ SUMMARY_SCHEMA = "file_name string, row_count bigint, column_count int"
 
 def check_sources(spark: SparkSession, directory: str) -> DataFrame:
     """One row per source with its row and column counts; raises at the first bad source."""
-    return spark.createDataFrame([_check(spark, directory, contract) for contract in SOURCES], SUMMARY_SCHEMA)
+    return spark.createDataFrame([check_source(spark, directory, contract) for contract in SOURCES], SUMMARY_SCHEMA)
 
 
-def _check(spark: SparkSession, directory: str, contract: SourceContract) -> tuple[str, int, int]:
+def check_source(spark: SparkSession, directory: str, contract: SourceContract) -> tuple[str, int, int]:
+    """Name, rows and columns of one source, or the reason why it is refused."""
     text = inspect_text(spark, directory, contract)
     if not text.valid_utf8:
         raise SourceError(f"{contract.file_name} is not valid UTF-8")

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tallyroll.contracts import GOLD_TABLE, GOLD_TYPES, PRODUCTS, SALES, SILVER_TABLE, SILVER_TYPES, STORES
 from tallyroll.errors import MissingUpstreamError, StageError
+from tallyroll.plans import given_tables
 from tallyroll.plans import gold as gold_plan
 from tallyroll.plans.bronze import load_bronze
 from tallyroll.plans.forecast import monthly_history
@@ -338,3 +339,16 @@ def test_a_hot_product_and_the_online_store_are_split(spark):
         enriched.collect()
         plan = enriched._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SortMergeJoin(skew=true)") == 2
+
+
+def test_generated_methods_can_be_compiled(spark):
+    """No method of Silver's or Gold's stages is larger than the JIT takes, nor near it."""
+    seen = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for query in (given_tables.silver_lines, given_tables.gold_rows):
+            plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+            stages = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan)
+            assert max(stages.apply(place)._3().maxMethodCodeSize() for place in range(stages.size())) < 6000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", seen)
