@@ -9,14 +9,18 @@ Everything is a Spark expression.
 
 from __future__ import annotations
 
-import math
+import json
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyroll.llm.running import bound, running
+
 BLOCK = 32
-# Blocks of neighbouring documents for each shuffle partition: their hashes spread evenly.
-BLOCKS_PER_PARTITION = 4
+# Text that a block of neighbouring documents holds, more or less.
+NEIGHBOUR_BYTES = 64 << 20
+# Bytes of a text that place it in a block: a double holds them exactly.
+_PLACE_BYTES = 6
 _BLOCKS = rf"[^\n.!?]{{1,{BLOCK}}}+[\n.!?]*+|[\n.!?]++"
 
 
@@ -85,35 +89,59 @@ def likeness(left: Column, right: Column, left_blocks: Column, right_blocks: Col
     return F.when(left["root"] == right["root"], 1.0).otherwise(common / F.greatest(larger, F.lit(1)))
 
 
+def _lacking(own: Column, other: Column) -> Column:
+    """Numbers, from 0, of the digests of ``own`` that are not among those of ``other``.
+
+    Both are sorted together, each digest of ``other`` once and ahead of the equal ones of ``own``;
+    the greatest digest of ``other`` up to an element is then its own digest if it is there at all.
+    """
+    marked = F.concat(
+        F.transform(F.array_distinct(other), lambda digest: F.struct(digest.alias("digest"), F.lit(-1).alias("place"))),
+        F.transform(own, lambda digest, place: F.struct(digest.alias("digest"), place.alias("place"))),
+    )
+
+    def of_sorted(entries: Column) -> Column:
+        theirs = F.transform(entries, lambda entry: F.when(entry["place"] < 0, entry["digest"]).otherwise(""))
+        nearest = running(theirs, F.greatest, F.lit(""))
+        missing = F.zip_with(entries, nearest, lambda entry, seen: F.when(entry["digest"] != seen, entry["place"]))
+        return F.sort_array(F.filter(missing, lambda place: place.isNotNull()))
+
+    return bound(F.sort_array(marked), of_sorted)
+
+
 def changed_paragraphs(left: Column, right: Column) -> Column:
     """(section, paragraph) numbers of ``left`` whose branches ``right`` lacks, from 0.
 
     Sections found in ``right`` by digest are left out whole; in the others, paragraphs are.
     """
-    sections = F.transform(right["sections"], lambda section: section["digest"])
-    paragraphs = F.flatten(
-        F.transform(
-            right["sections"],
-            lambda section: F.transform(section["paragraphs"], lambda paragraph: paragraph["digest"]),
-        )
-    )
 
-    def of_section(section: Column, number: Column) -> Column:
-        places = F.transform(
-            section["paragraphs"],
-            lambda paragraph, place: F.when(
-                ~F.array_contains(paragraphs, paragraph["digest"]), F.struct(number.alias("section"), place.alias("paragraph"))
-            ),
+    def digests(parts: Column) -> Column:
+        return F.transform(parts, lambda part: part["digest"])
+
+    def paragraphs(sections: Column) -> Column:
+        return F.flatten(F.transform(sections, lambda section: section["paragraphs"]))
+
+    def of_sections(numbers: Column) -> Column:
+        # The paragraphs of the sections that differ, each with its place.
+        places = F.flatten(
+            F.transform(
+                numbers,
+                lambda number: F.transform(
+                    F.get(left["sections"], number)["paragraphs"],
+                    lambda paragraph, place: F.struct(number.alias("section"), place.alias("paragraph")),
+                ),
+            )
         )
-        return F.when(F.array_contains(sections, section["digest"]), F.slice(places, 1, 0)).otherwise(places)
+        own = F.flatten(F.transform(numbers, lambda number: digests(F.get(left["sections"], number)["paragraphs"])))
+        lacking = _lacking(own, digests(paragraphs(right["sections"])))
+        return bound(places, lambda found: F.transform(lacking, lambda number: F.get(found, number)))
 
-    found = F.flatten(F.transform(left["sections"], of_section))
-    return F.filter(found, lambda place: place.isNotNull())
+    return bound(_lacking(digests(left["sections"]), digests(right["sections"])), of_sections)
 
 
 def _block_number(bounds: list[float], doc_id: Column) -> Column:
-    """How many bounds are at most the id, by halving; null ids come before all."""
-    table = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<double>")
+    """How many of the ascending bounds are at most the id, by halving. They are one literal, however many."""
+    table = F.from_json(F.lit(str(bounds)), "array<double>")
 
     def step(state: Column, _: Column) -> Column:
         middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
@@ -123,39 +151,75 @@ def _block_number(bounds: list[float], doc_id: Column) -> Column:
             F.when(below | (state["low"] >= state["high"]), state["high"]).otherwise(middle).alias("high"),
         )
 
-    rounds = max(1, math.ceil(math.log2(len(bounds) + 1)) + 1)
     whole = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), whole, step, lambda state: state["low"])
-    return F.when(doc_id.isNull(), -1).otherwise(found)
+    rounds = len(bounds).bit_length() + 1
+    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), whole, step, lambda state: state["low"])
 
 
 def with_next(documents: DataFrame) -> DataFrame:
     """``doc_id, text, next_text``: the text of the next document by ascending doc_id, after the last the first.
 
-    Ids fall into blocks by their quantiles; a copy of each block's first document is added to
-    the block before it, so every block finds its neighbours alone. Null ids come first, rows
-    that repeat an id are ordered by text, and null texts are empty.
+    Ids fall into blocks by their quantiles, as many as the size of the texts asks for. The first
+    document of each block is copied to the block before it, so every block finds its neighbours
+    alone. Null ids come first, ordered by text, in blocks by the texts' first bytes; however many
+    of them share a text, it passes through once. Rows that repeat an id are ordered by text and
+    share a block, and null texts are empty.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    count = partitions * BLOCKS_PER_PARTITION
-    bounds = rows.approxQuantile("doc_id", [place / count for place in range(1, count)], 1 / (4 * count))
-    rows = rows.withColumn("block", _block_number(sorted(set(bounds)), F.col("doc_id").cast("double")))
-    firsts = rows.groupBy("block").agg(F.min("doc_id").alias("first"))
-    # At most as many rows as there are blocks.
+    with_id = F.col("doc_id").isNotNull()
+    size = F.octet_length("text").cast("long")
+    sizes = rows.agg(
+        F.coalesce(F.sum(F.when(with_id, size)), F.lit(0)).alias("known"),
+        F.coalesce(F.sum(F.when(~with_id, size)), F.lit(0)).alias("nameless"),
+        F.count_if(~with_id).alias("n_nameless"),
+    ).first()
+    known = rows.where(with_id).withColumns({"place": F.col("doc_id"), "copies": F.lit(1).cast("long")})
+    parted = known.withColumn("block", _block_number(_cuts(known, sizes.known), F.col("place").cast("double")))
+    if sizes.n_nameless:
+        # Bytes order texts as their characters do.
+        first_bytes = F.expr(f"rpad(substring(cast(text AS binary), 1, {_PLACE_BYTES}), {_PLACE_BYTES}, X'00')")
+        nameless = rows.where(~with_id).groupBy("text").agg(F.count("*").alias("copies"))
+        nameless = nameless.select(
+            F.lit(None).cast("long").alias("doc_id"), "text", F.conv(F.hex(first_bytes), 16, 10).cast("long").alias("place"), "copies"
+        )
+        cuts = _cuts(nameless, sizes.nameless)
+        # Blocks below zero, so that they come before the others.
+        number = _block_number(cuts, F.col("place").cast("double")) - (len(cuts) + 1)
+        parted = parted.unionByName(nameless.withColumn("block", number))
+    return _neighbours(parted)
+
+
+def _cuts(rows: DataFrame, size: int) -> list[float]:
+    """Places that part the rows into blocks of about equal numbers, as many as their size asks for."""
+    count = 1 + size // NEIGHBOUR_BYTES
+    if count == 1:
+        return []
+    return sorted(set(rows.approxQuantile("place", [number / count for number in range(1, count)], 1 / (4 * count))))
+
+
+def _neighbours(parted: DataFrame) -> DataFrame:
+    """``doc_id, text, next_text`` of rows in blocks, a row for each of their copies."""
+    # A row for each block: where it begins, and the block before it.
+    firsts = sorted(parted.groupBy("block").agg(F.min("place").alias("place")).collect())
+    before = [row.block for row in firsts[-1:] + firsts[:-1]]
+    table = json.dumps([[row.block, row.place, target] for row, target in zip(firsts, before, strict=True)])
+    found = F.explode(F.from_json(F.lit(table), "array<array<bigint>>"))
+    begins = parted.sparkSession.range(1).select(found.alias("row")).selectExpr(
+        "cast(row[0] AS int) AS block", "row[1] AS place", "cast(row[2] AS int) AS target"
+    )
+    # As many rows as there are blocks.
     heads = (
-        rows.join(F.broadcast(firsts), "block").where(F.col("doc_id").eqNullSafe(F.col("first")))
-        .groupBy("block", "doc_id")
+        parted.join(F.broadcast(begins), ["block", "place"])
+        .groupBy("target", "doc_id", "place")
         .agg(F.min("text").alias("text"))
+        .select("doc_id", "text", "place", F.lit(1).cast("long").alias("copies"), F.col("target").alias("block"), F.lit(True).alias("copy"))
     )
-    order = Window.orderBy("block")
-    ends = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    copies = heads.select(
-        "doc_id", "text", F.coalesce(F.lag("block").over(order), F.max("block").over(ends)).alias("block"), F.lit(True).alias("copy")
-    )
-    all_rows = rows.withColumn("copy", F.lit(False)).unionByName(copies)
-    window = Window.partitionBy("block").orderBy("copy", "doc_id", "text")
-    return all_rows.withColumn("next_text", F.lead("text").over(window)).where("not copy").select("doc_id", "text", "next_text")
+    window = Window.partitionBy("block").orderBy("copy", "place", "text")
+    together = parted.withColumn("copy", F.lit(False)).unionByName(heads)
+    lead = together.withColumn("next_text", F.lead("text").over(window)).where("not copy")
+    # All copies of a row but the last are followed by an equal one.
+    following = F.expr("explode(transform(sequence(1L, copies), n -> if(n < copies, text, next_text)))")
+    return lead.select("doc_id", "text", following.alias("next_text"))
 
 
 def edited(rows: DataFrame) -> DataFrame:

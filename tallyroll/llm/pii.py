@@ -1,9 +1,10 @@
 """Personal data: patterns propose spans, checksums confirm them, words nearby adjust the score.
 
 Everything is a Spark expression. A pattern splits a text into what lies between its matches, and
-the lengths of both give every match's place in code points. Patterns begin at the head of a run
-of their first class and are possessive where that finds the same matches, so the time is linear
-in the text and no repetition nests calls. A kind is skipped where a text lacks what it needs.
+running totals of both lengths give every match's place in code points. Patterns begin at the head of a run
+of their first class and are possessive where that finds the same matches, and no repetition
+nests calls. So a very long text, or one with very many matches, takes time in proportion to its
+length and, for n matches, to n log n. A kind is skipped where a text lacks what it needs.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyroll.llm.running import bound, parts, piece, running
+
 # Code points looked at on either side of a match for context words.
 NEARBY = 40
 # Score from which spans of the added kinds are kept.
@@ -125,35 +128,38 @@ _SPAN = "struct<start:int,rank:int,kind:string,end:int,score:double>"
 
 
 def _kind_spans(kind: Kind, rank: int) -> Column:
-    """The kind's spans by place, from its matches and the gaps around them.
+    """The kind's confirmed spans by place, from its matches and the gaps around them.
 
-    The fold moves on over every match; only confirmed ones are added.
+    A match ends where the lengths of all gaps and matches up to it add up to.
     """
-    gaps = F.col(f"gaps_{kind.name}")
-    pairs = F.zip_with(f"matches_{kind.name}", gaps, lambda match, gap: F.struct(match.alias("match"), gap.alias("gap")))
-    after = F.slice(gaps, 2, F.size(gaps))
-    pairs = F.zip_with(pairs, after, lambda pair, gap: pair.withField("after", gap))
-
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["match"])
-        near = F.lower(F.concat(F.right(pair["gap"], F.lit(NEARBY)), F.lit(" "), F.left(pair["after"], F.lit(NEARBY))))
-        score = F.least(F.lit(1.0), F.lit(kind.score) + F.when(near.rlike(kind.context), kind.bonus).otherwise(0.0))
-        span = F.struct(
-            start.alias("start"),
-            F.lit(rank).alias("rank"),
-            F.lit(kind.name).alias("kind"),
-            end.alias("end"),
-            score.alias("score"),
-        )
-        kept = kind.confirmed(pair["match"])
+    gaps, matches = F.col(f"gaps_{kind.name}"), F.col(f"matches_{kind.name}")
+    sizes = F.zip_with(matches, F.slice(gaps, F.lit(1), F.size(matches)), lambda match, gap: F.length(match) + F.length(gap))
+    ends = running(sizes, lambda before, size: before + size, F.lit(0))
+    near = F.zip_with(
+        F.slice(gaps, F.lit(1), F.size(matches)),
+        F.slice(gaps, F.lit(2), F.size(matches)),
+        lambda before, after: F.lower(F.concat(F.right(before, F.lit(NEARBY)), F.lit(" "), F.left(after, F.lit(NEARBY)))),
+    )
+    placed = F.zip_with(matches, ends, lambda match, end: F.struct(match.alias("match"), end.alias("end")))
+
+    def span(place: Column, words: Column) -> Column:
+        bonus = F.when(words.rlike(kind.context), kind.bonus).otherwise(0.0)
+        kept = kind.confirmed(place["match"])
+        score = F.least(F.lit(1.0), F.lit(kind.score) + bonus)
         if not kind.base:
             kept = kept & (score >= KEPT_SCORE)
-        return F.struct(end.alias("at"), F.when(kept, F.array_append(state["out"], span)).otherwise(state["out"]).alias("out"))
+        return F.when(
+            kept,
+            F.struct(
+                (place["end"] - F.length(place["match"])).alias("start"),
+                F.lit(rank).alias("rank"),
+                F.lit(kind.name).alias("kind"),
+                place["end"].alias("end"),
+                score.alias("score"),
+            ),
+        )
 
-    none = F.array().cast(f"array<{_SPAN}>")
-    matched = F.filter(pairs, lambda pair: pair["match"].isNotNull())
-    return F.aggregate(matched, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda state: state["out"])
+    return F.filter(F.zip_with(placed, near, span), lambda found: found.isNotNull())
 
 
 def with_spans(rows: DataFrame, text: Column) -> DataFrame:
@@ -175,22 +181,20 @@ def with_spans(rows: DataFrame, text: Column) -> DataFrame:
 def redacted(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind; of overlapping spans the first names the cut."""
 
-    def step(state: Column, span: Column) -> Column:
-        fresh = span["start"] >= state["at"]
-        gap = text.substr(state["at"] + 1, span["start"] - state["at"])
-        parts = F.array_append(state["parts"], F.concat(gap, F.lit("["), F.upper(span["kind"]), F.lit("]")))
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(fresh, parts).otherwise(state["parts"]).alias("parts"),
-        )
+    def of_ends(text_parts: Column, ends: Column) -> Column:
+        # What lies before a span begins where the farthest span before it ends.
+        before = F.concat(F.array(F.lit(0)), ends)
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    return F.aggregate(
-        spans,
-        start,
-        step,
-        lambda state: F.concat(F.array_join(state["parts"], ""), text.substr(state["at"] + 1, F.length(text))),
-    )
+        def cut(span: Column, at: Column) -> Column:
+            name = F.concat(piece(text_parts, at, span["start"]), F.lit("["), F.upper(span["kind"]), F.lit("]"))
+            return F.when(span["start"] >= at, name).otherwise("")
+
+        cuts = F.zip_with(spans, F.slice(before, F.lit(1), F.size(spans)), cut)
+        rest = piece(text_parts, F.element_at(before, -1), F.length(text))
+        return F.concat(F.array_join(cuts, ""), rest)
+
+    ends = running(F.transform(spans, lambda span: span["end"]), F.greatest, F.lit(0))
+    return bound(parts(text), lambda text_parts: bound(ends, lambda found: of_ends(text_parts, found)))
 
 
 def personal_data(documents: DataFrame) -> DataFrame:

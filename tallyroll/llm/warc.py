@@ -26,6 +26,8 @@ from tallyroll.session import scratch_path
 # Record bytes from which a bundle, and at most of a frame, are closed, before compression.
 BUNDLE_BYTES = 32 << 20
 FRAME_BYTES = 1 << 20
+# Bundles that a task reads back, one after another.
+BUNDLES_A_TASK = 2
 # Shorter payloads are never revisits.
 SHORTEST_SHARED = 100
 DATE = "1970-01-01T00:00:00Z"
@@ -232,7 +234,10 @@ def write_bundles(
 
 def read_bundles(folder: str, index: DataFrame) -> DataFrame:
     """Every record of the bundles an index names, read frame by frame."""
-    bundles = index.select("bundle").distinct()
+    bundles = kept_table(index.select("bundle").distinct(), "warc-bundles")
+    # Under adaptive execution a set number of tasks stays, however small the names are.
+    tasks = max(1, -(-bundles.count() // BUNDLES_A_TASK))
+    bundles = bundles.repartition(tasks, "bundle")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = _store(folder)

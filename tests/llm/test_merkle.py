@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,3 +89,47 @@ def test_native(spark):
     documents = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = merkle.edit_report(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_many_null_ids_and_small_blocks(spark, monkeypatch):
+    """Blocks of a few hundred bytes: neighbours are found across blocks, with and without ids."""
+    monkeypatch.setattr(merkle, "NEIGHBOUR_BYTES", 500)
+    rows = [(None, f"{number % 400} text without an id") for number in range(1000)]
+    rows += [(number * 7 % 501, f"{number} it is. " * (number % 5)) for number in range(600)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    check(documents)
+    check(documents.where("doc_id IS NOT NULL"))
+    check(documents.where("doc_id IS NULL"))
+
+
+def test_neighbours_move_no_texts_through_one_task(spark):
+    documents = spark.createDataFrame([(1, "a"), (None, "b")], "doc_id long, text string")
+    plan = merkle.with_next(documents)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == plan.count("windowspecdefinition(block") == 1
+
+
+def test_a_text_of_very_many_lines(spark):
+    text = "".join(f"line {number}\n" for number in range(100_000))
+    changed = text.replace("line 5\n", "line five\n").replace("line 77777\n", "")
+    rows = merkle.with_trees(spark.createDataFrame([(text, changed)], "l string, r string"), a=F.col("l"), b=F.col("r"))
+    (row,) = rows.select(merkle.changed_paragraphs(F.col("a"), F.col("b")).alias("places")).collect()
+    assert [(place.section, place.paragraph) for place in row.places] == [(0, 5), (0, 77777)]
+
+
+def test_changed_paragraphs_as_a_plain_search(spark):
+    chosen = random.Random(8)
+    lines = ["a", "b", "c", "", "", "dd"]
+    texts = ["\n".join(chosen.choices(lines, k=chosen.randrange(0, 12))) for _ in range(300)]
+    pairs = spark.createDataFrame(list(zip(texts, texts[1:], strict=False)), "l string, r string")
+    rows = merkle.with_trees(pairs, a=F.col("l"), b=F.col("r"))
+    for row in rows.select("a", "b", merkle.changed_paragraphs(F.col("a"), F.col("b")).alias("places")).collect():
+        sections = {section.digest for section in row.b.sections}
+        known = {paragraph.digest for section in row.b.sections for paragraph in section.paragraphs}
+        wanted = [
+            (number, place)
+            for number, section in enumerate(row.a.sections)
+            if section.digest not in sections
+            for place, paragraph in enumerate(section.paragraphs)
+            if paragraph.digest not in known
+        ]
+        assert [(place.section, place.paragraph) for place in row.places] == wanted

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -134,3 +135,18 @@ def test_native(spark):
     documents = spark.createDataFrame([(1, "a@b.c")], "doc_id long, text string")
     plan = pii.personal_data(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_text_with_very_many_matches(spark):
+    """Spans of many matches, and the text without them, in time that does not grow with their square."""
+    seconds = {}
+    for count in (8_000, 32_000):
+        text = "é " + " ".join(f"a{number}@b.co" for number in range(count)) + " +1 555 010 9999"
+        rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        started = time.perf_counter()
+        (row,) = pii.personal_data(rows).collect()
+        (clean,) = pii.without_personal_data(rows).collect()
+        seconds[count] = time.perf_counter() - started
+        assert [text[span.start : span.end] for span in row.spans] == re.findall(r"a\d+@b\.co|\+[0-9 ]+", text)
+        assert clean.text == "é " + " ".join(["[EMAIL]"] * count) + " [PHONE]"
+    assert seconds[32_000] < 5 * seconds[8_000] + 5

@@ -106,3 +106,13 @@ def test_urls_survive(url):
     record = warc.to_record(5, url, b"abc", 3, hashlib.sha256(b"abc").hexdigest(), None)
     ((page_id, found, *_),) = warc.from_records(record)
     assert (page_id, found) == (5, url)
+
+
+def test_read_tasks_grow_with_the_bundles(spark):
+    pages = spark.range(400).selectExpr("id AS page_id", "'http://a/' || id AS url", "repeat(sha2(cast(id AS string), 256), 20) AS html")
+    folder, index = warc.write_bundles(pages.repartition(4), bundle_bytes=4000)
+    bundles = index.select("bundle").distinct().count()
+    assert bundles >= 100
+    records = warc.read_bundles(folder, index)
+    assert records.rdd.getNumPartitions() == -(-bundles // warc.BUNDLES_A_TASK)
+    assert records.count() == 400
