@@ -7,10 +7,16 @@ samples differ, precisely where similarity is high. Pairs whose sketches are far
 dropped with a margin of six standard deviations; the others are confirmed on the full sets.
 
 No band emits all its pairs. Its members are compared with one centre, the member that shares
-bands most. Members the centre joins need no pairs among themselves. The rest are compared with
-everyone near the same centre in blocks of bounded size, each block pair in a task of its own,
-which returns only a spanning forest of the links it confirmed. Components are therefore those
-of all links, and rows stay in proportion to the members.
+bands most. Members the centre joins need no pairs among themselves. The sketches of the rest meet
+those of everyone beside the same centre in blocks of bounded size, each block pair in a task of
+its own. Only members that find a sketch within reach there send their texts, again to that block
+pair's task, which returns a spanning forest of the links it confirmed. Components are therefore
+those of all links. Texts are sent for candidates alone; what grows with the square of the members
+a centre did not take is the number of their sketches, 1 for each 256 of them.
+
+A class of equal sets, however many documents it has, is one row from the start: its least row
+number stands for it, and texts are fetched by row number. A very long text is read whole, and
+fills a block of its own where it exceeds BLOCK_BYTES.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,8 +40,9 @@ BANDS, ROWS = 32, 4
 SKETCH_BITS = 512
 # Bits that may differ before a pair is out: an estimate of 0.5, six deviations below 0.75.
 SKETCH_REACH = 101
-# Members of a block: a task holds two blocks of texts.
+# Members of a block, and about how many bytes of their texts: a task holds two blocks.
 BLOCK = 256
+BLOCK_BYTES = 32 << 20
 # Places of the bitmap that is broadcast to sieve texts before a shuffle: 4 MB.
 SIEVE_BITS = 1 << 25
 SIGNATURE = "n_shingles long, class binary, tag long, sketch array<long>, bands array<long>"
@@ -127,9 +134,16 @@ def signed(documents: DataFrame) -> DataFrame:
     return kept_table(map_slices(rows, _sign, schema, "all.text"), "near-signed")
 
 
-def _shared_bands(signatures: DataFrame) -> DataFrame:
+def _representatives(signatures: DataFrame) -> DataFrame:
+    """``class, row, tag, sketch, bands``: each class once, by its least row; folded before it is shuffled."""
+    one = signatures.where("n_shingles > 0").groupBy("class")
+    values = [F.any_value(name).alias(name) for name in ("tag", "sketch", "bands")]
+    return kept_table(one.agg(F.min("row").alias("row"), *values), "near-representatives")
+
+
+def _shared_bands(representatives: DataFrame) -> DataFrame:
     """(key, class) of the bands in which at least two classes meet."""
-    rows = signatures.where("n_shingles > 0").select("class", "tag", F.explode("bands").alias("key"))
+    rows = representatives.select("class", "tag", F.explode("bands").alias("key"))
     met = rows.groupBy("key").agg(F.min("tag").alias("low"), F.max("tag").alias("high")).where("low < high")
     return rows.join(met, "key").select("key", "class").distinct()
 
@@ -181,13 +195,18 @@ def _judged_stars(stars: DataFrame, classes: DataFrame) -> DataFrame:
     return kept_table(map_slices(texts, _confirm, "center binary, class binary, linked boolean").union(far), "near-judged")
 
 
-def _spanning(left: pd.DataFrame, right: pd.DataFrame) -> list[tuple[bytes, bytes]]:
-    """Links between two blocks, as many as join their components; pairs of one component are skipped."""
+def _near_pairs(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
+    """Whether each pair's sketches are within reach and their components differ."""
     distance = np.zeros((len(left), len(right)), np.int64)
     left_bits, right_bits = (np.stack(side["sketch"].tolist()).view(np.uint64) for side in (left, right))
     for part in range(left_bits.shape[1]):
         distance += np.bitwise_count(left_bits[:, part, None] ^ right_bits[None, :, part])
-    wanted = (distance <= SKETCH_REACH) & (left["root"].to_numpy()[:, None] != right["root"].to_numpy()[None, :])
+    return (distance <= SKETCH_REACH) & (left["root"].to_numpy()[:, None] != right["root"].to_numpy()[None, :])
+
+
+def _spanning(left: pd.DataFrame, right: pd.DataFrame) -> list[tuple[bytes, bytes]]:
+    """Links between two blocks, as many as join their components; pairs of one component are skipped."""
+    wanted = _near_pairs(left, right)
     rows, columns = np.flatnonzero(wanted.any(axis=1)), np.flatnonzero(wanted.any(axis=0))
     if not len(rows):
         return []
@@ -240,33 +259,57 @@ def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(_spanning(left, right) if len(left) else [], columns=["a", "b"])
 
 
-def _rest_links(judged: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links beside the stars: of members not in their centre's component, with everyone near that centre."""
+def _near_in_block(rows: pd.DataFrame) -> pd.DataFrame:
+    """The members of a block pair that a sketch of another component on the other side is near."""
+    sides = rows["side"].to_numpy()
+    left = rows[sides == 0]
+    right = rows[sides == 1] if (sides == 1).any() else left
+    if not len(left):
+        return rows.iloc[:0][_PLACED]
+    wanted = _near_pairs(left, right)
+    if right is left:
+        return left[wanted.any(axis=1)][_PLACED]
+    return pd.concat([left[wanted.any(axis=1)], right[wanted.any(axis=0)]])[_PLACED]
+
+
+_PLACED = ["center", "class", "root", "i", "j", "side"]
+
+
+def _block_tasks(judged: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``center, class, root, i, j, side``: where the members meet that their centre did not take.
+
+    A task compares side 0 with side 1, or side 0 with itself: rest block i with rest blocks j >= i
+    and with the blocks of members that joined the centre, numbered from the rest blocks on.
+    """
     root_of = roots.select(F.col("node"), F.col("root"))
     members = (
         judged.join(root_of.withColumnRenamed("node", "class"), "class", "left")
         .withColumn("root", F.coalesce("root", "class"))
         .join(root_of.select(F.col("node").alias("center"), F.col("root").alias("center_root")), "center", "left")
         .withColumn("rest", F.col("root") != F.coalesce("center_root", "center"))
-        .select("center", "class", "root", "rest")
+        .join(sizes.select("class", "size"), "class")
+        .select("center", "class", "root", "rest", "size")
     )
     members = kept_table(members, "near-members")
+
+    def blocks(rows: str, size: str) -> Column:
+        return F.greatest(F.ceil(F.col(rows) / BLOCK), F.ceil(F.col(size) / BLOCK_BYTES)).cast("int")
+
     groups = (
         members.groupBy("center")
-        .agg(F.count_if("rest").alias("n_rest"), F.count_if(~F.col("rest")).alias("n_in"))
-        .where("n_rest > 0 and n_rest + n_in > 1")
-        .select(
-            "center",
-            F.ceil(F.col("n_rest") / BLOCK).cast("int").alias("rest_blocks"),
-            F.ceil(F.col("n_in") / BLOCK).cast("int").alias("in_blocks"),
+        .agg(
+            F.count_if("rest").alias("n_rest"),
+            F.count_if(~F.col("rest")).alias("n_in"),
+            F.sum(F.when(F.col("rest"), F.col("size")).otherwise(0)).alias("rest_size"),
+            F.sum(F.when(F.col("rest"), 0).otherwise(F.col("size"))).alias("in_size"),
         )
+        .where("n_rest > 0 and n_rest + n_in > 1")
+        .select("center", blocks("n_rest", "rest_size").alias("rest_blocks"), blocks("n_in", "in_size").alias("in_blocks"))
     )
     placed = members.join(groups, "center").withColumn(
         "block",
         F.pmod(F.xxhash64("class"), F.when(F.col("rest"), F.col("rest_blocks")).otherwise(F.col("in_blocks"))).cast("int"),
     )
-    # A task compares side 0 with side 1, or side 0 with itself: rest block i with rest blocks
-    # j >= i and with the blocks of members that joined the centre (numbered from rest_blocks on).
     rest = placed.where("rest").withColumn(
         "task",
         F.explode(
@@ -282,21 +325,32 @@ def _rest_links(judged: DataFrame, roots: DataFrame, classes: DataFrame) -> Data
         F.explode(F.expr("transform(sequence(0, rest_blocks - 1), i -> struct(i AS i, block + rest_blocks AS j, 1 AS side))")),
     )
     columns = ["center", "class", "root", "task.i", "task.j", "task.side"]
-    tasks = rest.select(columns).union(joined.select(columns))
+    return rest.select(columns).union(joined.select(columns))
+
+
+def _candidates(tasks: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members of each task whose texts must be compared there, found by their sketches alone."""
+    near = tasks.join(classes.select("class", "sketch"), "class").groupBy("center", "i", "j")
+    return near.applyInPandas(_near_in_block, "center binary, class binary, root binary, i int, j int, side int")
+
+
+def _rest_links(judged: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links beside the stars: of members not in their centre's component, with everyone near that centre."""
+    candidates = kept_table(_candidates(_block_tasks(judged, roots, classes), classes), "near-candidates")
     return (
-        tasks.join(classes.select("class", "sketch", "text"), "class")
+        candidates.join(classes.select("class", "sketch", "text"), "class")
         .groupBy("center", "i", "j")
         .applyInPandas(_block_links, "a binary, b binary")
     )
 
 
-def _sieved(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows whose ``class`` may be among the keys: all that are, and few others.
+def _sieved(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows whose ``on`` may be among the keys: all that are, and few others.
 
     A bitmap of hash places, SIEVE_BITS at most, is broadcast, so the rows that are certainly not
     wanted leave before their texts are shuffled. A join must follow.
     """
-    place = F.pmod(F.xxhash64("class"), F.lit(SIEVE_BITS))
+    place = F.pmod(F.xxhash64(on), F.lit(SIEVE_BITS))
     bitmaps = (
         keys.select(place.alias("place"))
         .groupBy(F.bitmap_bucket_number("place").alias("part"))
@@ -309,16 +363,14 @@ def _sieved(rows: DataFrame, keys: DataFrame) -> DataFrame:
 
 def linked_classes(signatures: DataFrame) -> DataFrame:
     """``node, root`` for every class that is linked to another."""
-    stars = kept_table(_stars(kept_table(_shared_bands(signatures), "near-bands")), "near-pairs")
+    representatives = _representatives(signatures)
+    stars = kept_table(_stars(kept_table(_shared_bands(representatives), "near-bands")), "near-pairs")
     met = stars.select("class").union(stars.select("center")).distinct()
-    classes = kept_table(
-        _sieved(signatures.select("class", "sketch", F.col("all.text").alias("text")), met)
-        # Not a semi join, which Catalyst would move below the sieve.
-        .join(met, "class")
-        .groupBy("class")
-        .agg(F.any_value("sketch").alias("sketch"), F.any_value("text").alias("text")),
-        "near-classes",
-    )
+    chosen = kept_table(representatives.select("class", "row", "sketch").join(met, "class"), "near-met")
+    texts = _sieved(signatures.select("row", F.col("all.text").alias("text")), chosen, "row")
+    # Not a semi join, which Catalyst would move below the sieve.
+    found = texts.join(chosen, "row").select("class", "sketch", F.octet_length("text").cast("long").alias("size"), "text")
+    classes = kept_table(found, "near-classes")
     judged = _judged_stars(stars, classes)
     star_links = judged.where("linked").select(F.col("center").alias("a"), F.col("class").alias("b"))
     roots = components(star_links)

@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tallyroll.llm import near_dedup
 from tallyroll.llm.components import components
@@ -178,3 +179,30 @@ def test_words_that_sums_of_powers_confuse_are_not_linked(spark, size):
     words = ["".join(letters[place.bit_count() % 2] for place in range(size)) for letters in ("ab", "ba")]
     rows = spark.createDataFrame([(number, word) for number, word in enumerate(words)], "doc_id long, text string")
     assert sorted((row.doc_id, row.component_id) for row in near_dedup.near_duplicates(rows).collect()) == [(0, 0), (1, 1)]
+
+
+def test_unlike_members_of_one_band_send_no_texts(spark):
+    """2,000 classes that share a centre, unlike it and each other but for 10 pairs: only these send texts."""
+    chosen = random.Random(12)
+    texts = [" ".join(f"w{chosen.randrange(10**9)}" for _ in range(60)) for _ in range(1991)]
+    texts += [text + " and one" for text in texts[:10]]
+    signatures = near_dedup.signed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    classes = signatures.selectExpr("class", "sketch", "cast(octet_length(all.text) AS long) AS size", "all.text AS text")
+    center = classes.orderBy("class").first()["class"]
+    judged = classes.where(F.col("class") != center).select(F.lit(bytes(center)).alias("center"), "class", F.lit(False).alias("linked"))
+    roots = spark.createDataFrame([], "node binary, root binary")
+    tasks = near_dedup._block_tasks(judged, roots, classes)
+    candidates = near_dedup._candidates(tasks, classes)
+    assert candidates.select("class").distinct().count() <= 20
+    assert candidates.count() <= 40
+    links = near_dedup._rest_links(judged, roots, classes).collect()
+    assert 9 <= len({frozenset((bytes(row.a), bytes(row.b))) for row in links}) <= 10
+
+
+def test_blocks_follow_the_size_of_texts(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 1000)
+    classes = spark.range(40).selectExpr("unhex(sha2(cast(id AS string), 256)) AS class", "500L AS size")
+    judged = classes.select(F.lit(b"c").alias("center"), "class", F.lit(False).alias("linked"))
+    roots = spark.createDataFrame([], "node binary, root binary")
+    tasks = near_dedup._block_tasks(judged, roots, classes)
+    assert tasks.agg(F.max("i")).first()[0] >= 15
