@@ -44,7 +44,7 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = byte_bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
-    return packing.checksums(packing.packed(_documents(spark, sf_dir), tokenizer))
+    return packing.checksums(packing.packed(_documents(spark, sf_dir), tokenizer, window=packing.WINDOW))
 
 
 def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -200,3 +200,55 @@ def test_hashes_of_spans():
     hashes = span_hashes(data, ends[:, 0], ends[:, 1]).tolist()
     assert len(dict(zip(spans, hashes, strict=True))) == len(set(spans)) == len(set(hashes))
     assert all(dict(zip(spans, hashes, strict=True))[span] == each for span, each in zip(spans, hashes, strict=True))
+
+
+def test_windows_of_several_sequences_hold_long_pieces_in_proportion(spark):
+    documents = whole_documents(spark)
+    window = packing.WINDOW
+    pieces = packing.packed(documents, JSON, window=window).join(documents.select("doc_id", "source"), "doc_id").toPandas()
+    shares = pieces.groupby("source").length.sum() / pieces.length.sum()
+    whole = pieces.sequence_id.max() // window * window
+    for first in range(0, whole, window):
+        part = pieces[pieces.sequence_id.between(first, first + window - 1)]
+        served = part.groupby("source").length.sum() / (1024 * window)
+        assert (served.reindex(shares.index).fillna(0) - shares).abs().max() < 0.001
+    assert pieces.length.median() >= 200
+    ends = pieces.groupby("sequence_id").length.sum()
+    assert (ends.iloc[:-1] == 1024).all()
+    cover = pieces.sort_values(["doc_id", "start"]).groupby("doc_id")
+    assert (cover.length.sum() == cover.doc_tokens.first()).all()
+    assert all(group.start.tolist() == [0, *group.length.cumsum().tolist()[:-1]] for _, group in cover)
+
+
+def test_targets_hold_until_a_queue_runs_empty(spark):
+    rows = [(number, "word " * 40, source) for number, source in enumerate("a" * 60 + "b" * 60 + "c" * 60)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    pieces = packing.packed(documents, JSON, length=64, targets={"a": 0.5, "b": 0.25}).join(documents.drop("text"), "doc_id").toPandas()
+    served = pieces.groupby(["sequence_id", "source"]).length.sum().unstack(fill_value=0)
+    total = served.a.sum()
+    both = served[served.a.cumsum() < total - 64]
+    assert (both.a - 2 * both.b).abs().max() <= 3 and both.c.sum() == 0
+    assert served.sum().tolist() == [total] * 3
+    # The source without a target comes last.
+    assert served[served.c > 0].index.min() >= served[served.b > 0].index.max()
+    assert pieces.groupby("sequence_id").length.sum().iloc[:-1].eq(64).all()
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_pieces_cover_the_output_once(seed):
+    rng = np.random.default_rng(seed)
+    sizes = rng.integers(0, 500, rng.integers(1, 6))
+    targets = None if seed % 2 else rng.random(len(sizes)) * rng.integers(0, 2, len(sizes))
+    plan, total = packing.phases(sizes, targets), int(sizes.sum())
+    seen = np.zeros(total, int)
+    for queue, size in enumerate(sizes.tolist()):
+        place = 0
+        while place < size:
+            step = min(size - place, int(rng.integers(1, 90)))
+            starts, counts, sequences, offsets = packing.pieces_of(plan, 16, 3, queue, place, step)
+            assert starts.tolist() == [0, *np.cumsum(counts)[:-1].tolist()] and counts.sum() == step and counts.min() > 0
+            for sequence, offset, count in zip(sequences, offsets, counts, strict=True):
+                assert offset + count <= 16
+                seen[sequence * 16 + offset : sequence * 16 + offset + count] += 1
+            place += step
+    assert (seen == 1).all()
