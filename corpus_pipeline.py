@@ -36,7 +36,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 1024 tokens, with their ids and a checksum of them."""
     tokenizer = byte_bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
-    return packing.packed(docs, tokenizer).withColumn("ids_crc32", F.crc32("ids"))
+    return packing.packed(docs, tokenizer, window=packing.WINDOW).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [
