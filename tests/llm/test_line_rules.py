@@ -72,7 +72,14 @@ def test_whole_table(spark):
     ("line", "rule"),
     [
         ("Home | News | Sport | About | Contact", "navigation"),
+        ("Home|About|News|Contact", "navigation"),
+        ("Start » Shop » Shoes » Red · Blue", "navigation"),
+        ("A well-known and/or so-called state-of-the-art (9/10) thing.", ""),
         ("buy*** now$$$ cheap### it is", "symbols"),
+        ("BUY CHEAP WATCHES NOW AND SAVE BIG MONEY TODAY!", "shouting"),
+        ("BUY CHEAP WATCHES NOW AND SAVE BIG MONEY TODAY", "shouting"),
+        ("word " * 20, "punctuation"),
+        ("word " * 19, ""),
         ("BUY THIS!! NOW!! IT IS!! SO VERY!! CHEAP!! HERE!!", "shouting"),
         ("word " * 45, "punctuation"),
         ("We use cookies to improve this site.", "boilerplate"),
@@ -100,3 +107,18 @@ def test_failing_lines_go(spark):
     left = line_rules.cleaned(documents)
     assert left.columns == documents.columns
     assert sorted((row.doc_id, row.text, row.n_chars) for row in left.collect()) == [(1, CLEAN, len(CLEAN)), (3, CLEAN, 7)]
+
+
+def test_menus_of_one_item_a_line_go(spark):
+    menu = "\n".join(["Home", "About us", "Our news", "", "Contact"])
+    verse = "\n".join(["Roses,", "violets;", "sugar", "and you.", "The end."])
+    rows = [(1, f"{menu}\n{CLEAN}"), (2, f"{CLEAN}\n{menu}"), (3, f"{CLEAN}\n{verse}"), (4, f"Title\n\nBy me\n{CLEAN}")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {row.doc_id: row.text for row in line_rules.cleaned(documents).collect()}
+    assert left == {1: f"\n{CLEAN}", 2: f"{CLEAN}\n", 3: rows[2][1], 4: rows[3][1]}
+
+
+def test_a_very_long_text_is_linear():
+    lines = [f"A line with number {number}, and more." for number in range(200_000)] + ["x"] * 200_000
+    found = line_rules.judge("\n".join(lines))
+    assert found.n_bad_lines == 200_000 and found.n_dup_lines == 199_999
