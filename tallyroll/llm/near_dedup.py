@@ -7,12 +7,11 @@ samples differ, precisely where similarity is high. Pairs whose sketches are far
 dropped with a margin of six standard deviations; the others are confirmed on the full sets.
 
 No band emits all its pairs. Its members are compared with one centre, the member that shares
-bands most. Members the centre joins need no pairs among themselves. The sketches of the rest meet
-those of everyone beside the same centre in blocks of bounded size, each block pair in a task of
-its own. Only members that find a sketch within reach there send their texts, again to that block
-pair's task, which returns a spanning forest of the links it confirmed. Components are therefore
-those of all links. Texts are sent for candidates alone; what grows with the square of the members
-a centre did not take is the number of their sketches, 1 for each 256 of them.
+bands most. Members the centre joins need no pairs among themselves. The rest are compared with
+everyone beside the same centre in blocks of bounded size, each block pair in a task of its own,
+which returns only a spanning forest of the links it confirmed. Components are therefore those of
+all links. A member that a centre did not take is sent once for each block beside that centre, so
+this part grows with the square of such members: n of them send n * n / 256 texts.
 
 A class of equal sets, however many documents it has, is one row from the start: its least row
 number stands for it, and texts are fetched by row number. A very long text is read whole, and
@@ -259,22 +258,6 @@ def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(_spanning(left, right) if len(left) else [], columns=["a", "b"])
 
 
-def _near_in_block(rows: pd.DataFrame) -> pd.DataFrame:
-    """The members of a block pair that a sketch of another component on the other side is near."""
-    sides = rows["side"].to_numpy()
-    left = rows[sides == 0]
-    right = rows[sides == 1] if (sides == 1).any() else left
-    if not len(left):
-        return rows.iloc[:0][_PLACED]
-    wanted = _near_pairs(left, right)
-    if right is left:
-        return left[wanted.any(axis=1)][_PLACED]
-    return pd.concat([left[wanted.any(axis=1)], right[wanted.any(axis=0)]])[_PLACED]
-
-
-_PLACED = ["center", "class", "root", "i", "j", "side"]
-
-
 def _block_tasks(judged: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataFrame:
     """``center, class, root, i, j, side``: where the members meet that their centre did not take.
 
@@ -328,17 +311,11 @@ def _block_tasks(judged: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataF
     return rest.select(columns).union(joined.select(columns))
 
 
-def _candidates(tasks: DataFrame, classes: DataFrame) -> DataFrame:
-    """The members of each task whose texts must be compared there, found by their sketches alone."""
-    near = tasks.join(classes.select("class", "sketch"), "class").groupBy("center", "i", "j")
-    return near.applyInPandas(_near_in_block, "center binary, class binary, root binary, i int, j int, side int")
-
-
 def _rest_links(judged: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
     """Links beside the stars: of members not in their centre's component, with everyone near that centre."""
-    candidates = kept_table(_candidates(_block_tasks(judged, roots, classes), classes), "near-candidates")
     return (
-        candidates.join(classes.select("class", "sketch", "text"), "class")
+        _block_tasks(judged, roots, classes)
+        .join(classes.select("class", "sketch", "text"), "class")
         .groupBy("center", "i", "j")
         .applyInPandas(_block_links, "a binary, b binary")
     )
