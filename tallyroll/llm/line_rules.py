@@ -76,7 +76,7 @@ def menu_lines(lines: list[str]) -> set[int]:
     found: set[int] = set()
     run: list[int] = []
     for number, line in enumerate([*lines, "the end."]):
-        words = len(_WORD.findall(line)) if len(line) < 200 else MENU_WORDS + 1
+        words = len(_WORD.findall(line)) if len(line) < 200 else (MENU_WORDS + 1) * bool(_WORD.search(line))
         if words and (words > MENU_WORDS or _MARKS.search(line)):
             if len(run) >= MENU_LINES:
                 found.update(run)
