@@ -108,3 +108,94 @@ RESAMPLING = f"""
     SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, rank
     FROM noisy LEFT JOIN (SELECT r, rank FROM ranked WHERE rank <= able * 10 // 100) USING (r)
 """
+
+PAGE_RECORDS = """
+    WITH payloads AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+        FROM pages
+    ), firsts AS (
+        SELECT payload_digest, min(page_id) AS first FROM payloads WHERE payload_bytes >= 100 GROUP BY payload_digest
+    )
+    SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+           CASE WHEN first IS NULL OR first IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+    FROM payloads LEFT JOIN firsts USING (payload_digest)
+"""
+
+# The rules of lines. Letters that are capitals without being of the class Lu are named; \u0131 for an i is not.
+_ITEMS, _ITEM_WORDS = "[|•·»›]", "'>', '—', '–', '-', '*', '/'"
+_CAPITAL = (
+    r"[\p{Lu}\x{2160}-\x{216F}\x{24B6}-\x{24CF}\x{1F130}-\x{1F149}\x{1F150}-\x{1F169}\x{1F170}-\x{1F189}]"
+)
+_MARK, _SYMBOL = "[.,;:!?…。！？、]", "[#*$%&|<>]"
+
+
+def _found(text: str, pattern: str) -> str:
+    return f"len(regexp_extract_all({text}, '{pattern}'))"
+
+
+def line_quality(boilerplate: str, most_lost: float) -> str:
+    """The measures and verdicts of ``line_rules.line_quality``, by its phrases of page furniture and its share."""
+    return f"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+    ), spoken AS (
+        SELECT r, unnest(regexp_extract_all(text, '{_WORD}')) AS word,
+               generate_subscripts(regexp_extract_all(text, '{_WORD}'), 1) AS place
+        FROM texts
+    ), windows AS (
+        SELECT r, place, word || ' ' || lead(word) OVER said || ' ' || lead(word, 2) OVER said AS three
+        FROM spoken WINDOW said AS (PARTITION BY r ORDER BY place)
+    ), repeated AS (
+        SELECT r, unnest([place, place + 1, place + 2]) AS place
+        FROM (SELECT *, count(*) OVER (PARTITION BY r, three) AS times FROM windows WHERE three IS NOT NULL)
+        WHERE times > 1
+    ), repeats AS (
+        SELECT r, count(DISTINCT place) AS n_repeat_words FROM repeated GROUP BY r
+    ), counted AS (
+        SELECT r, count(*) AS n_words, sum(length(word)) AS word_chars FROM spoken GROUP BY r
+    ), split AS (
+        SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS number
+        FROM texts
+    ), worded AS (
+        SELECT *, regexp_extract_all(line, '{_WORD}') AS words FROM split
+    ), parted AS (
+        SELECT *, len(words) AS n, regexp_matches(line, '{_MARK}') AS marked,
+               list_filter(words, lambda w: w NOT IN ({_ITEM_WORDS})) AS others,
+               coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS chars
+        FROM worded
+    ), judged AS (
+        SELECT *, {_found("line", _ITEMS)} + n - len(others) AS parts,
+               {_found(f"regexp_replace(array_to_string(others, ' '), '{_ITEMS}', ' ', 'g')", _WORD)} AS items,
+               {_found("line", r"\p{L}")} AS letters, {_found("line", _CAPITAL)} AS capitals,
+               n > 3 OR marked OR length(line) >= 200 AS breaks
+        FROM parted WHERE n > 0
+    ), runs AS (
+        SELECT *, sum(CAST(breaks AS INT)) OVER (PARTITION BY r ORDER BY number) AS run FROM judged
+    ), failing AS (
+        SELECT *,
+            (NOT breaks AND count(*) FILTER (WHERE NOT breaks) OVER (PARTITION BY r, run) >= 4)
+            OR (parts >= 3 AND 5 * parts >= items)
+            OR (n >= 3 AND 2 * len(list_filter(words, lambda w: regexp_matches(w, '{_SYMBOL}'))) > n)
+            OR ((n >= 8 OR (n >= 5 AND contains(line, '!'))) AND letters >= 20 AND 5 * capitals > 4 * letters)
+            OR (n >= 20 AND NOT marked)
+            OR (n <= 25 AND regexp_matches(line, '(?i){boilerplate}')) AS fails
+        FROM runs
+    ), lines AS (
+        SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) FILTER (WHERE fails) AS n_bad_lines,
+               coalesce(sum(chars) FILTER (WHERE fails), 0) AS lost_chars
+        FROM failing GROUP BY r
+    ), measured AS (
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+               {_found("text", _SYMBOL)} AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+               coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_bad_lines, 0) AS n_bad_lines,
+               coalesce(CAST(lost_chars AS DOUBLE) / CAST(word_chars AS DOUBLE), 0) AS lost
+        FROM texts LEFT JOIN counted USING (r) LEFT JOIN lines USING (r) LEFT JOIN repeats USING (r)
+    )
+    SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+           CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+           CAST(n_repeat_words AS BIGINT) AS n_repeat_words, CAST(n_bad_lines AS BIGINT) AS n_bad_lines, lost,
+           n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words AND lost <= {most_lost} AS kept
+    FROM measured
+"""

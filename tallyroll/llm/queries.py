@@ -7,8 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyroll.llm import byte_bpe, licenses, merkle, oracle_sql as sql, packing, pii, secret_scan
-from tallyroll.llm.line_rules import line_quality
+from tallyroll.llm import byte_bpe, licenses, line_rules, merkle, oracle_sql as sql, packing, pii, secret_scan
 from tallyroll.llm.near_dedup import near_duplicates
 from tallyroll.llm.prefix_trie import prefix_trie
 from tallyroll.llm.quality_fm import quality_scores
@@ -48,7 +47,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_quality(_documents(spark, sf_dir))
+    return line_rules.line_quality(_documents(spark, sf_dir))
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +81,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_warc": sql.PAGE_RECORDS,
+        "op7_line_rules": sql.line_quality(line_rules.BOILERPLATE.pattern, line_rules.MOST_LOST),
         "op8_licenses": licenses.oracle_sql(),
         "op11_prefix_trie": sql.PREFIX_TRIE,
         "op13_resampling": sql.RESAMPLING,

@@ -3,9 +3,11 @@ from __future__ import annotations
 import random
 import re
 
+import duckdb
+import pandas as pd
 import pytest
 
-from tallyroll.llm import line_rules
+from tallyroll.llm import line_rules, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -122,3 +124,33 @@ def test_a_very_long_text_is_linear():
     lines = [f"A line with number {number}, and more." for number in range(200_000)] + ["x"] * 200_000
     found = line_rules.judge("\n".join(lines))
     assert found.n_bad_lines == 200_000 and found.n_dup_lines == 199_999
+
+
+def odd_lines():
+    rng = random.Random(5)
+    lines = [
+        "Home|About|News|Contact", "Start » Shop » Shoes » Red · Blue", "a > b > c > d", "a|>|b - c * d / e", "- * /",
+        "buy*** now$$$ cheap### it is", "BUY CHEAP WATCHES NOW AND SAVE BIG MONEY TODAY", "ÉCOLE ÜBER ŒUVRE ÀÉÎ! Ⅻ Ⅷ Ⓐ Ⓑ ǅ ẞ",
+        "word " * 20, "word " * 19, "слово " * 20 + "。", "We use COOKIES.", "Log in", "cookies " * 26, "Home", "About us", "Our news",
+        "", " \t", " " * 250, "x" * 250, "end.", "NASA AND ESA SIGNED A PAPER!", "a\x1cb\x85c\u2028d e", CLEAN, "1 2 3 " * 20,
+    ]
+    return [None, "", *lines, *["\n".join(rng.choices(lines, k=rng.randrange(1, 30))) for _ in range(300)]]
+
+
+def test_sql_agrees_on_odd_texts(spark):
+    rows = list(enumerate([*odd_texts(), *odd_lines()]))
+    rows += [rows[5], (None, CLEAN)]
+    found = line_rules.line_quality(spark.createDataFrame(rows, "doc_id long, text string"))
+    with duckdb.connect() as database:
+        table = pd.DataFrame({"doc_id": pd.array([row[0] for row in rows], "Int64"), "text": [row[1] for row in rows]})
+        database.register("documents", table)
+        sql = queries.oracle_sql()["op7_line_rules"]
+        wanted = database.sql(f"SELECT {', '.join(found.columns)} FROM ({sql})").fetchall()
+    found = sorted(map(tuple, found.collect()), key=str)
+    assert found == sorted(wanted, key=str)
+    assert {row[-1] for row in found} == {True, False}
+    assert len({row[6] for row in found}) > 10
+
+
+def test_blank_lines_of_any_length_part_no_menu():
+    assert line_rules.menu_lines(["Home", "About us", " " * 250, "Our news", "Contact"]) == {0, 1, 3, 4}

@@ -4,10 +4,12 @@ import hashlib
 import io
 from pathlib import Path
 
+import duckdb
+import pandas as pd
 import pytest
 import zstandard
 
-from tallyroll.llm import warc
+from tallyroll.llm import oracle_sql, warc
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -116,3 +118,12 @@ def test_read_tasks_grow_with_the_bundles(spark):
     records = warc.read_bundles(folder, index)
     assert records.rdd.getNumPartitions() == -(-bundles // warc.BUNDLES_A_TASK)
     assert records.count() == 400
+
+
+def test_sql_agrees_on_odd_pages():
+    rows = odd_pages()
+    with duckdb.connect() as database:
+        table = pd.DataFrame({"page_id": pd.array([row[0] for row in rows], "Int64"), "html": [row[2] for row in rows]})
+        database.register("pages", table)
+        found = database.sql(oracle_sql.PAGE_RECORDS).fetchall()
+    assert sorted((str(row[0]), row[1], row[2], row[3], str(row[4])) for row in found) == brute_force(rows)
