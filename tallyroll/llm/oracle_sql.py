@@ -199,3 +199,99 @@ def line_quality(boilerplate: str, most_lost: float) -> str:
            n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words AND lost <= {most_lost} AS kept
     FROM measured
 """
+
+
+def _ascii_cases(words: str) -> str:
+    """A pattern for letters of A-Z in either case; the engine's own folding also takes signs beyond ASCII."""
+    return "".join(f"[{sign.upper()}{sign}]" if sign.isascii() and sign.isalpha() else sign for sign in words)
+
+
+# Fixed values of the base kinds, as in secret_scan.
+_ASSIGNED = (
+    f"(?:{_ascii_cases('password|passwd|secret|token|api_?key')})"
+    r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+_KNOWN_AS = (
+    f"{_ascii_cases('example|sample|dummy|placeholder|changeme|change')}[_-]{_ascii_cases('me')}|{_ascii_cases('your')}[_-]"
+    f"|{_ascii_cases('redacted|xxxx|abcdefghij|qwertyuiop')}|0123456789|1234567890"
+    "|[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
+    rf"|\A(?:{_ascii_cases('sha')}(?:1|256|384|512)|{_ascii_cases('md')}5)[-=]"
+)
+_KNOWN_AFTER = (
+    rf"(?:;{_ascii_cases('base')}64,|\b(?:{_ascii_cases('sha')}-?(?:1|256|384|512)|{_ascii_cases('md')}5|{_ascii_cases('crc')}32"
+    rf"|{_ascii_cases('etag|commit|revision|digest|checksum|integrity')})\b\W{{0,3}})\z"
+)
+
+
+def _placed(kind: str, rank: int, pattern: str, value: str, least: int) -> str:
+    """Matches of a pattern without a look to its sides, placed by the lengths of gaps and matches up to each."""
+    return f"""
+        SELECT r, '{kind}' AS kind, {rank} AS rank, ends - length(match) AS start, ends, match
+        FROM (
+            SELECT *, sum(length(gap) + length(match)) OVER (PARTITION BY r ORDER BY k) AS ends FROM (
+                SELECT r, unnest(matches) AS match, unnest(vals) AS val, unnest(gaps[1:len(matches)]) AS gap,
+                       generate_subscripts(matches, 1) AS k
+                FROM (
+                    SELECT r, regexp_extract_all(text, '{pattern}') AS matches, regexp_extract_all(text, '{pattern}', {value}) AS vals,
+                           string_split_regex(text, '{pattern}') AS gaps
+                    FROM texts
+                )
+            )
+        ) WHERE length(val) >= {least}
+    """
+
+
+def _sum_of_terms(window: str) -> str:
+    """The sum of n * log2(n) over the counts n of a string's characters."""
+    signs = f"string_split({window}, '')"
+    return f"list_sum(list_transform(map_values(list_histogram({signs})), lambda n: n * log2(n)))"
+
+
+SECRETS = f"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+    ), base AS (
+        {_placed("assign", 0, _ASSIGNED, "1", 6)}
+        UNION ALL {_placed("access", 1, "AKIA[A-Z0-9]+", "0", 20)}
+        UNION ALL {_placed("hex", 2, "[0-9a-f]+", "0", 24)}
+    ), candidates AS (
+        {_placed("entropy", 3, "[A-Za-z0-9+/_=-]+", "0", 20)}
+    ), classes AS (
+        SELECT *,
+            CASE WHEN regexp_full_match(match, '[0-9a-f]+|[0-9A-F]+') THEN 24 ELSE 20 END AS size,
+            CASE WHEN regexp_full_match(match, '[0-9a-f]+|[0-9A-F]+') THEN 2.9::DOUBLE
+                 WHEN regexp_full_match(match, '[A-Z0-9]+|[a-z0-9]+') THEN 3.5::DOUBLE ELSE 3.75::DOUBLE END AS least
+        FROM candidates
+    ), unknown AS (
+        SELECT classes.* FROM classes JOIN texts USING (r)
+        WHERE NOT regexp_matches(match, '{_KNOWN_AS}')
+          AND NOT regexp_matches(text[greatest(start - 23, 1):start], '{_KNOWN_AFTER}')
+    ), views AS (
+        SELECT *, substr(match, place, size) AS seen
+        FROM (SELECT *, unnest(range(1, length(match) - size + 2)) AS place FROM unknown)
+    ), hot AS (
+        SELECT r, start AS candidate, start + place - 1 AS start, size FROM views
+        WHERE len(regexp_extract_all(seen, '[0-9]')) >= 2 AND len(regexp_extract_all(seen, '[A-Za-z]')) >= 4
+          AND log2(size) - {_sum_of_terms("seen")} / size >= least
+    ), parted AS (
+        SELECT *, coalesce(lag(start) OVER one + size < start, true) AS new FROM hot WINDOW one AS (PARTITION BY r, candidate ORDER BY start)
+    ), ranges AS (
+        SELECT *, sum(CAST(new AS INT)) OVER (PARTITION BY r, candidate ORDER BY start) AS part FROM parted
+    ), added AS (
+        SELECT r, 'entropy' AS kind, 3 AS rank, min(start) AS start, max(start + size) AS ends FROM ranges GROUP BY r, candidate, part
+    ), spans AS (
+        SELECT r, kind, rank, start, ends FROM base
+        UNION ALL
+        SELECT * FROM added
+        WHERE NOT EXISTS (FROM base WHERE base.r = added.r AND base.start < added.ends AND base.ends > added.start)
+    ), written AS (
+        SELECT r, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access,
+               count(*) FILTER (WHERE rank = 2) AS n_hex, count(*) FILTER (WHERE rank = 3) AS n_entropy,
+               string_agg(kind || ':' || start || ':' || ends, ',' ORDER BY start, rank) FILTER (WHERE rank < 3) AS bases,
+               string_agg(kind || ':' || start || ':' || ends, ',' ORDER BY start, rank) AS spans
+        FROM spans GROUP BY r
+    )
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+           coalesce(n_entropy, 0) AS n_entropy, sha256(coalesce(bases, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM texts LEFT JOIN written USING (r)
+"""

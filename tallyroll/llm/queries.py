@@ -85,5 +85,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_line_rules": sql.line_quality(line_rules.BOILERPLATE.pattern, line_rules.MOST_LOST),
         "op8_licenses": licenses.oracle_sql(),
         "op11_prefix_trie": sql.PREFIX_TRIE,
+        "op12_secrets": sql.SECRETS,
         "op13_resampling": sql.RESAMPLING,
     }

@@ -10,8 +10,11 @@ import string
 import time
 from collections import Counter
 
+import duckdb
+import pandas as pd
 import pytest
 
+from tallyroll.llm import oracle_sql
 from tallyroll.llm.secret_scan import ADDED, BASE, CLASSES, entropies, secret_digests, secret_spans, secrets
 
 _PLAIN = {
@@ -125,3 +128,25 @@ def test_given_documents(spark):
         base = plain_base(texts[row.doc_id])
         assert row.base_sha256 == hashlib.sha256(_joined(base).encode()).hexdigest()
         assert row.n_entropy == 0
+
+
+def test_sql_agrees_on_odd_texts(spark):
+    chosen = random.Random(11)
+    signs = [string.ascii_letters + string.digits + "+/_=-", string.ascii_uppercase + string.digits, "0123456789abcdef", "abc123"]
+
+    def part():
+        key = "".join(chosen.choice(chosen.choice(signs[:3])) for _ in range(chosen.randrange(4, 70)))
+        run = "".join(chosen.choices(chosen.choice(signs), k=chosen.randrange(10, 70)))
+        ahead = chosen.choice(["", "", "password = '", "Token:", "API_KEY=", "apikey: ", "AKIA", "sha256-", "commit ", "md5: ", "é😀", "example"])
+        return ahead + chosen.choice([key, run, "a" * 30 + run, "word", "\u212aey", "to\u212aen=abcdefgh"])
+
+    rows = [(number, " ".join(part() for _ in range(chosen.randrange(1, 12)))) for number in range(400)]
+    rows += [(400, None), (401, ""), (None, "passwd: 'hunter22'"), (3, rows[3][1])]
+    found = secret_digests(secrets(spark.createDataFrame(rows, "doc_id long, text string")))
+    with duckdb.connect() as database:
+        table = pd.DataFrame({"doc_id": pd.array([row[0] for row in rows], "Int64"), "text": [row[1] for row in rows]})
+        database.register("documents", table)
+        wanted = database.sql(f"SELECT {', '.join(found.columns)} FROM ({oracle_sql.SECRETS})").fetchall()
+    found = sorted(map(tuple, found.collect()), key=str)
+    assert found == sorted(wanted, key=str)
+    assert sum(row[4] for row in found) > 100 and sum(row[1] for row in found) > 100
