@@ -379,6 +379,7 @@ _REFUSALS = {
 
 
 _MONTH_COLUMNS = "sales_month, product_category, sales_channel"
+_TRAINED = "(SELECT u.* FROM usable AS u, bounds WHERE sales_month < last_month - INTERVAL 11 MONTH)"
 
 
 # Which records a damage spoils, and what the preflight says of each damage otherwise.
@@ -630,6 +631,31 @@ def oracle_sql() -> dict[str, str]:
                UNION ALL SELECT DISTINCT 'sales_channel=' || sales_channel, 0.0 FROM usable
                UNION ALL SELECT DISTINCT 'month_number=' || month_number, 0.0 FROM usable""",
         ),
+        "forecast_holdout_optimality": _with(
+            FORECAST,
+            f"""SELECT unnest(['intercept', 'lag_1', 'lag_12', 'previous_3_month_average']) AS feature, 0.0::DOUBLE AS gap
+                UNION ALL SELECT DISTINCT 'product_category=' || product_category, 0.0 FROM {_TRAINED}
+                UNION ALL SELECT DISTINCT 'sales_channel=' || sales_channel, 0.0 FROM {_TRAINED}
+                UNION ALL SELECT DISTINCT 'month_number=' || month_number, 0.0 FROM {_TRAINED}""",
+        ),
+        "forecast_holdout_parts": _with(
+            FORECAST, f"SELECT {_MONTH_COLUMNS}, seasonal_naive_usd, true AS adds_up FROM holdout"
+        ),
+        "forecast_next_month_parts": _with(
+            FORECAST, f"SELECT {_MONTH_COLUMNS}, lag_12 AS seasonal_naive_usd, true AS adds_up FROM upcoming"
+        ),
+        "forecast_summary_errors": _with(
+            FORECAST,
+            """SELECT (SELECT round(avg(abs(gross_sales_usd - seasonal_naive_usd)), 2) FROM holdout) AS naive_mae_usd,
+                      (SELECT CASE WHEN sum(gross_sales_usd) <> 0 THEN
+                           round(100 * sum(abs(gross_sales_usd - seasonal_naive_usd)) / sum(gross_sales_usd), 2)
+                       END FROM holdout) AS naive_wape_percent,
+                      true AS ridge_mae_agrees, true AS ridge_wape_agrees,
+                      strftime(last_month - INTERVAL 11 MONTH, '%Y-%m-%d') AS holdout_start,
+                      strftime(last_month, '%Y-%m-%d') AS holdout_end,
+                      strftime(last_month + INTERVAL 1 MONTH, '%Y-%m-%d') AS next_forecast_month
+               FROM bounds""",
+        ),
         "forecast_selection": _with(
             FORECAST,
             """SELECT product_category, sales_channel, true AS follows_the_errors, true AS named_in_the_summary,

@@ -190,14 +190,32 @@ class RidgeModel:
             rows.groupBy(F.concat(F.lit(f"{name}="), F.col(name)).alias("feature")).agg(F.sum("rest").alias("total"))
             for name in CATEGORICAL
         ]
-        indexer, _, _, fitted = self._model.stages
-        names = [*NUMERIC, *(f"{name}={label}" for name, known in zip(CATEGORICAL, indexer.labelsArray) for label in known)]
-        weights = [("intercept", 0.0), *zip(names, map(float, fitted.coefficients), strict=True)]
+        weights = [("intercept", 0.0), *self._weights()]
         weighed = train.sparkSession.createDataFrame(weights, "feature string, weight double")
         scale = train.agg(F.sum(F.abs(TARGET))).first()[0] or 1.0
         gap = F.abs(F.col("total") - PENALTY * F.col("weight")) / scale
         return reduce(DataFrame.unionByName, labels, amounts).join(weighed, "feature", "full").select("feature", gap.alias("gap"))
 
+    def _weights(self) -> list[tuple[str, float]]:
+        """The weight of each feature by name; at most MOST_FEATURES of them."""
+        indexer, _, _, fitted = self._model.stages
+        names = [*NUMERIC, *(f"{name}={label}" for name, known in zip(CATEGORICAL, indexer.labelsArray) for label in known)]
+        return list(zip(names, map(float, fitted.coefficients), strict=True))
+
+    def explained(self, rows: DataFrame) -> DataFrame:
+        """Adds what each feature brings to a row's prediction, and the intercept: ``<feature>_usd`` columns.
+
+        The parts add up to the prediction before it is clipped at zero. A label that the training
+        rows lack brings nothing.
+        """
+        weights = F.create_map(*[F.lit(part) for pair in self._weights() for part in pair])
+        amounts = {f"{name}_usd": self._scaled[f"{name}_scaled"] * weights[name] for name in NUMERIC}
+        labels = {
+            f"{name}_usd": F.coalesce(F.try_element_at(weights, F.concat(F.lit(f"{name}="), F.col(name))), F.lit(0.0))
+            for name in CATEGORICAL
+        }
+        return rows.withColumns({"intercept_usd": F.lit(float(self._model.stages[-1].intercept)), **amounts, **labels})
+
     def predict(self, rows: DataFrame) -> DataFrame:
         """Adds ``model_usd``, never below zero."""
         scored = self._model.transform(rows.withColumns(self._scaled))
@@ -219,10 +237,19 @@ class Backtest:
         if self._rows.select(MONTH).distinct().count() < 2 * HOLDOUT_MONTHS:
             raise StageError("the model needs 24 months whose value a year before is known")
 
+    @cached_property
+    def holdout_model(self) -> RidgeModel:
+        """Fitted on the months before the holdout."""
+        return RidgeModel(split(self._rows, self.history)[0])
+
+    @cached_property
+    def final_model(self) -> RidgeModel:
+        """Fitted on the whole history."""
+        return RidgeModel(self._rows)
+
     @cached_property
     def scored(self) -> DataFrame:
-        train, test = split(self._rows, self.history)
-        return RidgeModel(train).predict(test).checkpoint()
+        return self.holdout_model.predict(split(self._rows, self.history)[1]).checkpoint()
 
     @cached_property
     def errors(self) -> tuple[Row, Row]:
@@ -236,19 +263,34 @@ class Backtest:
 
     def optimality(self) -> DataFrame:
         """Whether the model of the next month solves its equations: (feature, gap)."""
-        return RidgeModel(self._rows).optimality(self._rows)
+        return self.final_model.optimality(self._rows)
+
+    def holdout_optimality(self) -> DataFrame:
+        """Whether the model that the errors are taken of solves its equations: (feature, gap)."""
+        return self.holdout_model.optimality(split(self._rows, self.history)[0])
+
+    def explained_holdout(self) -> DataFrame:
+        """The holdout's predictions beside what each feature brings to them."""
+        return self.holdout_model.explained(self.scored)
 
     def holdout(self) -> DataFrame:
         return self.scored.select(*GOLD_KEYS, TARGET, "seasonal_naive_usd", "model_usd")
 
     def next_month(self) -> DataFrame:
         """The month after the history, by a ridge model fitted on all of it."""
-        upcoming = with_naive(next_month_features(self._panel, self.history.next_month))
         selected = "model_usd" if self.winner == RIDGE else "seasonal_naive_usd"
-        return RidgeModel(self._rows).predict(upcoming).select(
+        return self._upcoming.select(
             *GOLD_KEYS, "seasonal_naive_usd", "model_usd", F.col(selected).alias("selected_forecast_usd")
         )
 
+    @property
+    def _upcoming(self) -> DataFrame:
+        return self.final_model.predict(with_naive(next_month_features(self._panel, self.history.next_month)))
+
+    def explained_next_month(self) -> DataFrame:
+        """The next month's predictions beside what each feature brings to them."""
+        return self.final_model.explained(self._upcoming)
+
     def summary(self) -> DataFrame:
         return _summary(self._lines, self.history, *self.errors, self.winner)
 

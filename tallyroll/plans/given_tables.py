@@ -423,6 +423,47 @@ def ridge_optimality(spark: SparkSession, directory: str) -> DataFrame:
     return fc.Backtest(silver_lines(spark, directory)).optimality().selectExpr("feature", "round(gap, 6) AS gap")
 
 
+def holdout_optimality(spark: SparkSession, directory: str) -> DataFrame:
+    """The same of the model that never sees the holdout."""
+    return fc.Backtest(silver_lines(spark, directory)).holdout_optimality().selectExpr("feature", "round(gap, 6) AS gap")
+
+
+def _adds_up(explained: DataFrame) -> DataFrame:
+    """Whether each prediction is the sum of what its features bring, and zero where that is below zero."""
+    parts = " + ".join(f"{name}_usd" for name in ("intercept", *fc.NUMERIC, *fc.CATEGORICAL))
+    return explained.selectExpr(
+        *fc.GOLD_KEYS,
+        "seasonal_naive_usd",
+        f"abs(model_usd - greatest({parts}, 0)) <= 1e-9 * greatest(abs({parts}), 1) AS adds_up",
+    )
+
+
+def holdout_parts(spark: SparkSession, directory: str) -> DataFrame:
+    return _adds_up(fc.Backtest(silver_lines(spark, directory)).explained_holdout())
+
+
+def next_month_parts(spark: SparkSession, directory: str) -> DataFrame:
+    return _adds_up(fc.Backtest(silver_lines(spark, directory)).explained_next_month())
+
+
+def summary_errors(spark: SparkSession, directory: str) -> DataFrame:
+    """Whether the reported errors of the ridge model are those of its predictions, beside last year's value's."""
+    tested = fc.Backtest(silver_lines(spark, directory))
+    again = tested.holdout().selectExpr(
+        "round(avg(abs(gross_sales_usd - model_usd)), 2) AS mae",
+        "round(try_divide(100 * sum(abs(gross_sales_usd - model_usd)), sum(gross_sales_usd)), 2) AS wape",
+    ).first()
+    return tested.summary().select(
+        F.col("baseline.mae_usd").alias("naive_mae_usd"),
+        F.col("baseline.wape_percent").alias("naive_wape_percent"),
+        F.col("ridge_model.mae_usd").eqNullSafe(F.lit(again.mae)).alias("ridge_mae_agrees"),
+        F.col("ridge_model.wape_percent").eqNullSafe(F.lit(again.wape)).alias("ridge_wape_agrees"),
+        "holdout_start",
+        "holdout_end",
+        "next_forecast_month",
+    )
+
+
 def selection(spark: SparkSession, directory: str) -> DataFrame:
     """Whether the errors name the winner, and the next month's figure is that method's, never below zero."""
     tested = fc.Backtest(silver_lines(spark, directory))
@@ -525,6 +566,10 @@ def queries() -> dict[str, Query]:
         "forecast_holdout_ridge": lambda spark, at: fc.Backtest(silver_lines(spark, at)).holdout(),
         "forecast_next_month": lambda spark, at: fc.Backtest(silver_lines(spark, at)).next_month(),
         "forecast_ridge_optimality": ridge_optimality,
+        "forecast_holdout_optimality": holdout_optimality,
+        "forecast_holdout_parts": holdout_parts,
+        "forecast_next_month_parts": next_month_parts,
+        "forecast_summary_errors": summary_errors,
         "forecast_selection": selection,
         "forecast_files": forecast_files,
         "forecast_metrics_file": forecast_metrics_file,
