@@ -39,8 +39,8 @@ def encoded(documents: DataFrame, ranks: bytes) -> DataFrame:
     """``doc_id, ids`` of ``documents(doc_id, text)``: ids as little-endian unsigned 32-bit numbers.
 
     Every match of the vocabulary's pattern is merged by itself and there are no special tokens.
-    A null or empty text has no ids. Rows, repeated ones too, map one to one; other columns are
-    ignored; an empty table gives no rows.
+    A null or empty text has no ids. A very long text is encoded whole, alone in its slice. Rows,
+    repeated ones too, map one to one; other columns are ignored; an empty table gives no rows.
     """
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:

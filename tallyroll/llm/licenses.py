@@ -224,8 +224,8 @@ def license_scan(documents: DataFrame, texts: tuple[tuple[str, str], ...] = LICE
     """``doc_id, n_licenses, licenses, whole_license`` of ``documents(doc_id, text)``, a row each.
 
     ``licenses`` names those found, sorted and comma-joined; ``whole_license`` is the one whose
-    text the whole document is, else null. A null or empty text has none; repeated rows have equal
-    results; rows that share an id are told apart by their text; other columns are ignored; an
+    text the whole document is, else null. A null or empty text has none; a very long text is
+    scanned whole, in runs no longer than the longest known text; repeated rows have equal results; rows that share an id are told apart by their text; other columns are ignored; an
     empty table gives no rows.
     """
     known = known_digests(documents.sparkSession, texts)

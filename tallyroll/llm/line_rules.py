@@ -169,8 +169,9 @@ _FIELDS = (
 def judged(documents: DataFrame) -> DataFrame:
     """``all, judged``: each row of ``documents(text, ...)`` beside its measures, verdicts and clean text.
 
-    A null or empty text has no words and fails. Repeated rows are judged alike; ``all`` holds the
-    row's own columns, whatever their names; an empty table gives no rows.
+    A null or empty text has no words and fails. A very long text is judged whole, by all of its
+    lines. Repeated rows are judged alike; ``all`` holds the row's own columns, whatever their
+    names; an empty table gives no rows.
     """
     rows = documents.select(F.struct(*[documents[f"`{name}`"] for name in documents.columns]).alias("all"))
     fields = StructType.fromDDL(_FIELDS)

@@ -232,8 +232,9 @@ def edited(rows: DataFrame) -> DataFrame:
 def fingerprints(documents: DataFrame) -> DataFrame:
     """The tree of each text of ``documents(doc_id, text)``: ``doc_id, text, tree``, a row each.
 
-    A null or empty text has no sections, and the root of nothing. Repeated rows have equal
-    fingerprints; other columns are ignored; an empty table gives no rows.
+    A null or empty text has no sections, and the root of nothing. A very long text counts whole,
+    and has as many nodes as it has parts. Repeated rows have equal fingerprints; other columns are
+    ignored; an empty table gives no rows.
     """
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return with_trees(rows, tree=F.col("text"))

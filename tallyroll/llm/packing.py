@@ -205,9 +205,9 @@ def packed(
     every sequence but the last is full. Every ``window`` sequences hold the sources in their
     proportions; ``targets`` gives these by source, else they are the corpus's own, and sources it
     does not name come last. A source's documents follow in the order they are read, partition by
-    partition, so ties need no rule. A very long text is cut where windows and sequences end. A null or empty text is the end id alone; a null source
-    is a source of its own; repeated rows are packed as often as they occur; other columns are
-    ignored; an empty table gives no rows.
+    partition, so ties need no rule. A very long text is cut where windows and sequences
+    end. A null or empty text is the end id alone; a null source is a source of its own; repeated
+    rows are packed as often as they occur; other columns are ignored; an empty table gives no rows.
     """
     tokens = tokenized(documents, tokenizer, end_id)
     queues, upto = _queues(tokens, length)

@@ -174,8 +174,9 @@ def fitted(documents: DataFrame, labels: DataFrame) -> Model:
 def scored(documents: DataFrame, model: Model) -> DataFrame:
     """``all, score``: each row of ``documents(text, ...)`` beside its score from 0 to 1.
 
-    Null texts count as empty, and empty texts have a score too. Repeated rows score alike; ``all``
-    holds the row's own columns, whatever their names; an empty table gives no rows.
+    Null texts count as empty, and empty texts have a score too; a very long text is scored by all
+    of its words. Repeated rows score alike; ``all`` holds the row's own columns, whatever their
+    names; an empty table gives no rows.
     """
     rows = documents.select(F.struct(*[documents[f"`{name}`"] for name in documents.columns]).alias("all"))
 

@@ -63,8 +63,8 @@ def token_counts(documents: DataFrame, model: bytes, limit: int = LIMIT) -> Data
     """``doc_id, n_bytes, n_tokens, over_limit`` of ``documents(doc_id, text)``.
 
     Counts are those of the piece model's library without begin and end tokens. A null or empty
-    text has no bytes and no tokens. Rows, repeated ones too, map one to one; other columns are
-    ignored; an empty table gives no rows.
+    text has no bytes and no tokens. A very long text is counted whole, by its distinct pre-tokens.
+    Rows, repeated ones too, map one to one; other columns are ignored; an empty table gives no rows.
     """
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
