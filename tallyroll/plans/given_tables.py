@@ -46,7 +46,10 @@ def gold_rows(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def all_layers(spark: SparkSession, directory: str) -> Layers:
-    bronze = order_tables.bronze_shaped(spark, directory)
+    return _layers(order_tables.bronze_shaped(spark, directory))
+
+
+def _layers(bronze: dict[str, DataFrame]) -> Layers:
     lines = enriched_sales(**bronze)
     return Layers(**bronze, silver=lines, gold=monthly_summary(lines))
 
@@ -323,7 +326,8 @@ def damaged_bronze_checks(spark: SparkSession, directory: str) -> DataFrame:
 
 def damaged_silver_gold_checks(spark: SparkSession, directory: str) -> DataFrame:
     """The other checks on spoilt Silver lines, a Gold with repeated rows, and no stores."""
-    layers = all_layers(spark, directory)
+    store, bronze = _loaded(spark, directory)
+    layers = _layers(bronze)
     spoilt = {
         "delivery_date": "if(line_item = 1 AND store_key <> 0, date_sub(order_date, 1), delivery_date)",
         "sales_channel": "CASE line_item WHEN 2 THEN NULL WHEN 3 THEN 'Phone' WHEN 4 THEN 'Online' ELSE sales_channel END",
@@ -332,10 +336,10 @@ def damaged_silver_gold_checks(spark: SparkSession, directory: str) -> DataFrame
     layers = replace(
         layers,
         silver=_replaced(layers.silver.where("line_item <> 6"), spoilt),
-        gold=layers.gold.unionByName(layers.gold.where("sales_channel = 'In Store'")),
+        gold=layers.gold.selectExpr("*", "explode(sequence(1, if(sales_channel = 'In Store', 2, 1))) AS copy").drop("copy"),
         stores=layers.stores.where("false"),
     )
-    return quality.check_results(layers, tuple(check for check in CHECKS if check.layer != "bronze"))
+    return _finished(quality.check_results(layers, tuple(check for check in CHECKS if check.layer != "bronze")), store)
 
 
 def audited_checks(spark: SparkSession, directory: str) -> DataFrame:
