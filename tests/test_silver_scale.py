@@ -50,7 +50,7 @@ def test_a_plain_count_refuses_a_line_that_breaks_a_rule_of_its_own(spark, spoil
         enriched_sales(**_bronze(spark, **spoilt)).count()
 
 
-@pytest.mark.parametrize("query", ["gold_refusals", "dq_damaged_silver_gold"])
+@pytest.mark.parametrize("query", ["gold_refusals", "dq_damaged_silver_gold", "dq_required_tables_not_empty"])
 def test_sales_read_several_times_are_loaded_once(spark, monkeypatch, query):
     loads = []
 
