@@ -24,6 +24,11 @@ LAST_DATE = "2262-04-11"
 # Exact types. Ten whole digits and sixteen decimals of a price keep its product with a quantity
 # of ten digits exact in 38 digits; numbers may have eighteen decimals.
 EXACT, EXACT_DECIMALS = "decimal(38,18)", 18
+# Text that is an INT at a glance, a whole number of at most eighteen digits with nothing but zeros
+# after the point, and whatever else may be whole: with an exponent, longer, or not in ASCII.
+PLAIN_INT = r"^[\x00-\x20]*[+-]?[0-9]{1,9}[\x00-\x20]*$"
+PLAIN_WHOLE = r"^[\x00-\x20]*([+-]?[0-9]{1,18})([.]0*)?[\x00-\x20]*$"
+MAYBE_WHOLE = r"^[\x00-\x20\x7F]*[+-]?([0-9]+([.]0*)?|[.]0+|[0-9]*[.]?[0-9]*[eE][+-]?[0-9]+)[\x00-\x20\x7F]*$|[^\x00-\x7F]"
 MONEY, MONEY_DECIMALS = "decimal(26,16)", 16
 
 
@@ -55,11 +60,16 @@ def _apart(text: str, value: str) -> str:
 def whole_number(text: str) -> str:
     """INT from text such as ``01``, `` 2 ``, ``+5``, ``2.0`` or ``1e2``; else NULL.
 
-    The exact decimal costs twenty times the plain cast, so only text the cast refuses pays.
+    A cast that fails costs an exception, and the exact decimal twenty times the plain cast. So
+    the shape of the text decides first, and only text of a rare shape pays for either.
     """
     exact = f"try_cast(t AS {EXACT})"
     exactly = f"try_cast(CASE WHEN {exact} % 1 = 0 AND {_fits('t', EXACT_DECIMALS)} THEN {exact} END AS int)"
-    return f"coalesce(try_cast({text} AS int), {_apart(text, exactly)})"
+    digits = f"cast(regexp_extract(t, r'{PLAIN_WHOLE}', 1) AS bigint)"
+    rarely = f"""CASE WHEN t RLIKE r'{PLAIN_WHOLE}' THEN CASE WHEN {digits} BETWEEN -2147483648 AND 2147483647 THEN cast({digits} AS int) END
+                      WHEN t RLIKE r'{MAYBE_WHOLE}' THEN coalesce(CASE WHEN NOT t RLIKE '[.eE]' THEN try_cast(t AS int) END, {exactly})
+                 END"""
+    return f"CASE WHEN {text} RLIKE r'{PLAIN_INT}' THEN cast({text} AS int) ELSE {_apart(text, rarely)} END"
 
 
 def positive_integer(text: str) -> str:
